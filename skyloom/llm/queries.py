@@ -4,16 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, minhash, quality
+from . import bpe, exact_dedup, minhash, quality, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.substring_dedup(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    out = bpe.encode_decode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return out.select(
+        "doc_id", "n_tokens", F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return quality.quality(docs, keep_text=False).select(
@@ -30,6 +45,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_substring": op4_substring,
+    "op5_byte_bpe": op5_byte_bpe,
     "op7_quality": op7_quality,
     "op8_minhash": op8_minhash,
     "op9_exact_dedup": op9_exact_dedup,
