@@ -8,13 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, minhash, quality, substring
+from . import bpe, exact_dedup, line_dedup, minhash, mixing, quality, substring, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write_token_files(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_token_files(files)
+
+
 def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.substring_dedup(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -44,12 +55,20 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.assign(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", F.get("positions", F.lit(0)).alias("position"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": op2_line_dedup,
+    "op3_token_files": op3_token_files,
     "op4_substring": op4_substring,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_quality": op7_quality,
     "op8_minhash": op8_minhash,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_mixing": op10_mixing,
 }
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -94,4 +113,15 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                NOT base_failed AND NOT rejected AS kept
         FROM v JOIN w ON v.source IS NOT DISTINCT FROM w.source""",
+    "op2_line_dedup": r"""
+        WITH l AS (
+          SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+          FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                       generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)),
+        k AS (SELECT key, max(doc_id) AS last FROM l WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+        m AS (SELECT l.*, k.last IS NOT NULL AND doc_id < k.last AS gone FROM l LEFT JOIN k USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+        FROM m GROUP BY doc_id""",
 }
