@@ -8,13 +8,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, minhash, mixing, quality, substring, token_files
+from . import bpe, exact_dedup, html_text, line_dedup, minhash, mixing, pii, quality, substring, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: The key of the registered query; a deployment passes its own secret.
+PII_KEY = "registered-query-key"
+
+
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.pseudonymize(_table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    count = lambda k: F.size(F.filter("found", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    return out.select("doc_id", "text", *[count(k) for k in pii.KINDS])
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -61,10 +75,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_text": op1_html_text,
     "op2_line_dedup": op2_line_dedup,
     "op3_token_files": op3_token_files,
     "op4_substring": op4_substring,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_pii": op6_pii,
     "op7_quality": op7_quality,
     "op8_minhash": op8_minhash,
     "op9_exact_dedup": op9_exact_dedup,
