@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import asset_queries, box_queries, graph_queries, raster_queries, run_queries  # noqa: F401
+from .base import ORACLE_SQL, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
+FLAGSHIP = "run_totals"
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-FLAGSHIP = "run_summary"
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
