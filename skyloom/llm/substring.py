@@ -80,7 +80,7 @@ def _send(size: int, n_ranges: int):
         # h is sorted, so each range of hashes is a slice of it
         part = ((h >> _U(32)) * _U(n_ranges) >> _U(32)).astype(np.int64)
         which, starts = np.unique(part, return_index=True)
-        ends = np.append(starts[1:], len(h))
+        ends = np.append(starts[1:], len(h))[: len(starts)]
         return pa.table({
             "range": pa.array(which, pa.int32()), "block": pa.array([key[0].as_py()] * len(which), pa.int32()),
             "hashes": pa.array([_pack(h[a:b]) for a, b in zip(starts, ends, strict=True)], pa.binary())})
