@@ -50,8 +50,10 @@ def drop_stored(df: DataFrame) -> None:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of ``df`` (file bytes for a scan)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Bytes of the files below ``df``; inputs of unknown size (rows from the driver) count as none."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(x for x in sizes if x < 1 << 60)
 
 
 def n_tasks(df: DataFrame, task_bytes: int = TASK_BYTES) -> int:
