@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.llm import bpe, exact_dedup, minhash, mixing, quality
-from skyloom.llm.common import work_dir
+from skyloom.llm.common import SPACE, text_or_empty, work_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,15 +23,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the smallest doc_id stays."""
-    kept = exact_dedup.exact_dedup(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """Of equal texts the row with the smallest doc_id stays, once if it is repeated."""
+    kept = exact_dedup.exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept"))
+    sha = F.sha2(F.regexp_replace(text_or_empty(), SPACE, " "), 256)
+    rows = docs.withColumn("_sha", sha)
+    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_kept")), "left_semi")
+    return rows.dropDuplicates(["doc_id", "_sha"]).select(*docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays; five words, similarity 0.8."""
-    kept = minhash.near_dedup(docs, k=5, percent=80).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """One document of each group of near copies stays; five words, similarity 0.8.
+
+    Rows without an id can't be told apart: they all stay if one of them stays.
+    """
+    kept = minhash.near_dedup(docs, k=5, percent=80).where("kept").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
