@@ -140,4 +140,15 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
         FROM m GROUP BY doc_id""",
+    "op4_substring": rf"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+        p AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d),
+        g AS (SELECT doc_id, i, array_to_string(words[i : i + 19], ' ') AS k
+              FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM d WHERE len(words) > 19)),
+        r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM g) WHERE n > 1),
+        c AS (SELECT p.doc_id, p.i, word, count(r.i) OVER (PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) > 0 AS gone
+              FROM p LEFT JOIN r ON r.doc_id = p.doc_id AND r.i = p.i)
+        SELECT d.doc_id, count(c.i) AS n_words, count(*) FILTER (gone) AS n_removed,
+               sha256(coalesce(string_agg(word, ' ' ORDER BY c.i) FILTER (NOT gone), '')) AS kept_sha256
+        FROM d LEFT JOIN c ON c.doc_id = d.doc_id GROUP BY d.doc_id""",
 }
