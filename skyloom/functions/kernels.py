@@ -86,3 +86,83 @@ def each_raster(kernel: Callable[[np.ndarray], np.ndarray]):
                 names=["img", "h", "w", "data"])
 
     return run
+
+
+def soft_kernel(h: int, w: int, share: float) -> list[tuple[int, float]]:
+    """Gaussian of odd width, ``share`` of the shorter side and 3 at least, with the usual sigma for a width."""
+    from ..operators.raster import kernel_of_feather
+
+    k = max(3, int(min(h, w) * share))
+    return kernel_of_feather((k if k % 2 else k + 1) // 2)
+
+
+def roi_blur(a: np.ndarray, mask: np.ndarray, kernel: list[tuple[int, float]], pad: int, min_area: int) -> np.ndarray:
+    """Each component of at least ``min_area`` is blurred in its padded box of the original, and only where it lies."""
+    lab, out = label(mask), a.copy()
+    for name in np.unique(lab[lab > 0]):
+        own = lab == name
+        if own.sum() < min_area:
+            continue
+        y, x = np.nonzero(own)
+        box = slice(max(0, y.min() - pad), y.max() + 1 + pad), slice(max(0, x.min() - pad), x.max() + 1 + pad)
+        out[box] = np.where(own[box], convolve(a[box], kernel), out[box])
+    return out
+
+
+def directions(face: str, n: int) -> np.ndarray:
+    """Unit vectors (n, n, 3: right, up, forward) through the pixel centres of a cube face."""
+    c = (np.arange(n) + 0.5) / n * 2 - 1
+    u, v, one = np.broadcast_to(c, (n, n)), np.broadcast_to(-c[:, None], (n, n)), np.ones((n, n))
+    xyz = {"F": (u, v, one), "R": (one, v, -u), "B": (-u, v, -one), "L": (-one, v, u), "U": (u, one, -v), "D": (u, -one, v)}[face]
+    d = np.stack(xyz, axis=-1)
+    return d / np.linalg.norm(d, axis=-1, keepdims=True)
+
+
+def view_directions(n: int, fov: float, pitch: float) -> np.ndarray:
+    """Unit vectors of a perspective view of ``fov`` degrees, turned up by ``pitch`` degrees."""
+    t = np.tan(np.radians(fov) / 2)
+    d = directions("F", n) / directions("F", n)[..., 2:]
+    d = d * (t, t, 1)
+    p = np.radians(pitch)
+    d = np.stack([d[..., 0], d[..., 1] * np.cos(p) + d[..., 2] * np.sin(p), -d[..., 1] * np.sin(p) + d[..., 2] * np.cos(p)], axis=-1)
+    return d / np.linalg.norm(d, axis=-1, keepdims=True)
+
+
+def sample_equirect(a: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Bilinear samples of an equirectangular raster in directions ``d``; columns wrap, rows clamp."""
+    h, w = a.shape
+    x = (np.arctan2(d[..., 0], d[..., 2]) / (2 * np.pi) + 0.5) * w - 0.5
+    y = np.clip((0.5 - np.arcsin(np.clip(d[..., 1], -1, 1)) / np.pi) * h - 0.5, 0, h - 1)
+    x0, y0 = np.floor(x).astype(int), np.floor(y).astype(int)
+    fx, fy, y1 = x - x0, y - y0, np.minimum(y0 + 1, h - 1)
+    at = lambda yy, xx: a[yy, xx % w]
+    return (at(y0, x0) * (1 - fx) + at(y0, x0 + 1) * fx) * (1 - fy) + (at(y1, x0) * (1 - fx) + at(y1, x0 + 1) * fx) * fy
+
+
+def equirect_to_cube(a: np.ndarray, n: int) -> np.ndarray:
+    """Faces F, R, B, L, U, D below each other, (6n, n)."""
+    return np.concatenate([sample_equirect(a, directions(f, n)) for f in "FRBLUD"])
+
+
+def top_fix(a: np.ndarray, inpaint: Callable[[np.ndarray, np.ndarray], np.ndarray], n: int, fov: float, pitch: float, share: float) -> np.ndarray:
+    """The view towards the top is cut out, its middle disc inpainted, and pasted back where the view sees it."""
+    h, w = a.shape
+    view = sample_equirect(a, view_directions(n, fov, pitch))
+    c = (np.arange(n) + 0.5) / n * 2 - 1
+    hole = c[None, :] ** 2 + c[:, None] ** 2 <= share * share
+    fixed = inpaint(view, hole)
+    lon, lat = ((np.arange(w) + 0.5) / w - 0.5) * 2 * np.pi, (0.5 - (np.arange(h) + 0.5) / h) * np.pi
+    x, y, z = np.cos(lat)[:, None] * np.sin(lon), np.broadcast_to(np.sin(lat)[:, None], (h, w)), np.cos(lat)[:, None] * np.cos(lon)
+    p, t = np.radians(pitch), np.tan(np.radians(fov) / 2)
+    up, ahead = y * np.cos(p) - z * np.sin(p), y * np.sin(p) + z * np.cos(p)
+    safe = np.where(ahead > 1e-9, ahead, 1.0)
+    u, v = x / safe / t, up / safe / t
+    seen = (ahead > 1e-9) & (np.abs(u) <= 1) & (np.abs(v) <= 1)
+    px = np.clip(((u + 1) / 2 * n).astype(int), 0, n - 1)
+    py = np.clip(((1 - v) / 2 * n).astype(int), 0, n - 1)
+    return np.where(seen & hole[py, px], fixed[py, px], a)
+
+
+def fill_mean(view: np.ndarray, hole: np.ndarray) -> np.ndarray:
+    """Stands in for an inpainting model: the hole gets the mean of what is around it."""
+    return np.where(hole, view[~hole].mean() if (~hole).any() else 0.0, view)

@@ -6,7 +6,9 @@ import math
 
 from pyspark.sql import functions as F
 
+from ..functions import kernels as K
 from ..operators import raster as R
+from ..sources import images as I
 from .base import query, table
 
 N = 8
@@ -367,3 +369,59 @@ def p2e_sample(spark, sf):
     px = pixels(spark, sf).select("img", F.col("y").alias("qy"), F.col("x").alias("qx"), "v")
     out = px.join(F.broadcast(k), ["qx", "qy"]).groupBy("img", "y", "x").agg(F.sum(F.col("w") * F.col("v")).alias("v"))
     return shown(out)
+
+
+_SOFT = K.soft_kernel(N, N, 0.4)
+
+
+@query("soft_blur", f"WITH {_PX}, {_MK}, {_blur('mk', 'o', _SOFT, N)} {_out('o')}")
+def soft_blur(spark, sf):
+    return shown(R.blurred(bright(pixels(spark, sf)), _SOFT, N, N))
+
+
+def rasters(px, h=N, w=N):
+    """(img, h, w, data: 64-bit floats) rows for the array kernels."""
+    one = F.transform(F.sort_array(F.collect_list(F.struct("y", "x", "v"))), lambda p: p["v"])
+    lists = px.groupBy("img").agg(one.alias("values"))
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            data = [np.array(v, np.float64).tobytes() for v in b["values"].to_pylist()]
+            n = len(data)
+            yield pa.record_batch(
+                [b["img"], pa.array([h] * n, pa.int32()), pa.array([w] * n, pa.int32()), pa.array(data, pa.binary())],
+                names=["img", "h", "w", "data"])
+
+    return lists.mapInArrow(run, RASTER)
+
+
+RASTER = "img long, h int, w int, data binary"
+
+
+@query("roi_blur")
+def roi_blur(spark, sf):
+    """Components of bright pixels, four pixels or more, blurred in place."""
+    return rasters(pixels(spark, sf)).mapInArrow(K.each_raster(lambda a: K.roi_blur(a, a >= 0.55, _SIG, 1, 4)), RASTER)
+
+
+@query("equirect_to_cube")
+def equirect_to_cube(spark, sf):
+    return rasters(pixels(spark, sf)).mapInArrow(K.each_raster(lambda a: K.equirect_to_cube(a, 4)), RASTER)
+
+
+@query("top_fix")
+def top_fix(spark, sf):
+    """With the mean of the surroundings in place of an inpainting model."""
+    return rasters(pixels(spark, sf)).mapInArrow(K.each_raster(lambda a: K.top_fix(a, K.fill_mean, 16, 70.0, 50.0, 0.8)), RASTER)
+
+
+@query("decode_image", f"""WITH {_PX} SELECT img, {N} AS h, {N} AS w, true AS ok, CAST(sum(floor(greatest(0.0::DOUBLE, least(1.0::DOUBLE, v)) * 255)) AS BIGINT) AS total FROM px GROUP BY img""")
+def decode_image(spark, sf):
+    """Rasters written as PNG and read again; the sum of their bytes stands for them."""
+    out = I.decoded(I.as_png(I.packed(pixels(spark, sf), N, N)))
+    byte = lambda i: F.conv(F.hex(F.substring(F.col("data"), i, F.lit(1))), 16, 10).cast("bigint")
+    total = F.aggregate(F.sequence(F.lit(1), F.length("data")), F.lit(0).cast("bigint"), lambda s, i: s + byte(i))
+    return out.select("img", "h", "w", "ok", total.alias("total"))

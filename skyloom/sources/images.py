@@ -73,3 +73,35 @@ def packed(px: DataFrame, h: int, w: int) -> DataFrame:
     byte = F.lpad(F.hex(F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("v"))) * 255).cast("int")), 2, "0")
     s = F.transform(F.sort_array(F.collect_list(F.struct("y", "x", byte.alias("b")))), lambda p: p["b"])
     return px.groupBy("img").agg(F.unhex(F.array_join(s, "")).alias("data")).select("img", F.lit(h).alias("h"), F.lit(w).alias("w"), "data")
+
+
+def gray_of_png(data: bytes) -> np.ndarray:
+    """The raster of an 8-bit gray PNG without row filters, as ``png`` writes it."""
+    w, h = struct.unpack(">II", data[16:24])
+    at, body = 8, b""
+    while at < len(data):
+        n, kind = struct.unpack(">I4s", data[at : at + 8])
+        body += data[at + 8 : at + 8 + n] if kind == b"IDAT" else b""
+        at += n + 12
+    rows = np.frombuffer(zlib.decompress(body), np.uint8).reshape(h, w + 1)
+    if rows[:, 0].any():
+        raise ValueError("filtered rows")
+    return rows[:, 1:]
+
+
+def decoded(files: DataFrame) -> DataFrame:
+    """(img, h, w, data, ok) of (img, png); what can't be read has ok = false and no data."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for d in b["png"]:
+                try:
+                    a = gray_of_png(d.as_py())
+                    out.append((a.shape[0], a.shape[1], a.tobytes(), True))
+                except (ValueError, TypeError, struct.error, zlib.error):
+                    out.append((-1, -1, None, False))
+            cols = list(zip(*out, strict=True)) or [[]] * 4
+            kinds = (pa.int32(), pa.int32(), pa.binary(), pa.bool_())
+            yield pa.record_batch([b["img"], *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], names=["img", "h", "w", "data", "ok"])
+
+    return files.select("img", "png").mapInArrow(run, "img long, h int, w int, data binary, ok boolean")

@@ -175,3 +175,35 @@ def test_event_stream(spark, tmp_path):
         (src / f"{i}.json").write_text(json.dumps({"ts": t, "event": "stage_end", "status": s, "stage": "mask"}) + "\n")
     E.write_available(E.stage_windows(E.event_stream(spark, str(src))), out, str(tmp_path / "cp")).awaitTermination()
     assert col(spark.read.parquet(out), "n", "n_failures") == [(2, 1)]
+
+
+def test_roi_blur_touches_components_only():
+    a = np.random.default_rng(8).random((12, 12))
+    m = np.zeros((12, 12), bool)
+    m[2:5, 3:6] = True
+    m[9, 9] = True  # below the least area
+    out = K.roi_blur(a, m, R.kernel_of_sigma(0.9), 2, 4)
+    assert np.array_equal(out[~m], a[~m]) and out[9, 9] == a[9, 9]
+    assert np.allclose(out[2:5, 3:6], K.convolve(a[0:7, 1:8], R.kernel_of_sigma(0.9))[2:5, 2:5])
+
+
+def test_cube_faces_of_a_sphere():
+    """A raster of each direction's own coordinate gives the coordinate on every face."""
+    h, w = 256, 512
+    lat = (0.5 - (np.arange(h) + 0.5) / h) * np.pi
+    up = np.broadcast_to(np.sin(lat)[:, None], (h, w))
+    cube = K.equirect_to_cube(up, 8).reshape(6, 8, 8)
+    for face, got in zip("FRBLUD", cube, strict=True):
+        assert np.allclose(got, K.directions(face, 8)[..., 1], atol=1e-3)
+
+
+def test_top_fix_changes_the_hole_only():
+    a = np.random.default_rng(9).random((32, 64))
+    same = K.top_fix(a, lambda v, _: v * 0 - 1, 32, 70.0, 50.0, 0.8)
+    assert 0 < (same == -1).sum() < 32 * 64 / 4 and np.array_equal(same[same != -1], a[same != -1])
+    assert (same[20:] == a[20:]).all()
+
+
+def test_png_errors(spark):
+    df = spark.createDataFrame([(1, bytearray(I.png(b"\x01\x02", 1, 2))), (2, bytearray(b"junk")), (3, None)], "img long, png binary")
+    assert col(I.decoded(df), "img", "ok") == [(1, True), (2, False), (3, False)]
