@@ -11,8 +11,11 @@ The links are exact for the sets: documents with equal sets form a class and
 class representatives go on; band buckets propose pairs; every pair is verified
 on the full sets, read from the texts again.  Within a bucket nobody emits all
 pairs: each member is compared with a pivot, verified links are merged into
-components, and only members of buckets that still span several components are
-compared further, with other pivots, and at last pairwise across components.
+components, and members of buckets that still span several components are
+compared with another pivot.  What then is open is settled exactly by prefixes of
+the sets in order of rarity: two sets of the wanted similarity share an element
+near the front of both, and copies with many changes have nothing there but their
+own changes.  Pairs within a component are never formed.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from .components import components
 
 BINS = 160
 ROWS = 4
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
 _U = np.uint64
 
 
@@ -130,6 +133,41 @@ def _bands(k: int, bins: int, rows: int):
     return run
 
 
+def _elements(k: int):
+    """(id, element) for each shingle of each set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, t in zip(b["id"].to_pylist(), b["text"].to_pylist(), strict=True):
+                s = shingle_set(t, k)
+                yield pa.record_batch([pa.array(np.full(len(s), i)), pa.array(s.view(np.int64))], names=["id", "e"])
+
+    return run
+
+
+def _prefix_pairs(texts: DataFrame, open_: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b, n, m): all pairs of open documents (id, label) of two components that may reach the similarity.
+
+    Elements are ordered by (number of sets that hold them, value).  If sets of n and
+    m elements reach it, they share ``percent * (n + m) / (100 + percent)`` elements,
+    so at their first shared one, at places i and j, n - i and m - j are no less.
+    Elements that a single component holds are left out, and of the others the
+    largest component is only compared with the rest.
+    """
+    e = C.stored(texts.join(open_.select("id"), "id", "left_semi").mapInArrow(_elements(k), "id long, e long"))
+    held = e.groupBy("e").agg(F.count("*").alias("df"))
+    ordered = e.join(held, "e").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("es"))
+    n = F.size("es")
+    ordered = ordered.select("id", n.alias("n"), F.posexplode(F.slice("es", F.lit(1), n - F.ceil(n * percent / 100).cast("int") + 1)).alias("i", "s"))
+    front = C.stored(ordered.where("s.df > 1").select("id", "n", "i", F.col("s.e").alias("e")).join(open_, "id"))
+    sizes = front.groupBy("e", "label").agg(F.count("*").alias("c"))
+    mixed = sizes.groupBy("e").agg(F.count("*").alias("labels"), F.max_by("label", F.struct("c", "label")).alias("major")).where("labels > 1")
+    left = front.join(mixed.select("e", "major"), "e").where("label != major").select(
+        "e", F.col("id").alias("id2"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("label").alias("label2"))
+    near = f"least(n - i, m - j) * {100 + percent} >= {percent} * (n + m)"
+    return left.join(front, "e").where("label != label2").where(near).select(
+        F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"), "n", "m")
+
+
 def _verify(k: int, percent: int):
     """Keeps pairs whose sets reach the similarity; the last left set is kept, as pairs come sorted by it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,41 +212,34 @@ def near_dedup(
     shared = bands.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     bands = C.stored(bands.join(shared, "key", "left_semi"))
 
-    links = None
-    labels = None
+    links = labels = None
     for step in range(PIVOT_ROUNDS + 1):
         if labels is None:
             members = bands.withColumn("label", F.col("id"))
         else:
-            members = bands.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+            members = C.stored(bands.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")))
+        pivot = F.min_by(F.struct("id", "n", "label"), F.xxhash64("id", F.lit(step)))
         spread = (
-            members.groupBy("key").agg(
-                F.min("label").alias("lo"), F.max("label").alias("hi"),
-                F.min_by(F.struct("id", "n", "label"), F.xxhash64("id", F.lit(step))).alias("p"))
+            members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), pivot.alias("p"))
             .where("lo < hi")
         )
         if step < PIVOT_ROUNDS:
             pairs = members.join(spread, "key").where("label != p.label").select(
                 F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b"), "n", F.col("p.n").alias("m"))
         else:
-            rest = C.stored(members.join(spread.select("key"), "key", "left_semi"))
-            o = rest.select("key", F.col("id").alias("id2"), F.col("n").alias("m"), F.col("label").alias("label2"))
-            pairs = rest.join(o, "key").where("label < label2").select(
-                F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"), "n", "m")
-        pairs = pairs.where(f"100 * least(n, m) >= {percent} * greatest(n, m)").select("a", "b").distinct()
-        pairs = C.stored(pairs)
-        if pairs.isEmpty():
-            break
+            open_ = C.stored(members.join(spread, "key", "left_semi").select("id", "label").distinct())
+            pairs = _prefix_pairs(rep_texts, open_, k, percent)
+        pairs = C.stored(
+            pairs.where(f"100 * least(n, m) >= {percent} * greatest(n, m)").select("a", "b").distinct())
         left = rep_texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
         right = rep_texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
         found = C.stored(
             pairs.join(right, "b").join(left, "a").sortWithinPartitions("a")
             .mapInArrow(_verify(k, percent), "a long, b long")
         )
-        links = found if links is None else links.unionByName(found)
-        if step < PIVOT_ROUNDS and found.isEmpty():
-            continue
-        labels = components(links)
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            labels = components(links)
     return _result(prints, classes, labels, links, id_col)
 
 

@@ -10,6 +10,7 @@ all words of a selector decode in one vector step.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -126,32 +127,74 @@ def read_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]
 
 
 _loaded: dict[str, tuple] = {}
-#: Words whose ids a worker remembers, at most.
-CACHED_WORDS = 600_000
+#: Words, and pieces of words, whose ids a worker remembers, at most.
+CACHED_WORDS, CACHED_PIECES = 500_000, 700_000
+#: Marks that the tokenizer always parts from letters.
+_MARKS = ".,;:!?#*$%&|<>()[]\"-_/"
+
+
+def _pieces(word: bytes) -> list[str]:
+    """Marks, letters and marks of a word of that form; any other word whole.
+
+    Letters below U+0130 are lower-cased here as the tokenizer does it.  A word with
+    "<|" stays whole, as it may hold a special token.
+    """
+    text = word.decode("utf-8")
+    core = text.strip(_MARKS)
+    if not core.isalpha() or max(core) >= "\u0130" or "<|" in text:
+        return [text]
+    at = text.index(core)
+    return [x for x in (text[:at], core.lower(), text[at + len(core) :]) if x]
 
 
 def word_encoder(path: str) -> Callable[[str], bytes]:
     """Text to ids (little-endian 32-bit), by the tokenizers library.
 
-    The tokenizer drops white space and joins nothing across it, so words between
-    ASCII white space are encoded one by one, and a worker remembers their ids.
+    The tokenizer drops white space, joins nothing across it, and parts letters from
+    marks, so the pieces of words are encoded one by one, and a worker remembers
+    their ids.
     """
     from tokenizers import Tokenizer
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     if path not in _loaded:
-        _loaded[path] = (Tokenizer.from_file(path), {})
-    tok, known = _loaded[path]
+        _loaded[path] = (Tokenizer.from_file(path), {}, {})
+    tok, words_known, known = _loaded[path]
+
+    def learn(pieces: list[str]) -> None:
+        if len(known) + len(pieces) > CACHED_PIECES:
+            known.clear()
+        # words of letters only are one pre-token each, so many are encoded as one text
+        plain = [p for p in pieces if p.isalpha() and max(p) < "\u0130"]
+        for i in range(0, len(plain), 200):
+            some = plain[i : i + 200]
+            e = tok.encode(" ".join(some), add_special_tokens=False)
+            ids = np.array(e.ids, "<u4")
+            starts = np.searchsorted(np.array(e.word_ids), np.arange(len(some) + 1))
+            known.update((p, ids[x:y].tobytes()) for p, x, y in zip(some, starts[:-1], starts[1:], strict=True))
+        other = [p for p in pieces if not p.isalpha() or max(p) >= "\u0130"]
+        for p, e in zip(other, tok.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            known[p] = np.array(e.ids, "<u4").tobytes()
 
     def encode(text: str) -> bytes:
-        words = [w.decode("utf-8") for w in text.encode().split()]
-        new = list({w for w in words if w not in known})
-        if new:
-            if len(known) + len(new) > CACHED_WORDS:
-                known.clear()
-                new = list(set(words))
-            for w, e in zip(new, tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([known[w] for w in words])
+        words = text.encode().split()
+        out = [words_known.get(w) for w in words]
+        if None in out:
+            new = {w: _pieces(w) for w, ids in zip(words, out, strict=True) if ids is None}
+            missing = {p for ps in new.values() for p in ps if p not in known}
+            if len(known) + len(missing) > CACHED_PIECES:
+                missing = {p for ps in new.values() for p in ps}
+            if missing:
+                learn(sorted(missing))
+            if len(words_known) + len(new) > CACHED_WORDS:
+                words_known.clear()
+                new = {w: _pieces(w) for w in set(words)}
+                more = {p for ps in new.values() for p in ps if p not in known}
+                if more:
+                    learn(sorted(more))
+            words_known.update((w, b"".join([known[p] for p in ps])) for w, ps in new.items())
+            out = [words_known[w] for w in words]
+        return b"".join(out)
 
     return encode
 

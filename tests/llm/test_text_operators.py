@@ -1,0 +1,312 @@
+"""Operators on texts against brute force, with nulls, empty, long and repeated rows."""
+
+import collections
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from skyloom.llm import bpe, cuckoo, exact_dedup, line_dedup, minhash, mixing, pii, quality, substring, token_files
+
+LINE = "this line is shared by very many documents of the table"
+LONG = " ".join(f"w{i}" for i in range(9000))
+TEXTS = [
+    (1, f"{LINE}\nalpha beta gamma delta"), (2, f" {LINE.upper()}\t\nbeta"), (3, f"{LINE}\n{LINE}\nx"), (4, f"x\n{LINE}"), (5, LINE), (6, f"{LINE}\nend"),
+    (7, None), (8, ""), (9, " \t\n "), (10, LONG), (11, LONG + " tail"), (12, LONG), (12, LONG), (13, "a b c"), (14, "a  b\tc"), (15, "A b c"),
+    (None, "a b c"), (None, "only null"), (16, "x y éß中 \U0001f600 o'clock 12345 <|endoftext|>"), (17, "one two three " * 40),
+]
+SCHEMA = "doc_id long, text string, source string, id string, n int, kept string, size string, position string, key string"
+
+
+def frame(spark, rows=TEXTS):
+    """With columns whose names the operators use themselves."""
+    return spark.createDataFrame([(i, t, f"s{(i or 0) % 3}" if i != 8 else None, "id", 1, "k", "z", "p", "q") for i, t in rows], SCHEMA)
+
+
+def words(t):
+    return (t or "").encode().split()
+
+
+def by_row(df, *names):
+    return collections.Counter(tuple(r[n] for n in names) for r in df.collect())
+
+
+def sha(b):
+    return hashlib.sha256(b).hexdigest()
+
+
+@pytest.mark.parametrize("salted", [False, True])
+def test_exact_dedup(spark, salted):
+    rows = TEXTS + ([(100 + i, "hot   text") for i in range(400)] if salted else [])
+    norm = lambda t: re.sub(r"[\x20\x09-\x0d]+", " ", t or "")
+    groups = collections.defaultdict(list)
+    for i, t in rows:
+        groups[norm(t)].append(i)
+    want = collections.Counter()
+    for t, ids in groups.items():
+        ids.sort(key=lambda i: (i is None, i or 0))
+        for k, i in enumerate(ids):
+            want[(i, ids[0], len(ids), k == 0, sha(t.encode()))] += 1
+    out = exact_dedup.exact_dedup(frame(spark, rows), hot_share=3)
+    assert by_row(out, "doc_id", "keep_id", "group_size", "kept", "text_sha256") == want
+
+
+def test_quality_figures(spark):
+    out = quality.quality(frame(spark), host_limit=2.0)
+    for r in out.collect():
+        w = words(r.text)
+        grams = collections.Counter(zip(w, w[1:], w[2:], strict=False))
+        cover = {j for i, g in enumerate(zip(w, w[1:], w[2:], strict=False)) if grams[g] > 1 for j in (i, i + 1, i + 2)}
+        lines = [x for x in (r.text or "").split("\n") if x.strip(" \t\r\v\f")]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (
+            len(w), sum(len(x.decode()) for x in w), len(re.findall(r"[#*$%&|<>]", r.text or "")), len(lines) - len(set(lines)), len(cover))
+        assert r.base_failed == (len(w) < 50 or 100 * len(cover) > 50 * len(w)) and r.kept == (not r.base_failed)
+
+
+def test_bad_hosts_are_rejected(spark):
+    good, bad = " ".join(f"good{i}" for i in range(60)), "too short"
+    rows = [(i, good, "fine") for i in range(100)] + [(200 + i, bad, "bad") for i in range(99)] + [(299, good, "bad"), (300, good, None)]
+    out = quality.quality(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    kept = {r.doc_id for r in out.where("kept").collect()}
+    assert kept == {*range(100), 300}
+
+
+def test_line_dedup(spark):
+    holders = collections.defaultdict(set)
+    key = lambda x: x.strip(b" \t\n\r\x0b\x0c").lower()
+    for i, t in TEXTS:
+        for x in (t or "").encode().split(b"\n"):
+            if i is not None and len(key(x).decode()) >= 40:
+                holders[key(x)].add(i)
+    want = collections.Counter()
+    for i, t in TEXTS:
+        lines = (t or "").encode().split(b"\n")
+        kept = [x for x in lines if i is None or len(holders[key(x)]) < 5 or max(holders[key(x)]) == i]
+        want[(i, len(lines), len(lines) - len(kept), sha(b"\n".join(kept)))] += 1
+    out = line_dedup.line_dedup(frame(spark)).withColumn("s", F.sha2("kept_text", 256))
+    assert by_row(out, "doc_id", "n_lines", "n_dropped", "s") == want
+
+
+def test_line_index_is_reversible(spark):
+    docs = frame(spark).select(F.col("doc_id").alias("id"), "text")
+    first = line_dedup.update(None, docs.where("id <= 4"))
+    more = line_dedup.update(first, inserted=docs.where("id > 4"))
+    back = line_dedup.update(more, deleted=docs.where("id > 4"))
+    assert by_row(back, "key", "id", "n") == by_row(first, "key", "id", "n")
+    low, high = line_dedup.counts(first), line_dedup.counts(more)
+    empty, n = line_dedup.build_filters(low.where("n_docs >= 5"), 0)
+    full = line_dedup.revise_filters(empty, n, low, high)
+    hot = [bytes(r["key"]) for r in high.where("n_docs >= 5").collect()]
+    assert hot and line_dedup.load_filters(full, n).maybe(b"".join(hot)).all()
+    again = line_dedup.revise_filters(full, n, high, low)
+    assert not line_dedup.load_filters(again, n).table.any()
+
+
+def test_cuckoo_filter():
+    rng = np.random.default_rng(1)
+    keys = [rng.bytes(16) for _ in range(3000)]
+    shard = cuckoo.Shard(1024)
+    shard.insert(b"".join(keys))
+    f = cuckoo.Filters(1, 1024, {0: shard.to_bytes()})
+    assert f.maybe(b"".join(keys)).all()
+    others = b"".join(rng.bytes(16) for _ in range(3000))
+    assert f.maybe(others).mean() < 0.01
+    shard.delete(b"".join(keys[:2000]))
+    f = cuckoo.Filters(1, 1024, {0: shard.to_bytes()})
+    assert f.maybe(b"".join(keys[2000:])).all() and f.maybe(b"".join(keys[:2000])).mean() < 0.01
+    small = cuckoo.Shard(16)
+    small.insert(b"".join(keys))
+    assert small.saturated and cuckoo.Filters(1, 16, {0: small.to_bytes()}).maybe(others).all()
+
+
+def test_substring_dedup(spark):
+    order = sorted(TEXTS, key=lambda r: (r[0] is None, r[0] or 0, (r[1] or "").encode()))
+    seen, want = set(), collections.Counter()
+    for i, t in order:
+        w = words(t)
+        gone = [False] * len(w)
+        for a in range(len(w) - 19):
+            k = tuple(w[a : a + 20])
+            if k in seen:
+                gone[a : a + 20] = [True] * 20
+            seen.add(k)
+        want[(i, len(w), sum(gone), b" ".join(x for x, g in zip(w, gone, strict=True) if not g))] += 1
+    out = substring.substring_dedup(frame(spark))
+    assert collections.Counter((r.doc_id, r.n_words, r.n_removed, bytes(r.kept_text)) for r in out.collect()) == want
+    spans = {r.doc_id: r.removed for r in out.collect()}
+    assert spans[11] == [[0, 9000]] and not spans[10]
+
+
+def test_window_hash_is_of_the_words():
+    h = substring.word_hashes([f"{i % 7}".encode() for i in range(100)])
+    w = substring.window_hashes(h, 20)
+    assert len(w) == 81 and w[0] == w[7] and w[0] != w[1]
+    assert substring.window_hashes(h[50:], 20)[0] == w[50]
+
+
+def test_byte_bpe(spark):
+    import tiktoken
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    enc = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks(path), special_tokens={})
+    want = collections.Counter()
+    for i, t in TEXTS:
+        ids = enc.encode_ordinary(t or "")
+        want[(i, len(ids), ",".join(map(str, ids)), (t or "").encode())] += 1
+    out = bpe.encode_decode(frame(spark), path, public_tokenizers.PATTERN)
+    assert collections.Counter((r.doc_id, r.n_tokens, r.ids, bytes(r.decoded)) for r in out.collect()) == want
+
+
+def test_token_files(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    want, start = collections.Counter(), 0
+    for i, t in sorted(TEXTS, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+        ids = tok.encode(t or "", add_special_tokens=False).ids + [2]
+        want[(i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))] += 1
+        start += len(ids)
+    out = token_files.read_token_files(token_files.write_token_files(frame(spark), path, 2))
+    assert by_row(out, "doc_id", "start", "n_tokens", "ids_crc32") == want
+
+
+def test_word_pieces_encode_as_the_whole():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok, encode = Tokenizer.from_file(path), token_files.word_encoder(path)
+    texts = [
+        "a<|endoftext|>b <|startoftext|>", "\u0130stanbul \u03a3\u0391\u03a3 don't we'll 'tis it's. x_y 12,5 \u21165 e\u0301a \ufb01x \ufb01 \u01c4 \u0149 \u00df \u00a0nb\u2003sp",
+        "...a!!! (b) \x1c x\x85y", "'s. 's 're! a's,b", "...", "\u00c0\u00c9. <|a", "UPPER! Case? mixed###"]
+    for t in texts * 2:
+        assert np.frombuffer(encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("top", [1, 2, 300, 2**32 - 1, 2**63])
+def test_simple8b_round_trip(top):
+    for n in (0, 1, 59, 60, 61, 5000):
+        v = np.random.default_rng(n).integers(0, top, n, dtype=np.uint64)
+        assert (token_files.unpack_words(token_files.pack_block(v), n) == v).all()
+
+
+def brute_components(texts, k, percent):
+    sets = []
+    for _, t in texts:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set()))
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                parent[find(a)] = find(b)
+    groups = collections.defaultdict(list)
+    for i in range(len(sets)):
+        groups[find(i)].append(texts[i][0])
+    return sets, [min((x for x in groups[find(i)] if x is not None), default=None) for i in range(len(sets))]
+
+
+def test_near_dedup_finds_all_links(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, t) for i, t in TEXTS if i is not None]
+    base = [f"v{x}" for x in rng.integers(0, 10**6, 120)]
+    for i in range(120):  # copies of one text with one to eight words changed: many only link over others
+        w = list(base)
+        for p in rng.choice(120, 1 + i % 8, replace=False):
+            w[p] = f"n{i}x{p}"
+        rows.append((1000 - i, " ".join(w)))
+    sets, comp = brute_components(rows, 4, 80)
+    want = collections.Counter((i, len(s), c if s else i, (c if s else i) == i) for (i, _), s, c in zip(rows, sets, comp, strict=True))
+    assert by_row(minhash.near_dedup(frame(spark, rows)), "doc_id", "n_shingles", "component_id", "kept") == want
+
+
+def test_near_dedup_null_ids(spark):
+    out = minhash.near_dedup(frame(spark, [(None, "a b c"), (3, "a b c"), (None, "d e"), (None, None)]))
+    assert by_row(out, "doc_id", "n_shingles", "component_id", "kept") == collections.Counter(
+        [(None, 1, 3, False), (3, 1, 3, True), (None, 1, None, True), (None, 0, None, True)])
+
+
+def test_sketch_fills_every_bin_and_estimates():
+    rng = np.random.default_rng(2)
+    a = rng.integers(0, 2**63, 900, dtype=np.uint64)
+    sets = [np.unique(a[:800]), np.unique(a[100:]), np.unique(a[:1]), np.unique(a[:5])]
+    s = minhash.sketches(sets, 160)
+    assert (s != ~np.uint64(0)).all()
+    assert abs((s[0] == s[1]).mean() - 700 / 900) < 0.12
+
+
+def test_mixing(spark):
+    rows = [(i, "w " * (1 + i % 50), f"s{i % 5}" if i % 11 else None) for i in range(3000)] + [(1, None, "s1"), (1, "", "s9")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.assign(docs).collect()
+    size = collections.Counter()
+    for _, t, s in rows:
+        size[s] += len(words(t))
+    names = sorted((s for s in size if s is not None)) + [None]
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
+    left, target, open_ = 1.5 * sum(size.values()), {}, set(names)
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        over = [s for s in open_ if weight[s] * level > 2 * size[s]]
+        if not over:
+            target |= {s: weight[s] * level for s in open_}
+            break
+        for s in over:
+            target[s] = 2.0 * size[s]
+            left -= target[s]
+            open_.discard(s)
+    taken = collections.Counter()
+    for r in out:
+        taken[r.source] += r.taken
+        assert r.size == 0 or r.taken in (0, r.size, 2 * r.size)
+        assert r.source_size == size[r.source] and abs(r.target - target[r.source]) < 1e-6
+        assert all(0 <= p < 1 for p in r.positions)
+    assert all(abs(taken[s] - target[s]) <= 100 for s in names)
+    again = collections.Counter((r.doc_id, r.size, r.taken) for r in mixing.assign(docs.repartition(7)).collect())
+    assert again == collections.Counter((r.doc_id, r.size, r.taken) for r in out)
+    mixed = mixing.mix(docs.where("source is not null and text != ''"))
+    assert mixed.count() == sum(r.copies for r in mixing.assign(docs.where("source is not null and text != ''")).collect())
+
+
+def test_pii(spark):
+    values = ["a.b@x.com", "4111 1111 1111 1111", "+1 (017) 555-7713", "10.0.0.255", "2024-02-29", "29/02/2024", "123-45-6789", "DE89370400440532013000"]
+    rows = [(i, f"see {v}, then {v}.") for i, v in enumerate(values)] + [(50, "keep 1234567890123456 and 2023-02-30"), (51, None), (52, ""), (53, " ".join(values))]
+    out = {r.doc_id: r for r in pii.pseudonymize(frame(spark, rows), "secret").collect()}
+    for i, v in enumerate(values):
+        assert v not in out[i].text and len(out[i].found) == 2
+        new = out[i].found[0].v
+        assert out[i].found[1].v == new and new in out[53].text and out[i].text == f"see {new}, then {new}."
+        if i:
+            assert len(new) == len(v) or i == 3
+    assert out[50].text == rows[8][1] and out[51].text is None and out[52].text == "" and not out[51].found
+    other = {r.doc_id: r for r in pii.pseudonymize(frame(spark, rows), "other").collect()}
+    assert other[1].text != out[1].text
+
+
+def test_digits_are_permuted(spark):
+    for n, width in ((100, 2), (1000, 3)):
+        ids = spark.range(n).select(F.lpad(F.col("id").cast("string"), width, "0").alias("d"))
+        out = ids.select(pii.digits_permuted(F.col("d"), F.lit("t"), "k").alias("p")).collect()
+        assert len({r.p for r in out}) == n and all(len(r.p) == width for r in out)
+
+
+EMPTY = [
+    exact_dedup.exact_dedup, quality.quality, line_dedup.line_dedup, substring.substring_dedup, minhash.near_dedup, mixing.assign, mixing.mix,
+    lambda d: pii.pseudonymize(d, "k"), lambda d: bpe.encode_decode(d, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN),
+    lambda d: token_files.read_token_files(token_files.write_token_files(d, public_tokenizers.path("word_bpe_49k.json"), 2))]
+
+
+@pytest.mark.parametrize("run", EMPTY)
+def test_empty_tables(spark, run):
+    assert run(frame(spark, [])).count() == 0
