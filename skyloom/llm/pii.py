@@ -3,8 +3,9 @@
 Validated numbers (IPv4 addresses, payment cards, IBANs, phone numbers, social
 security numbers) and dates are permuted within their format by keyed Feistel
 rounds, so equal values get equal pseudonyms in all documents, different values
-different ones, and check digits stay valid.  E-mail addresses and hexadecimal
-secrets, which are not numbers of a bounded format, get keyed hashes in their form.
+different ones, and check digits stay valid.  E-mail addresses, hexadecimal secrets,
+cloud access keys and the values of password assignments, which are not numbers of a
+bounded format, get keyed hashes in their form.
 Numbers that fail validation stay.
 """
 
@@ -18,11 +19,14 @@ ROUNDS = 8
 PATTERNS = {
     "email": r"[\p{L}\p{N}._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![\p{L}\p{N}])",
+    "access_key": r"(?<![\p{L}\p{N}])(?:AKIA|ASIA)[A-Z0-9]{16}(?![\p{L}\p{N}])",
+    "password": r"(?<![\p{L}\p{N}])(?:[Pp]assword|PASSWORD|[Pp]asswd|[Pp]assphrase|pwd)[=:][\"']?[^\s\"'<>,;&]{4,}",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ip": r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![\p{N}]|\.[\p{N}])",
     "date": r"(?<![\p{N}/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![\p{N}/-])",
     "ssn": r"(?<![\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{N}-])",
-    "phone": r"(?:\+[0-9]{1,3}[ .-]?)(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?!\p{N})"
+    "phone": r"\+[0-9]{1,3}[ .-]?\([0-9]{1,4}\)[ .-]?[0-9]{2,4}[ .-]?[0-9]{2,4}(?![.-]?\p{N})"
+             r"|\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,4}(?![.-]?\p{N})|\+[0-9]{8,15}(?!\p{N})"
              r"|(?<!\p{N})\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?!\p{N})|(?<![\p{N}.-])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?!\p{N})",
     "card": r"(?<![\p{N}-])(?:[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}|[0-9]{13,19})(?![\p{N}-])",
 }
@@ -91,6 +95,20 @@ def _secret(v: Column, key: str) -> Column:
     return F.when(v.rlike("[A-F]"), F.upper(code)).otherwise(code)
 
 
+def _access_key(v: Column, key: str) -> Column:
+    """The prefix stays; the rest are 16 hexadecimal digits of a keyed hash, in capitals."""
+    code = F.upper(F.sha2(F.concat_ws(":", F.lit(key), F.lit("access_key"), v), 256))
+    return F.concat(F.substring(v, 1, 4), F.substring(code, 1, 16))
+
+
+def _password(v: Column, key: str) -> Column:
+    """The name and the quote stay; the value becomes a keyed hash of its length, 64 digits at most."""
+    name = F.regexp_extract(v, "^[^=:]*[=:][\"']?", 0)
+    value = F.substring(v, F.length(name) + 1, F.length(v))
+    code = F.sha2(F.concat_ws(":", F.lit(key), F.lit("password"), value), 256)
+    return F.concat(name, F.substring(code, F.lit(1), F.length(value)))
+
+
 def _ip(v: Column, key: str) -> Column:
     o = lambda i: F.split_part(v, F.lit("."), F.lit(i)).cast("bigint")
     a, b = feistel(o(1) * 256 + o(2), o(3) * 256 + o(4), F.lit(65536), F.lit(65536), F.lit("ip"), key)
@@ -157,7 +175,7 @@ def kind_of(v: Column) -> Column:
 
 def pseudonym(kind: Column, v: Column, key: str) -> Column:
     out = F.when(kind.isNull(), v)
-    for k, f in {"email": _email, "secret": _secret, "iban": _iban, "ip": _ip, "date": _date, "phone": _phone, "card": _card}.items():
+    for k, f in {"email": _email, "secret": _secret, "access_key": _access_key, "password": _password, "iban": _iban, "ip": _ip, "date": _date, "phone": _phone, "card": _card}.items():
         out = out.when(kind == k, f(v, key))
     return out.otherwise(refilled(v, digits_permuted(only_digits(v), F.lit("ssn"), key)))
 
