@@ -30,3 +30,16 @@ def components(links: DataFrame) -> DataFrame:
         labels = jumped.select("id", "label")
         if not changed:
             return labels
+
+
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``labels`` after adding ``links`` (a, b) to the graph: only the components that they join are labelled anew."""
+    if labels is None:
+        return components(links)
+    a = labels.select(F.col("id").alias("a"), F.col("label").alias("_a"))
+    b = labels.select(F.col("id").alias("b"), F.col("label").alias("_b"))
+    roots = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    moved = components(roots.where("a != b").distinct()).select(F.col("id").alias("_root"), F.col("label").alias("_to"))
+    old = labels.join(moved, labels["label"] == moved["_root"], "left").select("id", F.coalesce("_to", "label").alias("label"))
+    new = moved.join(labels, moved["_root"] == labels["id"], "left_anti").select(F.col("_root").alias("id"), F.col("_to").alias("label"))
+    return C.stored(old.unionByName(new))

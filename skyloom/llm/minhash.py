@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common as C
-from .components import components
+from .components import merged
 
 BINS = 160
 ROWS = 4
@@ -239,7 +239,7 @@ def near_dedup(
         )
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
-            labels = components(links)
+            labels = merged(labels, found)
     return _result(prints, classes, labels, links, id_col)
 
 
