@@ -33,9 +33,9 @@ class Shard:
 
     def __init__(self, n_buckets: int, table: bytes | None = None):
         self.n_buckets = n_buckets
-        blank = np.zeros((n_buckets, SLOTS), np.uint16)
-        self.table = blank if table is None else np.frombuffer(table, np.uint16).reshape(n_buckets, SLOTS).copy()
         self.saturated = table is not None and not len(table)
+        blank = np.zeros((n_buckets, SLOTS), np.uint16)
+        self.table = np.frombuffer(table, np.uint16).reshape(n_buckets, SLOTS).copy() if table else blank
 
     def _put(self, bucket: int, finger: int) -> bool:
         row = self.table[bucket]
@@ -46,6 +46,8 @@ class Shard:
         return False
 
     def insert(self, digests: bytes) -> None:
+        if self.saturated:
+            return
         _, fingers, firsts = _parts(digests, 1, self.n_buckets)
         for f, b in zip(fingers.tolist(), firsts.tolist(), strict=True):
             if self._put(b, f) or self._put(_other(b, f, self.n_buckets), f):
@@ -61,7 +63,9 @@ class Shard:
                 return
 
     def delete(self, digests: bytes) -> None:
-        """Keys that were inserted."""
+        """Keys that were inserted.  A saturated shard has lost some, and stays as it is."""
+        if self.saturated:
+            return
         _, fingers, firsts = _parts(digests, 1, self.n_buckets)
         for f, b in zip(fingers.tolist(), firsts.tolist(), strict=True):
             for at in (b, _other(b, f, self.n_buckets)):

@@ -123,6 +123,44 @@ def test_cuckoo_filter():
     assert small.saturated and cuckoo.Filters(1, 16, {0: small.to_bytes()}).maybe(others).all()
 
 
+def test_saturated_shards_are_revised(spark, monkeypatch):
+    key = lambda i: hashlib.md5(b"%d" % i).digest()
+    counts = lambda a, b: spark.createDataFrame([(key(i), 5, 1) for i in range(a, b)], "key binary, n_docs long, last long")
+    probe = lambda f: line_dedup.load_filters(f, n, 1)
+    monkeypatch.setattr(line_dedup, "FILTER_BYTES", 16 * 8)
+    full, n = line_dedup.build_filters(counts(0, 100), 100, 1)
+    assert n == 16 and probe(full).saturated.all()
+    shard = cuckoo.Shard(n, b"")
+    shard.insert(key(1))
+    shard.delete(key(1) + key(2))
+    assert shard.to_bytes() == b""
+    still = line_dedup.revise_filters(full, n, counts(0, 100), counts(0, 90), n_shards=1)
+    assert probe(still).saturated.all()
+    grown = line_dedup.revise_filters(still, n, counts(0, 90), counts(0, 120), n_shards=1)
+    assert probe(grown).saturated.all()
+    fits = line_dedup.revise_filters(grown, n, counts(0, 120), counts(20, 50), n_shards=1)
+    assert not probe(fits).saturated.any() and (probe(fits).table > 0).sum() == 30
+    assert probe(fits).maybe(b"".join(key(i) for i in range(20, 50))).all()
+    none = line_dedup.revise_filters(grown, n, counts(0, 120), counts(0, 0), n_shards=1)
+    assert not probe(none).saturated.any() and not probe(none).table.any()
+
+
+@pytest.mark.parametrize("budget", [line_dedup.FILTER_BYTES, 512])
+def test_line_dedup_with_a_stored_index(spark, monkeypatch, budget):
+    monkeypatch.setattr(line_dedup, "FILTER_BYTES", budget)  # the small one has 4 slots a shard
+    shared = [f"shared line {j} of the table, long enough to count as one" for j in range(600)]
+    rows = [(i, "\n".join([*shared[: 600 if i < 6 else 60], f"own {i}"])) for i in range(12)]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    names = ("id", "n_lines", "n_dropped", "kept_text")
+    index = line_dedup.build_index(docs.where("id < 4"))
+    for inserted, deleted in (("id >= 4", None), (None, "id < 3")):
+        index = line_dedup.revise_index(index, docs.where(inserted) if inserted else None, docs.where(deleted) if deleted else None)
+        now = docs.join(index.state.select("id").distinct(), "id", "left_semi")
+        whole = line_dedup.line_dedup(now, "id")
+        assert by_row(line_dedup.line_dedup(now, "id", index=index), *names) == by_row(whole, *names)
+    assert whole.agg(F.sum("n_dropped")).first()[0] == 60 * 8
+
+
 def test_substring_dedup(spark):
     order = sorted(TEXTS, key=lambda r: (r[0] is None, r[0] or 0, (r[1] or "").encode()))
     seen, want = set(), collections.Counter()
