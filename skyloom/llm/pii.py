@@ -15,13 +15,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+#: Countries by the length of their IBANs.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY PT ST",
+    26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD", 28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN_START = "(?:" + "|".join(" ".join(IBAN_LENGTHS.values()).split()) + ")[0-9]{2}"
+
+
+def _iban_pattern() -> str:
+    """A match ends with the IBAN, as its country fixes the length: words that follow aren't part of it.
+
+    Any other text of the form is a match too (its check digits decide), unless an IBAN of a country starts in it.
+    """
+    exact = "|".join(
+        f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+        for n, c in IBAN_LENGTHS.items())
+    group = f"(?! {_IBAN_START}(?: ?[A-Z0-9]{{4}}){{2}}) ?[A-Z0-9]"
+    other = rf"[A-Z]{{2}}[0-9]{{2}}(?:{group}{{4}}){{2,7}}(?:{group}{{1,3}})?"
+    end = r"(?![\p{L}\p{N}])"
+    return rf"(?<![\p{{L}}\p{{N}}])(?=[A-Z]{{2}}[0-9]{{2}})(?:(?:{exact}){end}|{other}{end})"
+
+
 #: Fixed patterns, in order of precedence at one place.
 PATTERNS = {
     "email": r"[\p{L}\p{N}._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![\p{L}\p{N}])",
     "access_key": r"(?<![\p{L}\p{N}])(?:AKIA|ASIA)[A-Z0-9]{16}(?![\p{L}\p{N}])",
     "password": r"(?<![\p{L}\p{N}])(?:[Pp]assword|PASSWORD|[Pp]asswd|[Pp]assphrase|pwd)[=:][\"']?[^\s\"'<>,;&]{3,}[^\s\"'<>,;&.:!?)]",
-    "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
+    "iban": _iban_pattern(),
     "ip": r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![\p{N}]|\.[\p{N}])",
     "date": r"(?<![\p{N}/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![\p{N}/-])",
     "ssn": r"(?<![\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{N}-])",

@@ -333,6 +333,26 @@ def test_pii(spark):
     assert other[1].text != out[1].text
 
 
+def test_ibans_end_where_they_end(spark):
+    ibans = ["ES91 2100 0418 4502 0005 1332", "BE71 0961 2345 6769", "AT61 1904 3002 3457 3201", "SE45 5000 0000 0583 9825 7466",
+             "PL61 1090 1014 0000 0712 1981 2874", "DE89 3704 0044 0532 0130 00", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "NO93 8601 1117 947"]
+    bad = "BE72 0961 2345 6769"
+    after = [" BIC: X", " 2024", " EUR", ", 5", " EUR 1000 BIC", ""]
+    rows = [(w, f"AB12 {w}{a}") for v in [*ibans, bad] for w in (v, v.replace(" ", "")) for a in after]
+    docs = spark.createDataFrame([(i, v, t) for i, (v, t) in enumerate(rows)], "doc_id long, value string, text string")
+    mod97 = lambda v: int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97
+    new = collections.defaultdict(set)
+    for r in pii.pseudonymize(docs, "secret").collect():
+        tail = rows[r.doc_id][1][len("AB12 ") + len(r.value) :]
+        if r.value.replace(" ", "") == bad.replace(" ", ""):
+            assert r.text == rows[r.doc_id][1] and not r.found
+            continue
+        assert [f.kind for f in r.found] == ["iban"] and r.text == f"AB12 {r.found[0].v}{tail}" and r.value != r.found[0].v
+        assert len(r.found[0].v) == len(r.value) and mod97(r.found[0].v.replace(" ", "")) == 1
+        new[r.value].add(r.found[0].v)
+    assert len(new) == 16 and all(len(x) == 1 for x in new.values())
+
+
 def test_digits_are_permuted(spark):
     for n, width in ((100, 2), (1000, 3)):
         ids = spark.range(n).select(F.lpad(F.col("id").cast("string"), width, "0").alias("d"))
