@@ -176,22 +176,24 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
         for p, e in zip(other, tok.encode_batch_fast(other, add_special_tokens=False), strict=True):
             known[p] = np.array(e.ids, "<u4").tobytes()
 
+    def know(new: dict[bytes, list[str]]) -> None:
+        """Learns the pieces of words; all of them where learning forgets the others."""
+        missing = {p for ps in new.values() for p in ps if p not in known}
+        if len(known) + len(missing) > CACHED_PIECES:
+            missing = {p for ps in new.values() for p in ps}
+        if missing:
+            learn(sorted(missing))
+
     def encode(text: str) -> bytes:
         words = text.encode().split()
         out = [words_known.get(w) for w in words]
         if None in out:
             new = {w: _pieces(w) for w, ids in zip(words, out, strict=True) if ids is None}
-            missing = {p for ps in new.values() for p in ps if p not in known}
-            if len(known) + len(missing) > CACHED_PIECES:
-                missing = {p for ps in new.values() for p in ps}
-            if missing:
-                learn(sorted(missing))
+            know(new)
             if len(words_known) + len(new) > CACHED_WORDS:
                 words_known.clear()
                 new = {w: _pieces(w) for w in set(words)}
-                more = {p for ps in new.values() for p in ps if p not in known}
-                if more:
-                    learn(sorted(more))
+                know(new)
             words_known.update((w, b"".join([known[p] for p in ps])) for w, ps in new.items())
             out = [words_known[w] for w in words]
         return b"".join(out)

@@ -225,6 +225,20 @@ def test_word_pieces_encode_as_the_whole():
         assert np.frombuffer(encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+def test_word_pieces_are_relearned_when_the_caches_are_full(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    monkeypatch.setattr(token_files, "CACHED_WORDS", 12)
+    monkeypatch.setattr(token_files, "CACHED_PIECES", 14)
+    monkeypatch.setattr(token_files, "_loaded", {})
+    tok, encode = Tokenizer.from_file(path), token_files.word_encoder(path)
+    rng = np.random.default_rng(3)
+    for size in rng.integers(1, 30, 200):
+        t = " ".join(f"w{chr(97 + x)}{'.' * (x % 2)}" for x in rng.integers(0, 26, size))
+        assert np.frombuffer(encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("top", [1, 2, 300, 2**32 - 1, 2**63])
 def test_simple8b_round_trip(top):
     for n in (0, 1, 59, 60, 61, 5000):
