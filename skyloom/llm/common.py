@@ -7,10 +7,12 @@ by Spark's own readers only.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: ASCII white space; words are what lies between.
@@ -23,30 +25,47 @@ _own_dir: list[str] = []
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, or, where none is set (tests), an own one."""
+    """The cluster's shared folder; where none is set, an own one in local mode (tests), and an error elsewhere."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _own_dir:
         _own_dir.append(tempfile.mkdtemp(prefix="work-"))
     return _own_dir[0]
 
 
+#: Lists that note the work tables made while they are open, innermost last.
+_notes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def noted(paths: list[str]) -> Iterator[None]:
+    """Within it, the folders of new work tables are added to ``paths``."""
+    _notes.append(paths)
+    try:
+        yield
+    finally:
+        _notes.remove(paths)
+
+
 def stored(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """``df`` written as a work table and read back."""
     spark = df.sparkSession
     path = f"{work_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    if _notes:
+        _notes[-1].append(path)
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_stored(df: DataFrame) -> None:
-    """Delete the files of a work table that nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for f in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Delete the folders of work tables that nothing reads any more, and empty the list."""
+    sc = spark.sparkContext
+    while paths:
+        path = sc._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -88,8 +107,6 @@ def ranked(df: DataFrame, *order: Column | str, name: str = "rank") -> DataFrame
         .withColumn("_part", F.shiftright("_at", 33))
         .withColumn("_at", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
     )
-    from pyspark.sql import Window
-
     starts = (
         local.groupBy("_part").agg(F.count("*").alias("_n"))
         .withColumn("_start", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n"))

@@ -154,13 +154,14 @@ def _prefix_pairs(texts: DataFrame, open_: DataFrame, k: int, percent: int) -> D
     largest component is only compared with the rest.
     """
     e = C.stored(texts.join(open_.select("id"), "id", "left_semi").mapInArrow(_elements(k), "id long, e long"))
-    held = e.groupBy("e").agg(F.count("*").alias("df"))
+    held = C.stored(e.groupBy("e").agg(F.count("*").alias("df")))
     ordered = e.join(held, "e").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("es"))
     n = F.size("es")
     ordered = ordered.select("id", n.alias("n"), F.posexplode(F.slice("es", F.lit(1), n - F.ceil(n * percent / 100).cast("int") + 1)).alias("i", "s"))
     front = C.stored(ordered.where("s.df > 1").select("id", "n", "i", F.col("s.e").alias("e")).join(open_, "id"))
     sizes = front.groupBy("e", "label").agg(F.count("*").alias("c"))
-    mixed = sizes.groupBy("e").agg(F.count("*").alias("labels"), F.max_by("label", F.struct("c", "label")).alias("major")).where("labels > 1")
+    mixed = C.stored(
+        sizes.groupBy("e").agg(F.count("*").alias("labels"), F.max_by("label", F.struct("c", "label")).alias("major")).where("labels > 1"))
     left = front.join(mixed.select("e", "major"), "e").where("label != major").select(
         "e", F.col("id").alias("id2"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("label").alias("label2"))
     near = f"least(n - i, m - j) * {100 + percent} >= {percent} * (n + m)"
@@ -203,9 +204,20 @@ def near_dedup(
     classes = C.stored(
         prints.where("digest is not null").groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     )
+    spent: list[str] = []  # tables that the result doesn't read
+    with C.noted(spent):
+        labels, links = _linked(base, classes, C.n_tasks(docs), k, percent, bins, rows)
+    if labels is not None:
+        labels, links = C.stored(labels), C.stored(links)
+    C.delete(docs.sparkSession, spent)
+    return _result(prints, classes, labels, links, id_col)
+
+
+def _linked(base: DataFrame, classes: DataFrame, n: int, k: int, percent: int, bins: int, rows: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """(id, label) and the verified links (a, b) of the class representatives; None where no two link."""
     reps = classes.where("rep is not null").select(F.col("rep").alias("id")).distinct()
     rep_texts = base.where("id is not null").join(reps, "id", "left_semi")
-    rep_texts = C.stored(rep_texts.repartition(C.n_tasks(docs), "id").dropDuplicates(["id", "text"]))
+    rep_texts = C.stored(rep_texts.repartition(n, "id").dropDuplicates(["id", "text"]))
     bands = C.stored(
         rep_texts.mapInArrow(_bands(k, bins, rows), "key long, id long, n long").where("n > 0")
     )
@@ -240,7 +252,7 @@ def near_dedup(
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             labels = merged(labels, found)
-    return _result(prints, classes, labels, links, id_col)
+    return labels, links
 
 
 def _result(prints, classes, labels, links, id_col) -> DataFrame:

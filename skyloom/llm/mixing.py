@@ -6,7 +6,8 @@ source's cumulative demand, target * (t + slope * (t*t - t)).  A source's docume
 lie one after the other, in seeded order, on its token stream, which may be read up
 to ``max_repeats`` times; a copy is taken if its middle lies before the target, and
 its training position is the time at which cumulative demand reaches its start.
-The mix is range-sorted by position.
+The mix is range-sorted by position.  Every row has a key of its own, so positions meet
+their texts by one even join, whatever ids repeat or lack.
 
 A source may hold any share of all rows: its stream is cut into buckets of seeded
 hashes, of about ``BUCKET_ROWS`` rows; sums are taken by bucket before the running
@@ -70,23 +71,18 @@ def _position(start: Column) -> Column:
     return F.when(F.col("target") <= 0, F.lit(None)).when(k == 0, u).otherwise((root - (1 - k)) / (2 * k)) + 0.0
 
 
-def assign(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_repeats: int = MAX_REPEATS, seed: int = 17,
+def _assigned(
+    docs: DataFrame, id_col: str, text_col: str, source_col: str,
+    weights: tuple[float, ...], share: float, max_repeats: int, seed: int, row_col: str | None = None,
 ) -> DataFrame:
-    """``docs`` without the text, and size, source_size, target, copies, taken, positions.
-
-    ``positions`` has a training time in [0, 1) for each copy that is taken.  Null
-    texts have no words: they are taken with the words around them, at size 0.
-    Null sources are a source of their own, ranked last.  Rows that repeat are taken
-    one by one, in the order of id and size; rows alike in both are interchangeable.
-    """
-    out_cols = {"size", "source_size", "target", "copies", "taken", "positions"}
-    rest = [c for c in docs.columns if c not in out_cols and c != text_col]
+    """The result of ``assign`` with _row, a key of each row (``row_col``, or a new one), and _h, its seeded hash."""
+    rest = [c for c in docs.columns if c not in _OUT and c not in (text_col, "_row", "_h")]
+    text = C.text_or_empty(f"`{text_col}`")
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     rows = docs.select(
-        *[F.col(f"`{c}`") for c in rest], F.col(id_col).alias("_id"), F.col(source_col).alias("_source"),
-        C.word_count(C.text_or_empty(f"`{text_col}`")).alias("size"),
-        F.xxhash64(F.lit(seed), F.col(id_col)).alias("_h"),
+        *[F.col(f"`{c}`") for c in rest], row.alias("_row"), F.col(f"`{id_col}`").alias("_id"),
+        F.col(f"`{source_col}`").alias("_source"), C.word_count(text).alias("size"),
+        F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), text).alias("_h"),
     )
     rows = C.stored(rows)  # sizes are needed three times
     targets = source_targets(rows.select(F.col("_source").alias("source"), "size"), weights, share, max_repeats)
@@ -104,32 +100,58 @@ def assign(
     starts = F.transform(F.sequence(F.lit(0), F.lit(max_repeats - 1)), lambda e: F.col("_start") + e * F.col("source_size"))
     rows = rows.withColumn("_starts", F.filter(starts, lambda s: s + F.col("size") / 2 < F.col("target")))
     return rows.select(
-        *[F.col(f"`{c}`") for c in rest], "size", "source_size", "target", F.size("_starts").alias("copies"),
-        (F.size("_starts") * F.col("size")).cast("long").alias("taken"),
+        *[F.col(f"`{c}`") for c in rest], "_row", "_h", "size", "source_size", "target",
+        F.size("_starts").alias("copies"), (F.size("_starts") * F.col("size")).cast("long").alias("taken"),
         F.transform("_starts", lambda s: _position(s)).alias("positions"),
     )
 
 
+_OUT = {"size", "source_size", "target", "copies", "taken", "positions", "places"}
+
+
+def assign(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_repeats: int = MAX_REPEATS, seed: int = 17,
+) -> DataFrame:
+    """``docs`` without the text, and size, source_size, target, copies, taken, positions.
+
+    ``positions`` has a training time in [0, 1) for each copy that is taken.  Null
+    texts have no words: they are taken with the words around them, at size 0.
+    Null sources are a source of their own, ranked last.  Rows are ordered by a seeded
+    hash of id and text: rows that repeat both are taken one by one and are
+    interchangeable.  Columns of ``docs`` that have the names of result columns are
+    replaced; an empty table gives an empty result; a text is never held but by its row.
+    """
+    return _assigned(docs, id_col, text_col, source_col, weights, share, max_repeats, seed).drop("_row", "_h")
+
+
+def placed(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_repeats: int = MAX_REPEATS, seed: int = 17,
+) -> DataFrame:
+    """The result of ``assign`` with ``places``: where the row's copies lie in the range-sorted mix, from 0."""
+    plan = C.stored(_assigned(docs, id_col, text_col, source_col, weights, share, max_repeats, seed))
+    copies = plan.select("_row", "_h", F.explode("positions").alias("position"))
+    back = C.ranked(copies, "position", "_h", name="place").groupBy("_row").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    out = plan.drop("_h").join(back, "_row", "left").drop("_row")
+    return out.withColumn("places", F.coalesce("places", F.array().cast("array<bigint>")))
+
+
 def mix(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_repeats: int = MAX_REPEATS, seed: int = 17,
 ) -> DataFrame:
     """The mix itself: the rows of ``docs`` once for each copy, range-sorted by ``position``.
 
-    Copies join their texts by a key of the row (its id and content hash), so rows
-    that repeat an id stay apart.
+    Two exchanges carry the texts: the join with their positions, and the sort.  Nulls,
+    repeats and empty tables are as for ``assign``; a column named position is replaced.
     """
-    key = [F.col(f"`{id_col}`").alias("_key_id"), F.xxhash64(F.col(f"`{text_col}`"), F.col(f"`{source_col}`")).alias("_key_hash")]
-    plan = assign(
-        docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.col(f"`{source_col}`"), *key),
-        id_col, text_col, source_col, **options)
-    # rows alike in id, text and source share one list of positions
-    places = plan.where("copies > 0").groupBy("_key_id", "_key_hash").agg(F.flatten(F.collect_list("positions")).alias("_p"))
-    once = docs.dropDuplicates([id_col, text_col, source_col])
-    given = [F.col(f"`{c}`") for c in docs.columns if c != "position"]
-    return (
-        once.select(*given, *key).alias("d").join(
-            places.select(F.col("_key_id").alias("_i"), F.col("_key_hash").alias("_j"), "_p"),
-            F.col("_key_id").eqNullSafe(F.col("_i")) & (F.col("_key_hash") == F.col("_j")))
-        .select(*given, F.explode("_p").alias("position"))
-        .repartitionByRange(C.n_tasks(docs), "position").sortWithinPartitions("position", id_col)
-    )
+    given = [c for c in docs.columns if c != "position"]
+    inner = {c: f"_c{i}" for i, c in enumerate(given)}
+    rows = C.stored(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()], F.monotonically_increasing_id().alias("_row")))
+    i, t, s = inner[id_col], inner[text_col], inner[source_col]
+    plan = _assigned(rows.select("_row", i, t, s), i, t, s, weights, share, max_repeats, seed, "_row")
+    places = plan.where("copies > 0").select("_row", "_h", "positions")
+    mixed = rows.join(places, "_row").select(*inner.values(), "_h", F.explode("positions").alias("position"))
+    mixed = mixed.repartitionByRange(C.n_tasks(docs), "position", "_h").sortWithinPartitions("position", "_h")
+    return mixed.select(*[F.col(n).alias(c) for c, n in inner.items()], "position")

@@ -113,11 +113,12 @@ def host_verdicts(figures: DataFrame, host_col: str = "source", host_limit: floa
 
 def quality(
     docs: DataFrame, text_col: str = "text", host_col: str = "source", host_limit: float = HOST_LIMIT,
-    keep_text: bool = True,
+    keep_text: bool = True, text_of_failed: bool = True,
 ) -> DataFrame:
     """``docs`` (without the text, if so asked) with the figures, base_failed, host_rate, host_rejected and kept.
 
     base_failed: fewer than 50 words, or over half the words in repeated windows.
+    Without ``text_of_failed`` the texts of rows that fail it are null in the result.
     Rows that repeat are judged one by one; an empty table gives an empty result.
     Columns of ``docs`` that have the names of result columns are replaced.
     """
@@ -125,12 +126,15 @@ def quality(
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in out_cols]
     figures = rule_figures(docs.select(*rest), text_col)
     # Stored, as the figures are needed twice and cost far more than the rest.
+    if not text_of_failed:
+        figures = figures.withColumn(text_col, F.when(~base_failed(), F.col(f"`{text_col}`")))
     figures = C.stored(figures if keep_text else figures.drop(text_col))
+    # One row per host, stored: Catalyst knows its size, and broadcasts it only if that is small.
     hosts = host_verdicts(figures.select(F.col(host_col).alias("_h"), *FIGURES), "_h", host_limit).select(
         F.col("host").alias("_host"), F.col("any_rate").alias("host_rate"), "host_rejected"
     )
     return (
-        figures.join(hosts, F.col(host_col).eqNullSafe(F.col("_host")), "left")
+        figures.join(C.stored(hosts), F.col(host_col).eqNullSafe(F.col("_host")), "left")
         .withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected"))
         .drop("_host")

@@ -70,8 +70,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mixing.assign(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return out.select("doc_id", "size", "source_size", "target", "taken", F.get("positions", F.lit(0)).alias("position"))
+    out = mixing.placed(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", "places")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
