@@ -11,8 +11,10 @@ all words of a selector decode in one vector step.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -48,10 +50,20 @@ def pack_block(values: np.ndarray) -> np.ndarray:
     if not n:
         return np.empty(0, _U)
     bits = np.concatenate([_bits(values), np.zeros(60, np.uint8)])
-    best = np.zeros(n, np.int64)  # 0: more than 60 bits
+    top = int(bits.max())
+    # the most ids a word of which any run fits; selectors of more ids are tried where enough ids are small
+    sure = max((s for s in range(1, len(COUNTS)) if 60 // COUNTS[s] >= top), key=lambda s: COUNTS[s], default=0)
+    best = np.full(n, sure, np.int8)  # 0: more than 60 bits
     for s in range(len(COUNTS) - 1, 0, -1):
-        wide = np.concatenate([[0], np.cumsum(bits > 60 // COUNTS[s])])
-        best[wide[COUNTS[s] : COUNTS[s] + n] == wide[:n]] = s
+        c = COUNTS[s]
+        if sure and c <= COUNTS[sure]:
+            continue
+        small = bits <= 60 // c
+        if np.count_nonzero(small[:n]) < min(c, n):
+            continue
+        wide = np.zeros(n + 61, np.int32)
+        np.cumsum(~small, out=wide[1:])
+        best[wide[c : c + n] == wide[:n]] = s
     nexts = (np.arange(n) + np.array(COUNTS)[best]).tolist()
     at, starts = 0, []
     while at < n:
@@ -68,8 +80,10 @@ def pack_block(values: np.ndarray) -> np.ndarray:
             words[place[chosen == 0] + 1] = values[own]
             continue
         c, w = COUNTS[s], 60 // COUNTS[s]
-        shifts = (np.arange(c) * w).astype(_U)
-        words[place[chosen == s]] = np.bitwise_or.reduce(padded[own[:, None] + np.arange(c)] << shifts, axis=1) | (_U(s) << _U(60))
+        out = np.full(len(own), int(s) << 60, _U)
+        for j in range(c):
+            out |= padded[own + j] << _U(j * w)
+        words[place[chosen == s]] = out
     return words
 
 
@@ -127,77 +141,69 @@ def read_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]
 
 
 _loaded: dict[str, tuple] = {}
-#: Words, and pieces of words, whose ids a worker remembers, at most.
-CACHED_WORDS, CACHED_PIECES = 500_000, 700_000
-#: Marks that the tokenizer always parts from letters.
-_MARKS = ".,;:!?#*$%&|<>()[]\"-_/"
-
+#: Pieces of texts, and words of other scripts, whose ids a worker remembers, at most.
+CACHED_PIECES = 600_000
+#: Letters, numbers and white space below U+0130, in lower case, as the tokenizer's pattern parts them.
+_LETTER, _NUMBER, _BLANK = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u012f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", "\\t-\\r \u0085\u00a0"
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_BLANK}{_LETTER}{_NUMBER}]+")
+#: Texts that need the tokenizer's own normaliser: other scripts, control characters, and what may be a special token.
+_OTHER = re.compile("[\u0130-\U0010ffff\x00-\x08\x0e-\x1f\x7f]|<\\|")
 
-def _pieces(word: bytes) -> list[str]:
-    """Marks, letters and marks of a word of that form; any other word whole.
 
-    Letters below U+0130 are lower-cased here as the tokenizer does it.  A word with
-    "<|" stays whole, as it may hold a special token.
-    """
-    text = word.decode("utf-8")
-    core = text.strip(_MARKS)
-    if not core.isalpha() or max(core) >= "\u0130" or "<|" in text:
-        return [text]
-    at = text.index(core)
-    return [x for x in (text[:at], core.lower(), text[at + len(core) :]) if x]
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies use for each byte: itself if it prints, else the next one from U+0100."""
+    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(0x100, 0x200))
+    return {b: chr(b) if b in prints else chr(next(rest)) for b in range(256)}
 
 
 def word_encoder(path: str) -> Callable[[str], bytes]:
     """Text to ids (little-endian 32-bit), by the tokenizers library.
 
-    The tokenizer drops white space, joins nothing across it, and parts letters from
-    marks, so the pieces of words are encoded one by one, and a worker remembers
-    their ids.
+    The tokenizer's model sees one piece of its pattern at a time, so each distinct
+    piece is encoded once, and a worker remembers its ids.  Texts below U+0130 are
+    lower-cased and parted here, which gives what the tokenizer's normaliser and
+    pattern do; words with any other character go through the whole tokenizer, which
+    joins nothing across white space.
     """
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     if path not in _loaded:
-        _loaded[path] = (Tokenizer.from_file(path), {}, {})
-    tok, words_known, known = _loaded[path]
-
-    def learn(pieces: list[str]) -> None:
-        if len(known) + len(pieces) > CACHED_PIECES:
-            known.clear()
-        # words of letters only are one pre-token each, so many are encoded as one text
-        plain = [p for p in pieces if p.isalpha() and max(p) < "\u0130"]
-        for i in range(0, len(plain), 200):
-            some = plain[i : i + 200]
-            e = tok.encode(" ".join(some), add_special_tokens=False)
-            ids = np.array(e.ids, "<u4")
-            starts = np.searchsorted(np.array(e.word_ids), np.arange(len(some) + 1))
-            known.update((p, ids[x:y].tobytes()) for p, x, y in zip(some, starts[:-1], starts[1:], strict=True))
-        other = [p for p in pieces if not p.isalpha() or max(p) >= "\u0130"]
-        for p, e in zip(other, tok.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            known[p] = np.array(e.ids, "<u4").tobytes()
-
-    def know(new: dict[bytes, list[str]]) -> None:
-        """Learns the pieces of words; all of them where learning forgets the others."""
-        missing = {p for ps in new.values() for p in ps if p not in known}
-        if len(known) + len(missing) > CACHED_PIECES:
-            missing = {p for ps in new.values() for p in ps}
-        if missing:
-            learn(sorted(missing))
+        tok = Tokenizer.from_file(path)
+        _loaded[path] = (tok, tok.model.tokenize, {}, {}, _byte_letters())
+    tok, tokenize, known, words_known, letters = _loaded[path]
 
-    def encode(text: str) -> bytes:
-        words = text.encode().split()
-        out = [words_known.get(w) for w in words]
+    def piece(p: str) -> bytes:
+        return array("I", [t.id for t in tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(letters))]).tobytes()
+
+    def plain(text: str) -> bytes:
+        pieces = _PIECES.findall(text.lower())
+        out = [known.get(p) for p in pieces]
         if None in out:
-            new = {w: _pieces(w) for w, ids in zip(words, out, strict=True) if ids is None}
-            know(new)
-            if len(words_known) + len(new) > CACHED_WORDS:
-                words_known.clear()
-                new = {w: _pieces(w) for w in set(words)}
-                know(new)
-            words_known.update((w, b"".join([known[p] for p in ps])) for w, ps in new.items())
-            out = [words_known[w] for w in words]
+            new = {p for p, ids in zip(pieces, out, strict=True) if ids is None}
+            if len(known) + len(new) > CACHED_PIECES:
+                known.clear()
+                new = set(pieces)
+            known.update((p, piece(p)) for p in new)
+            out = [known[p] for p in pieces]
         return b"".join(out)
 
+    def word(w: str) -> bytes:
+        if not _OTHER.search(w):
+            return plain(w)
+        ids = words_known.get(w)
+        if ids is None:
+            if len(words_known) > CACHED_PIECES:
+                words_known.clear()
+            ids = words_known[w] = np.array(tok.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+        return ids
+
+    def encode(text: str) -> bytes:
+        if not _OTHER.search(text):
+            return plain(text)
+        return b"".join([word(w.decode()) for w in text.encode().split()])
+
     return encode
 
 

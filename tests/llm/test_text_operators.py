@@ -51,7 +51,7 @@ def test_exact_dedup(spark, salted):
         ids.sort(key=lambda i: (i is None, i or 0))
         for k, i in enumerate(ids):
             want[(i, ids[0], len(ids), k == 0, sha(t.encode()))] += 1
-    out = exact_dedup.exact_dedup(frame(spark, rows), hot_share=3)
+    out = exact_dedup.exact_dedup(frame(spark, rows), run_rows=90, hot_share=3)
     assert by_row(out, "doc_id", "keep_id", "group_size", "kept", "text_sha256") == want
 
 
@@ -220,7 +220,9 @@ def test_word_pieces_encode_as_the_whole():
     tok, encode = Tokenizer.from_file(path), token_files.word_encoder(path)
     texts = [
         "a<|endoftext|>b <|startoftext|>", "\u0130stanbul \u03a3\u0391\u03a3 don't we'll 'tis it's. x_y 12,5 \u21165 e\u0301a \ufb01x \ufb01 \u01c4 \u0149 \u00df \u00a0nb\u2003sp",
-        "...a!!! (b) \x1c x\x85y", "'s. 's 're! a's,b", "...", "\u00c0\u00c9. <|a", "UPPER! Case? mixed###"]
+        "...a!!! (b) \x1c x\x85y", "'s. 's 're! a's,b", "...", "\u00c0\u00c9. <|a", "UPPER! Case? mixed###",
+        "".join(map(chr, range(0x20, 0x130))), " ".join(map(chr, range(0x130))), "it's 'Ll 'VE5\u00bd\u00b2x ''s\u00b5\u00aa\u0149 \u0131\u0120",
+        "a\u2019s \u201cq\u201d \u2014 x\u0301 \u0391\u03a3 \u4e2d\u6587 12\u0663"]
     for t in texts * 2:
         assert np.frombuffer(encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
 
@@ -229,13 +231,12 @@ def test_word_pieces_are_relearned_when_the_caches_are_full(monkeypatch):
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    monkeypatch.setattr(token_files, "CACHED_WORDS", 12)
     monkeypatch.setattr(token_files, "CACHED_PIECES", 14)
     monkeypatch.setattr(token_files, "_loaded", {})
     tok, encode = Tokenizer.from_file(path), token_files.word_encoder(path)
     rng = np.random.default_rng(3)
     for size in rng.integers(1, 30, 200):
-        t = " ".join(f"w{chr(97 + x)}{'.' * (x % 2)}" for x in rng.integers(0, 26, size))
+        t = " ".join(f"w{chr(97 + x)}{'.' * (x % 2)}" + "\u4e2d" * int(x % 5 == 0) for x in rng.integers(0, 26, size))
         assert np.frombuffer(encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
