@@ -1,23 +1,23 @@
 """Main text of HTML pages, with nearest-URL page differencing.
 
-Pages are cut into text blocks (lines); elements that are boilerplate by their tag,
-class, id or role are left out.  Pages are sorted by URL path within their host
+Pages are cut into text blocks (lines).  Pages are sorted by URL path within their host
 (a range sort: a host may hold any share of the pages), each is paired with the
 neighbour whose path is nearer, the two sequences of lines are aligned by longest
 common subsequence, and shared lines are deleted.
 
 Differencing alone would delete article text that two pages share, and keep what
-differs in menus and adverts.  So lines in an article or main element are never
-deleted, and where a page has such an element the lines outside it go; the
-differencing decides about pages without one.  A pair of copies (most of the text
-is shared) deletes nothing.
+differs in menus and adverts.  So the lines of the page's longest article or main
+element are never deleted, and its other lines take part in the alignment but go
+in any case, unless they are in another article element: those go where the partner
+has them too.  Elements that are boilerplate by their tag, class, id or role go on
+every page.  Pages without an article element keep what differs.  If one page of a
+pair holds nearly nothing but lines of the other, they are copies and delete nothing.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,53 +55,61 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[a-zA-Z/!?][^>]*(?:>|$)", re.S | re.I)
 
 
-def page_blocks(page: str | None) -> tuple[list[str], bool]:
-    """(blocks of text in page order, whether they come from an article or main element)."""
-    inside: list[str] = []
-    whole: list[str] = []
+#: Elements whose text no reader sees as lines of the page.
+UNSEEN_TAGS = frozenset("canvas datalist head iframe math object select svg template textarea title".split())
+#: Where a line stands: in a boilerplate element, outside the article elements, or in article element number 0, 1, ...
+SKIPPED, OUTSIDE = -2, -1
+#: Bits of one table of alignment rows; larger alignments are halved first.
+TABLE_BITS = 64 << 20
+#: A page whose lines that differ are fewer than one in so many is a copy.
+COPY_LINES = 20
+
+
+def page_lines(page: str | None) -> list[tuple[str, int]]:
+    """(text, where it stands) of the blocks of a page, in page order."""
+    lines: list[tuple[str, int]] = []
     stack: list[tuple[str, bool, bool]] = []
-    skip = main = 0
+    skip = main = unseen = n_mains = at = 0
     parts: list[str] = []
-    at = 0
-    seen_main = False
+    skipped: list[str] = []
 
     def flush() -> None:
-        if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
-            parts.clear()
-            if text:
-                whole.append(text)
-                if main:
-                    inside.append(text)
+        for buffer, where in ((parts, n_mains - 1 if main else OUTSIDE), (skipped, SKIPPED)):
+            if buffer:
+                text = " ".join(html.unescape("".join(buffer)).split())
+                buffer.clear()
+                if text:
+                    lines.append((text, where))
+
+    def close(i: int) -> None:
+        nonlocal skip, main, unseen
+        for name, s, a in stack[i:]:
+            skip -= s
+            main -= a
+            unseen -= name in UNSEEN_TAGS
+        del stack[i:]
 
     page = page or ""
     for m in _TAG.finditer(page):
-        if not skip and m.start() > at:
-            parts.append(page[at : m.start()])
+        if not unseen and m.start() > at:
+            (skipped if skip else parts).append(page[at : m.start()])
         at = m.end()
         name = m[3]
         if name is None:
             continue
         name = name.lower()
         block = name in BLOCK_TAGS
+        if block:
+            flush()
         if m[2]:  # an end tag closes back to its start, if that is open
-            if block:
-                flush()
             if name in TRACKED_TAGS:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == name:
-                        for _, s, a in stack[i:]:
-                            skip -= s
-                            main -= a
-                        del stack[i:]
+                        close(i)
                         break
             continue
-        if block:
-            flush()
-            if stack and stack[-1][0] == "p":  # a paragraph ends where a block starts
-                _, s, a = stack.pop()
-                skip -= s
-                main -= a
+        if block and stack and stack[-1][0] == "p":  # a paragraph ends where a block starts
+            close(len(stack) - 1)
         if name in VOID_TAGS or name not in TRACKED_TAGS or m[4].endswith("/") and name not in BLOCK_TAGS:
             continue
         rest = m[4]
@@ -115,115 +123,202 @@ def page_blocks(page: str | None) -> tuple[list[str], bool]:
         if name in ("p", "span") and not is_skip:
             continue
         stack.append((name, is_skip, is_main))
+        n_mains += is_main and not main
         skip += is_skip
         main += is_main
-        seen_main = seen_main or (is_main and not skip)
-    if not skip and at < len(page):
-        parts.append(page[at:])
+        unseen += name in UNSEEN_TAGS
+    if not unseen and at < len(page):
+        (skipped if skip else parts).append(page[at:])
     flush()
-    return (inside, True) if seen_main and inside else (whole, False)
+    return lines
 
 
-def lcs_mask(a: list[int], b: list[int]) -> list[bool]:
-    """Which places of ``a`` lie on a longest common subsequence with ``b``.
+def _lcs(a: list[int], b: list[int]) -> list[int]:
+    """Places of ``a`` on a longest common subsequence with ``b``, by bit-parallel rows.
 
-    Matches are chained by patience (log n a match).  Sequences in which a few lines
-    repeat thousands of times are aligned by (line, occurrence) instead.
+    Row i is a number whose bit j is 0 where the length of the best match of a[:i] and
+    b[: j + 1] exceeds that of b[:j].  Where the table of rows is large, ``a`` is cut in
+    the middle and ``b`` where the lengths of both halves add up to the most, so memory
+    stays bounded and the result is exact for all inputs.
     """
-    where: dict = {}
+    places: dict[int, int] = {}
     for j, x in enumerate(b):
-        where.setdefault(x, []).append(j)
-    if sum(len(where.get(x, ())) for x in a) > 1_000_000:
-        def numbered(s):
-            n: dict = {}
-            return [(x, n.__setitem__(x, n.get(x, 0) + 1) or n[x]) for x in s]
-
-        a, b = numbered(a), numbered(b)
-        where = {x: [j] for j, x in enumerate(b)}
-    tails: list[int] = []
-    tops: list = []
-    for i, x in enumerate(a):
-        for j in reversed(where.get(x, ())):
-            k = bisect_left(tails, j)
-            node = (i, tops[k - 1] if k else None)
-            if k == len(tails):
-                tails.append(j)
-                tops.append(node)
+        places[x] = places.get(x, 0) | 1 << j
+    full = (1 << len(b)) - 1
+
+    def step(row: int, x: int) -> int:
+        hit = row & places.get(x, 0)
+        return ((row + hit) | (row - hit)) & full
+
+    if len(a) * len(b) <= TABLE_BITS or len(a) == 1:
+        rows = [full]
+        for x in a:
+            rows.append(step(rows[-1], x))
+        out, i, j = [], len(a), len(b) - 1
+        while i and j >= 0:
+            if rows[i] >> j & 1:
+                j -= 1
+            elif rows[i - 1] >> j & 1:
+                out.append(i - 1)
+                i, j = i - 1, j - 1
             else:
-                tails[k], tops[k] = j, node
-    mask = [False] * len(a)
-    node = tops[-1] if tops else None
-    while node:
-        mask[node[0]] = True
-        node = node[1]
+                i -= 1
+        return out[::-1]
+    half = len(a) // 2
+    cut = _best_cut(a[:half], a[half:], b)
+    return _lcs(a[:half], b[:cut]) + [half + i for i in _lcs(a[half:], b[cut:])]
+
+
+def _lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """Lengths of the longest common subsequences of ``a`` and b[:0], b[:1], ..."""
+    places: dict[int, int] = {}
+    for j, x in enumerate(b):
+        places[x] = places.get(x, 0) | 1 << j
+    row = full = (1 << len(b)) - 1
+    for x in a:
+        hit = row & places.get(x, 0)
+        row = ((row + hit) | (row - hit)) & full
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.concatenate([[0], np.cumsum(bits == 0)])
+
+
+def _best_cut(first: list[int], second: list[int], b: list[int]) -> int:
+    return int(np.argmax(_lengths(first, b) + _lengths(second[::-1], b[::-1])[::-1]))
+
+
+def lcs_mask(a: list[int], b: list[int]) -> list[bool]:
+    """Which places of ``a`` lie on a longest common subsequence with ``b``."""
+    start, end = 0, 0
+    while start < min(len(a), len(b)) and a[start] == b[start]:
+        start += 1
+    while end < min(len(a), len(b)) - start and a[-1 - end] == b[-1 - end]:
+        end += 1
+    mask = [True] * start + [False] * (len(a) - start - end) + [True] * end
+    left, right = a[start : len(a) - end], b[start : len(b) - end]
+    both = set(left) & set(right)  # other lines match nothing
+    at = [i for i, x in enumerate(left) if x in both]
+    if at:
+        for i in _lcs([left[i] for i in at], [x for x in right if x in both]):
+            mask[start + at[i]] = True
     return mask
 
 
+def _main_number(lines: list[tuple[str, int]]) -> int | None:
+    """The number of the page's longest article element; None if there is none with text."""
+    sizes: dict[int, int] = {}
+    for t, where in lines:
+        if where >= 0:
+            sizes[where] = sizes.get(where, 0) + len(t)
+    return max(sizes, key=lambda n: (sizes[n], -n)) if sizes else None
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text)
+
+
+def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hashes of all lines of each page."""
+    for b in batches:
+        hashes = []
+        for page in b["html"].to_pylist():
+            lines = page_lines(page)
+            hashes.append(np.fromiter((_hash(t) for t, _ in lines), np.uint64, len(lines)).tobytes())
+        yield pa.record_batch([b["key"], b["check"], b["url"], pa.array(hashes, pa.binary())], names=["key", "check", "url", "hashes"])
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=1).compress
+    """Each page's lines: all their places, the texts that may stay, and the hashes of the others."""
+    pack = zstandard.ZstdCompressor(level=6).compress
+    for b in batches:
+        where, kept, gone = [], [], []
+        for page in b["html"].to_pylist():
+            lines = page_lines(page)
+            main = _main_number(lines)
+            least = 0 if main is not None else OUTSIDE
+            places = [w if w < 0 or w != main else MAIN for _, w in lines]
+            where.append(np.array(places, np.int32).tobytes())
+            kept.append(pack("\n".join(t for t, w in lines if w >= least).encode()))
+            gone.append(np.array([_hash(t) for t, w in lines if w < least], np.uint64).tobytes())
+        yield pa.record_batch(
+            [b["key"], b["check"], b["id"], b["url"], pa.array(where, pa.binary()), pa.array(kept, pa.binary()), pa.array(gone, pa.binary())],
+            names=["key", "check", "id", "url", "places", "kept", "gone"])
+
+
+#: The place of lines of the longest article element.
+MAIN = 2**31 - 1
+
+
+def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpack = zstandard.ZstdDecompressor().decompress
     for b in batches:
-        rows = [page_blocks(t) for t in b["html"].to_pylist()]
+        out = [_decided(unpack(k).decode(), np.frombuffer(p, np.int32), g, o) for k, p, g, o in zip(
+            *(b[c].to_pylist() for c in ("kept", "places", "gone", "other")), strict=True)]
+        texts, n_lines, n_shared, n_deleted = zip(*out, strict=True) if out else ((), (), (), ())
         yield pa.record_batch(
-            [b["id"], b["url"], pa.array([m for _, m in rows], pa.bool_()),
-             pa.array([pack("\n".join(x).encode()) for x, _ in rows], pa.binary()),
-             pa.array([np.fromiter((xxhash.xxh3_64_intdigest(t) for t in x), np.uint64, len(x)).tobytes() for x, _ in rows], pa.binary())],
-            names=["id", "url", "has_main", "lines", "hashes"])
-
-
-def _difference(copy_share: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        for b in batches:
-            texts, n_lines, n_shared = [], [], []
-            for main, lines, own, other in zip(*(b[c].to_pylist() for c in ("has_main", "lines", "hashes", "other")), strict=True):
-                text = unpack(lines).decode() if lines else ""
-                lines = text.split("\n") if text else []
-                mask = [False] * len(lines)
-                if other and own:
-                    mask = lcs_mask(np.frombuffer(own, np.uint64).tolist(), np.frombuffer(other, np.uint64).tolist())
-                n_lines.append(len(lines))
-                n_shared.append(sum(mask))
-                same = sum(len(x) for x, s in zip(lines, mask, strict=True) if s)
-                if not main and 0 < same < copy_share * sum(map(len, lines)):
-                    lines = [x for x, s in zip(lines, mask, strict=True) if not s]
-                texts.append(" ".join(lines))
-            yield pa.record_batch(
-                [b["id"], b["url"], pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64()),
-                 pa.array(n_lines, pa.int64()), pa.array(n_shared, pa.int64())],
-                names=["id", "url", "text", "n_chars", "n_lines", "n_shared"])
-
-    return run
-
-
-def extract(
-    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", copy_share: float = 0.7,
-) -> DataFrame:
-    """One row per row of ``pages``: id, url, text, n_chars, n_lines, n_shared (lines shared with the paired page).
-
-    Null and empty pages have an empty text.  Pages without a host (null URL too)
-    have no partner.  Rows that repeat are pages of their own.
+            [b["id"], b["url"], pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64()),
+             pa.array(n_lines, pa.int64()), pa.array(n_shared, pa.int64()), pa.array(n_deleted, pa.int64())],
+            names=["id", "url", "text", "n_chars", "n_lines", "n_shared", "n_deleted"])
+
+
+def _decided(text: str, places: np.ndarray, gone: bytes, other: bytes | None) -> tuple[str, int, int, int]:
+    """The page's text, its lines, those that it shares with its partner, and those that differencing deletes."""
+    stays = places >= (0 if (places == MAIN).any() else OUTSIDE)
+    lines = text.split("\n") if stays.any() else []
+    own = np.empty(len(places), np.uint64)
+    own[stays] = [_hash(t) for t in lines]
+    own[~stays] = np.frombuffer(gone, np.uint64)
+    shared = np.zeros(len(places), bool)
+    if other and len(own):
+        theirs = np.frombuffer(other, np.uint64).tolist()
+        shared = np.array(lcs_mask(own.tolist(), theirs))
+        left = len(own) - shared.sum(), len(theirs) - shared.sum()
+        deleted = shared & (places != MAIN)
+        if COPY_LINES * left[0] > len(own) and COPY_LINES * left[1] > len(theirs):
+            lines = [t for t, d in zip(lines, deleted[stays].tolist(), strict=True) if not d]
+        else:
+            deleted[:] = False
+        return " ".join(lines), len(places), int(shared.sum()), int(deleted.sum())
+    return " ".join(lines), len(places), 0, 0
+
+
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """One row per row of ``pages``: id, url, text, n_chars, n_lines, n_shared, n_deleted.
+
+    n_lines counts all lines, n_shared those shared with the paired page, n_deleted
+    those of them that differencing deletes.  Null and empty pages have an empty text.
+    Pages without a host (null URL too) have no partner.  Pages of one path are
+    neighbours, in an order that their hashes fix.  Rows alike in id, URL and html are
+    one page to their neighbours, and get the same result each.  Other columns are
+    ignored, whatever their names; an empty table gives an empty result; a page is
+    aligned whole, whatever its length.
     """
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    kind = rows.schema["id"].dataType.simpleString()
-    parsed = C.stored(
-        rows.mapInArrow(_parse, f"id {kind}, url string, has_main boolean, lines binary, hashes binary")
-        .withColumn("row", F.monotonically_increasing_id())
-    )
-    url = F.regexp_replace("url", r"^[A-Za-z][A-Za-z0-9+.-]*:", "")
-    keys = parsed.select(
-        "row", F.lower(F.regexp_extract(url, r"^//([^/?#]*)", 1)).alias("host"),
-        F.regexp_extract(url, r"^(?://[^/?#]*)?([^?#]*)", 1).alias("path"),
-    ).where("host != ''")
-    placed = C.ranked(keys, "host", "path", "row")
+    url = F.col(f"`{url_col}`")
+    page = (F.col(f"`{id_col}`"), url, F.col(f"`{html_col}`"))
+    rows = pages.select(
+        page[0].alias("id"), url.alias("url"), page[2].alias("html"),
+        F.xxhash64(*page).alias("key"), F.xxhash64(F.lit(1), *page[::-1]).alias("check"))
+    prints = rows.select("key", "check", "url", "html").mapInArrow(_fingerprints, "key long, check long, url string, hashes binary")
+    bare = F.regexp_replace("url", r"^[A-Za-z][A-Za-z0-9+.-]*:", "")
+    prints = C.stored(prints.select(
+        "key", "check", F.lower(F.regexp_extract(bare, r"^//([^/?#]*)", 1)).alias("host"),
+        F.regexp_extract(bare, r"^(?://[^/?#]*)?([^?#]*)", 1).alias("path"), "hashes",
+    ).where("host != ''"))
+    placed = C.ranked(prints.select("host", "path", "key", "check").distinct(), "host", "path", "key", "check")
     side = lambda step, p: placed.select(
-        (F.col("rank") + step).alias("rank"), *[F.col(c).alias(f"{p}_{c}") for c in ("row", "host", "path")])
+        (F.col("rank") + step).alias("rank"), *[F.col(c).alias(f"{p}_{c}") for c in ("host", "path", "key", "check")])
     pairs = placed.join(side(1, "prev"), "rank", "left").join(side(-1, "next"), "rank", "left")
     prev_ok, next_ok = F.col("prev_host") == F.col("host"), F.col("next_host") == F.col("host")
     nearer = F.levenshtein("path", "next_path") < F.levenshtein("path", "prev_path")
-    pairs = pairs.select("row", F.when(prev_ok & ~F.coalesce(next_ok & nearer, F.lit(False)), F.col("prev_row")).when(next_ok, F.col("next_row")).alias("partner"))
-    other = parsed.select(F.col("row").alias("partner"), F.col("hashes").alias("other"))
-    paired = pairs.join(other, "partner").select("row", "other")
-    out = parsed.join(paired, "row", "left").select("id", "url", "has_main", "lines", "hashes", "other")
-    return out.mapInArrow(
-        _difference(copy_share), f"id {kind}, url string, text string, n_chars long, n_lines long, n_shared long"
-    ).withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)
+    to_prev = prev_ok & ~F.coalesce(next_ok & nearer, F.lit(False))
+    pick = lambda c: F.when(to_prev, F.col(f"prev_{c}")).when(next_ok, F.col(f"next_{c}"))
+    pairs = pairs.select("key", "check", pick("key").alias("p_key"), pick("check").alias("p_check"))
+    other = prints.select(F.col("key").alias("p_key"), F.col("check").alias("p_check"), F.col("hashes").alias("other"))
+    other = other.dropDuplicates(["p_key", "p_check"])
+    paired = pairs.join(other, ["p_key", "p_check"]).select("key", "check", "other")
+    kind = rows.schema["id"].dataType.simpleString()
+    lines = rows.mapInArrow(_parse, f"key long, check long, id {kind}, url string, places binary, kept binary, gone binary")
+    return (
+        lines.join(paired, ["key", "check"], "left").select("id", "url", "places", "kept", "gone", "other")
+        .mapInArrow(_difference, f"id {kind}, url string, text string, n_chars long, n_lines long, n_shared long, n_deleted long")
+        .withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)
+    )

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 
 import public_tokenizers
 import pytest
@@ -20,19 +21,55 @@ TEXT = "Head & line One twothree four five six <tag> é ©"
 
 
 def test_article_text():
-    assert " ".join(html_text.page_blocks(PAGE.format())[0]) == TEXT
+    assert " ".join(t for t, where in html_text.page_lines(PAGE.format()) if where == 0) == TEXT
 
 
 @pytest.mark.parametrize("cut", range(0, 700, 23))
 def test_truncated_pages_do_not_crash(cut):
-    html_text.page_blocks(PAGE[:cut])
+    html_text.page_lines(PAGE[:cut])
 
 
-def test_lcs_mask():
+def lcs_length(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before, row = row, [0]
+        for j, y in enumerate(b):
+            row.append(before[j] + 1 if x == y else max(before[j + 1], row[j]))
+    return row[-1]
+
+
+@pytest.mark.parametrize("bits", [html_text.TABLE_BITS, 50])
+def test_lcs_mask(monkeypatch, bits):
+    monkeypatch.setattr(html_text, "TABLE_BITS", bits)
     assert html_text.lcs_mask([1, 2, 3, 4, 5], [9, 2, 8, 4, 5]) == [False, True, False, True, True]
     assert html_text.lcs_mask([], [1]) == [] and html_text.lcs_mask([1], []) == [False]
-    big = html_text.lcs_mask([7] * 3000 + [1], [7] * 2000 + [1])
-    assert sum(big) == 2001 and big[-1]
+    rng = random.Random(5)
+    for kinds in (2, 3, 10, 50):
+        for _ in range(40):
+            a, b = ([rng.randrange(kinds) for _ in range(rng.randrange(1, 40))] for _ in "ab")
+            mask = html_text.lcs_mask(a, b)
+            on = [x for x, m in zip(a, mask, strict=True) if m]
+            rest = iter(b)
+            assert len(mask) == len(a) and all(x in rest for x in on) and len(on) == lcs_length(a, b)
+
+
+def test_lcs_of_many_matches():
+    rng = random.Random(6)
+    a, b = ([rng.randrange(2) for _ in range(1500)] for _ in "ab")
+    assert sum(html_text.lcs_mask(a, b)) == lcs_length(a, b)
+    big = html_text.lcs_mask([7] * 30000 + [1], [7] * 20000 + [1])
+    assert sum(big) == 20001 and big[-1]
+
+
+def test_partner_decides_about_other_article_elements(spark):
+    page = "<body><p>Daily news</p><article><h2>{}</h2><p>teaser</p></article><article><h1>{}</h1><p>{}</p></article></body>"
+    story = "the whole story, long enough to be the page's main text"
+    rows = [(1, "http://h.example/a/1", page.format("Most read", "One", story)), (2, "http://h.example/a/2", page.format("Most read", "Two", story))]
+    other = [rows[0], (2, "http://h.example/a/2", page.format("Own box", "Two", story))]
+    texts = lambda r: {x.page_id: x.text for x in html_text.extract(spark.createDataFrame(r, "page_id long, url string, html string")).collect()}
+    assert texts(rows) == {1: f"One {story}", 2: f"Two {story}"}  # the story is shared too, but it is the page's main text
+    assert texts(other) == {1: f"Most read One {story}", 2: f"Own box Two {story}"}
+    assert texts(rows[:1]) == {1: f"Most read teaser One {story}"}
 
 
 def test_extract(spark):
