@@ -6,7 +6,7 @@ rounds, so equal values get equal pseudonyms in all documents, different values
 different ones, and check digits stay valid.  E-mail addresses, hexadecimal secrets,
 cloud access keys and the values of password assignments, which are not numbers of a
 bounded format, get keyed hashes in their form.
-Numbers that fail validation stay.
+Numbers that fail validation stay, and so do dates before 1880 or after May 2126.
 """
 
 from __future__ import annotations
@@ -41,7 +41,8 @@ def _iban_pattern() -> str:
 
 #: Fixed patterns, in order of precedence at one place.
 PATTERNS = {
-    "email": r"[\p{L}\p{N}._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    # starts where a run of its characters does, or where the match before ended
+    "email": r"(?:\G|(?<![\p{L}\p{N}._%+-]))[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![\p{L}\p{N}])",
     "access_key": r"(?<![\p{L}\p{N}])(?:AKIA|ASIA)[A-Z0-9]{16}(?![\p{L}\p{N}])",
     "password": r"(?<![\p{L}\p{N}])(?:[Pp]assword|PASSWORD|[Pp]asswd|[Pp]assphrase|pwd)[=:][\"']?[^\s\"'<>,;&]{3,}[^\s\"'<>,;&.:!?)]",
@@ -58,6 +59,8 @@ KINDS = tuple(PATTERNS)
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Dates of the domain: 300 * 300 days from this one.
 FIRST_DAY, DAY_SIDE = "1880-01-01", 300
+#: Whole years of the domain, for dates with the month first.
+FIRST_YEAR, YEARS = 1880, 246
 
 
 def feistel(a: Column, b: Column, mod_a: Column, mod_b: Column, tweak: Column, key: str) -> tuple[Column, Column]:
@@ -140,13 +143,38 @@ def _ip(v: Column, key: str) -> Column:
     return F.concat_ws(".", *byte(a), *byte(b))
 
 
-def _date_of(v: Column) -> Column:
-    return F.coalesce(F.try_to_date(v, "yyyy-MM-dd"), F.try_to_date(v, "dd/MM/yyyy"), F.try_to_date(v, "dd.MM.yyyy"),
-                      F.try_to_date(v, "MM/dd/yyyy"))
+def _month_first(v: Column) -> Column:
+    """Dates with slashes count as day/month; as month/day where they can't: the day is above 12."""
+    return v.contains("/") & F.try_to_date(v, "dd/MM/yyyy").isNull()
 
 
 def _days(v: Column) -> Column:
-    return F.datediff(_date_of(v), F.lit(FIRST_DAY).cast("date"))
+    day = F.coalesce(F.try_to_date(v, "yyyy-MM-dd"), F.try_to_date(v, "dd/MM/yyyy"), F.try_to_date(v, "dd.MM.yyyy"))
+    return F.datediff(day, F.lit(FIRST_DAY).cast("date"))
+
+
+def _valid_date(v: Column) -> Column:
+    year = F.year(F.try_to_date(v, "MM/dd/yyyy"))
+    return F.when(_month_first(v), year.between(FIRST_YEAR, FIRST_YEAR + YEARS - 1)).otherwise(_days(v).between(0, DAY_SIDE * DAY_SIDE - 1))
+
+
+def _month_first_date(v: Column, key: str) -> Column:
+    """Permuted among the dates with a day above 12, so the result is read as month/day again.
+
+    A place is (year, number of such a day in a common year); the 29ths of February are
+    shifted among the leap years.
+    """
+    day = F.try_to_date(v, "MM/dd/yyyy")
+    late = F.filter(F.sequence(F.lit("2001-01-01").cast("date"), F.lit("2001-12-31").cast("date")), lambda d: F.day(d) > 12)
+    leap = F.filter(F.sequence(F.lit(FIRST_YEAR), F.lit(FIRST_YEAR + YEARS - 1)), lambda y: (y % 4 == 0) & ((y % 100 != 0) | (y % 400 == 0)))
+    at = F.array_position(late, F.try_to_date(F.concat(F.lit("2001-"), F.date_format(day, "MM-dd")), "yyyy-MM-dd")) - 1
+    a, b = feistel((F.year(day) - FIRST_YEAR).cast("bigint"), at, F.lit(YEARS), F.size(late), F.lit("month/day"), key)
+    common = F.get(late, b.cast("int"))
+    year = F.lpad((a + FIRST_YEAR).cast("string"), 4, "0")
+    shift = F.conv(F.substring(F.sha2(F.lit(f"{key}:29 February"), 256), 1, 8), 16, 10).cast("bigint")
+    other = F.get(leap, F.pmod(F.array_position(leap, F.year(day)) - 1 + shift, F.size(leap)).cast("int"))
+    return F.when(v.startswith("02/29"), F.concat(F.lit("02/29/"), other.cast("string"))).otherwise(
+        F.concat(F.date_format(common, "MM/dd/"), year))
 
 
 def _date(v: Column, key: str) -> Column:
@@ -155,8 +183,26 @@ def _date(v: Column, key: str) -> Column:
     day = F.date_add(F.lit(FIRST_DAY).cast("date"), (a * side + b).cast("int"))
     return (
         F.when(v.contains("-"), F.date_format(day, "yyyy-MM-dd")).when(v.contains("."), F.date_format(day, "dd.MM.yyyy"))
-        .when(F.try_to_date(v, "dd/MM/yyyy").isNotNull(), F.date_format(day, "dd/MM/yyyy"))
-        .otherwise(F.date_format(day, "MM/dd/yyyy")))
+        .when(_month_first(v), _month_first_date(v, key)).otherwise(F.date_format(day, "dd/MM/yyyy")))
+
+
+def _ssn_parts(v: Column) -> tuple[Column, Column, Column]:
+    return tuple(F.split_part(v, F.lit("-"), F.lit(i)).cast("bigint") for i in (1, 2, 3))
+
+
+def _valid_ssn(v: Column) -> Column:
+    """Areas 001 to 899 but 666, and no group or serial of zeros, are given out."""
+    area, group, serial = _ssn_parts(v)
+    return area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
+
+
+def _ssn(v: Column, key: str) -> Column:
+    area, group, serial = _ssn_parts(v)
+    a, b = feistel(area - F.when(area > 666, F.lit(2)).otherwise(F.lit(1)), (group - 1) * 9999 + serial - 1,
+                   F.lit(898), F.lit(99 * 9999), F.lit("ssn"), key)
+    area = a + F.when(a >= 665, F.lit(2)).otherwise(F.lit(1))
+    pad = lambda x, n: F.lpad(x.cast("bigint").cast("string"), n, "0")
+    return F.concat_ws("-", pad(area, 3), pad(F.floor(b / 9999) + 1, 2), pad(F.pmod(b, F.lit(9999)) + 1, 4))
 
 
 def _phone(v: Column, key: str) -> Column:
@@ -187,7 +233,8 @@ def kind_of(v: Column) -> Column:
     bare = F.replace(v, F.lit(" "), F.lit(""))
     valid = {
         "iban": mod97(F.concat(F.substring(bare, F.lit(5), F.length(bare)), F.substring(bare, 1, 4))) == 1,
-        "date": _days(v).between(0, DAY_SIDE * DAY_SIDE - 1),
+        "date": _valid_date(v),
+        "ssn": _valid_ssn(v),
         "phone": F.length(only_digits(v)).between(7, 15),
         "card": F.call_function("luhn_check", only_digits(v)),
     }
@@ -198,26 +245,32 @@ def kind_of(v: Column) -> Column:
 
 
 def pseudonym(kind: Column, v: Column, key: str) -> Column:
+    by_kind = {
+        "email": _email, "secret": _secret, "access_key": _access_key, "password": _password, "iban": _iban, "ip": _ip,
+        "date": _date, "ssn": _ssn, "phone": _phone, "card": _card}
     out = F.when(kind.isNull(), v)
-    for k, f in {"email": _email, "secret": _secret, "access_key": _access_key, "password": _password, "iban": _iban, "ip": _ip, "date": _date, "phone": _phone, "card": _card}.items():
+    for k, f in by_kind.items():
         out = out.when(kind == k, f(v, key))
-    return out.otherwise(refilled(v, digits_permuted(only_digits(v), F.lit("ssn"), key)))
+    return out
 
 
 def pseudonymize(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """``docs`` with its texts pseudonymised, and ``found``: (kind, pseudonym) of each value, in order.
 
-    A null text stays null, with nothing found.  A column named found is replaced.
+    A null text stays null, with nothing found; an empty one stays empty.  Rows that
+    repeat get the same result each, an empty table gives an empty one, and texts are
+    searched whole, whatever their length.  A column named found is replaced.
     """
     text = F.col(f"`{text_col}`")
     rest = [c for c in docs.columns if c not in ("found", text_col)]
-    # Most texts hold nothing: the distinct values are named once a text, and the gaps are joined with them again.
+    # Most texts hold nothing: only others are parted, once, and their gaps are joined with the new values.
     out = docs.select(*[F.col(f"`{c}`") for c in rest], text.alias("_text"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)).alias("_values"))
+    out = out.withColumn("_gaps", F.when(F.size("_values") > 0, F.split("_text", ANY)))
     out = out.withColumn("_kinds", F.transform("_values", lambda v: F.struct(v.alias("v"), kind_of(v).alias("kind"))))
     out = out.withColumn("_named", F.transform("_kinds", lambda s: F.struct(s["kind"].alias("kind"), pseudonym(s["kind"], s["v"], key).alias("v"))))
     spliced = F.concat(F.array_join(F.transform(
-        F.arrays_zip(F.col("_named"), F.slice(F.split("_text", ANY), F.lit(1), F.size("_named")).alias("gap")),
-        lambda z: F.concat(z["gap"], z["_named"]["v"])), ""), F.element_at(F.split("_text", ANY), -1))
+        F.arrays_zip(F.col("_named"), F.slice("_gaps", F.lit(1), F.size("_named")).alias("gap")),
+        lambda z: F.concat(z["gap"], z["_named"]["v"])), ""), F.element_at("_gaps", -1))
     return out.select(
         *[F.col(f"`{c}`") for c in rest],
         F.when(F.size("_values") > 0, spliced).otherwise(F.col("_text")).alias(text_col),
