@@ -55,23 +55,6 @@ def label(mask: np.ndarray) -> np.ndarray:
         out = new
 
 
-def component_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(img, px) rows to labelled pixels."""
-    for b in batches:
-        out = []
-        for img, px in zip(b["img"].to_pylist(), b["px"].to_pylist(), strict=True):
-            ys, xs = np.array([p["y"] for p in px]), np.array([p["x"] for p in px])
-            a = np.zeros((ys.max() + 1, xs.max() + 1))
-            a[ys, xs] = [p["v"] for p in px]
-            lab = label(a)
-            y, x = np.nonzero(lab)
-            out.append((np.full(len(y), img), y, x, lab[y, x] - 1))
-        cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.empty(0, np.int64)] * 4
-        yield pa.record_batch(
-            [pa.array(cols[0], pa.int64()), pa.array(cols[1].astype(np.int32)), pa.array(cols[2].astype(np.int32)), pa.array(cols[3], pa.int64())],
-            names=["img", "y", "x", "label"])
-
-
 def each_raster(kernel: Callable[[np.ndarray], np.ndarray]):
     """A mapInArrow function over (img, h, w, data: 64-bit floats) that applies ``kernel`` to each raster."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,6 +71,102 @@ def each_raster(kernel: Callable[[np.ndarray], np.ndarray]):
     return run
 
 
+def halve(a: np.ndarray) -> np.ndarray:
+    """The mean of each 2 x 2 block; an odd last row or column goes."""
+    h, w = a.shape[0] // 2 * 2, a.shape[1] // 2 * 2
+    return (a[:h:2, :w:2] + a[1:h:2, :w:2] + a[:h:2, 1:w:2] + a[1:h:2, 1:w:2]) / 4
+
+
+def resize(a: np.ndarray, to_h: int, to_w: int) -> np.ndarray:
+    """Bilinear, pixel centres at halves, clamped at the edges."""
+    for axis, to in ((1, to_w), (0, to_h)):
+        n = a.shape[axis]
+        s = np.maximum(0.0, (np.arange(to) + 0.5) * (n / to) - 0.5)
+        i = np.minimum(np.floor(s).astype(int), n - 1)
+        f = np.expand_dims(s - i, 1 - axis)
+        a = np.take(a, i, axis=axis) * (1 - f) + np.take(a, np.minimum(i + 1, n - 1), axis=axis) * f
+    return a
+
+
+def lanczos(a: np.ndarray, to_h: int, to_w: int, lobes: int = 4) -> np.ndarray:
+    """Windowed sinc of 2 * ``lobes`` taps at the target's pixel centres, weights scaled to 1, clamped at the edges."""
+    for axis, to in ((1, to_w), (0, to_h)):
+        n = a.shape[axis]
+        s = (np.arange(to) + 0.5) * (n / to) - 0.5
+        at = np.floor(s).astype(int)[:, None] + np.arange(1 - lobes, lobes + 1)
+        d = s[:, None] - at
+        weight = np.where(np.abs(d) < lobes, np.sinc(d) * np.sinc(d / lobes), 0.0)
+        weight /= weight.sum(axis=1, keepdims=True)
+        taken = np.take(a, np.clip(at, 0, n - 1), axis=axis)  # the axis becomes (target, tap)
+        a = np.einsum("yxt,xt->yx" if axis else "ytx,yt->yx", taken, weight)
+    return a
+
+
+def gaussian_pyramid(a: np.ndarray, kernel: list[tuple[int, float]], levels: int) -> list[np.ndarray]:
+    """Finest first; stops at a side of 1."""
+    out = [a]
+    while len(out) <= levels and min(out[-1].shape) > 1:
+        out.append(halve(convolve(out[-1], kernel)))
+    return out
+
+
+def laplacian_pyramid(a: np.ndarray, kernel: list[tuple[int, float]], levels: int) -> list[np.ndarray]:
+    g = gaussian_pyramid(a, kernel, levels)
+    return [fine - resize(coarse, *fine.shape) for fine, coarse in zip(g, g[1:], strict=False)] + g[-1:]
+
+
+def collapse(pyramid: list[np.ndarray]) -> np.ndarray:
+    out = pyramid[-1]
+    for level in reversed(pyramid[:-1]):
+        out = resize(out, *level.shape) + level
+    return out
+
+
+def laplacian_blend(base: np.ndarray, patch: np.ndarray, mask: np.ndarray, kernel: list[tuple[int, float]], levels: int) -> np.ndarray:
+    """base * (1 - mask) + patch * mask, level by level; a mask and values in [0, 1].  A mask of zeros gives the base."""
+    if not mask.any():
+        return base
+    parts = zip(laplacian_pyramid(base, kernel, levels), laplacian_pyramid(patch, kernel, levels), gaussian_pyramid(mask, kernel, levels), strict=True)
+    return np.clip(collapse([p * m + b * (1 - m) for b, p, m in parts]), 0, 1)
+
+
+def feather(mask: np.ndarray, f: int, kernel: list[tuple[int, float]]) -> np.ndarray:
+    """Alpha of a hard mask: eroded by f, then blurred; f = 0 keeps it hard."""
+    return convolve(extreme(mask, f, np.minimum), kernel) if f else mask
+
+
+def repaired_seam(a: np.ndarray, inpaint: Callable[[np.ndarray, np.ndarray], np.ndarray], seam: int, pad: int, ramp: int) -> np.ndarray:
+    """The columns where a panorama's ends meet, inpainted: rolled to the middle, cropped, filled, faded in, rolled back."""
+    w = a.shape[1]
+    rolled = np.roll(a, w // 2, axis=1)
+    left, right = max(0, w // 2 - seam - pad), min(w, w // 2 + seam + pad)
+    crop = rolled[:, left:right]
+    n = right - left
+    hole = np.zeros(crop.shape, bool)
+    hole[:, max(0, n // 2 - seam) : min(n, n // 2 + seam)] = True
+    x = np.arange(n)
+    alpha = np.minimum(np.clip(x / ramp, 0, 1), np.clip((n - 1 - x) / ramp, 0, 1)) if ramp else np.ones(n)
+    rolled[:, left:right] = alpha * inpaint(crop, hole) + (1 - alpha) * crop
+    return np.roll(rolled, -(w // 2), axis=1)
+
+
+def each_embedding(side: int, kernel: Callable[[np.ndarray], list[np.ndarray]]):
+    """A mapInArrow function over (img, e: side * side values in [-1, 1]) to pixels (level, img, y, x, v) of the kernel's rasters."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            values = (b["e"].flatten().to_numpy(zero_copy_only=False).astype(np.float64) + 1) / 2
+            parts = []
+            for img, a in zip(b["img"].to_pylist(), values.reshape(-1, side, side), strict=True):
+                for level, out in enumerate(kernel(a)):
+                    y, x = np.indices(out.shape).reshape(2, -1)
+                    parts.append((np.full(out.size, level), np.full(out.size, img), y, x, out.ravel()))
+            cols = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.empty(0)] * 5
+            kinds = (np.int32, np.int64, np.int32, np.int32, np.float64)
+            yield pa.record_batch([pa.array(c.astype(k)) for c, k in zip(cols, kinds, strict=True)], names=["level", "img", "y", "x", "v"])
+
+    return run
+
+
 def soft_kernel(h: int, w: int, share: float) -> list[tuple[int, float]]:
     """Gaussian of odd width, ``share`` of the shorter side and 3 at least, with the usual sigma for a width."""
     from ..operators.raster import kernel_of_feather

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import paths as P
+from ..sources.work import cut
 
 
 def scan(files: DataFrame, path: str = "rel_path", bmp: bool = False, recursive: bool = True, pattern: str | None = None) -> DataFrame:
@@ -61,13 +62,31 @@ def resolve_masks(images: DataFrame, masks: DataFrame) -> DataFrame:
     )
 
 
-def contiguous(order: Window, n: int) -> Column:
-    """Shard of a balanced contiguous split: the first ``rows % n`` shards get one more."""
-    return F.ntile(n).over(order) - 1
+def ranked(files: DataFrame, key: Column) -> DataFrame:
+    """``files`` with _rank, the place in the whole list by ``key`` (from 0), and _total, its length.
+
+    The list is range-partitioned by sampled splitters and sorted in its partitions;
+    only a count per partition meets in one place, and is broadcast.
+    """
+    at = F.monotonically_increasing_id()
+    local = cut(
+        files.withColumn("_key", key).repartitionByRange("_key").sortWithinPartitions("_key").drop("_key")
+        .withColumn("_at", at.bitwiseAND(F.lit((1 << 33) - 1))).withColumn("_part", F.shiftright(at, 33)))
+    up = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = local.groupBy("_part").agg(F.count("*").alias("_n")).withColumn("_start", F.coalesce(F.sum("_n").over(up), F.lit(0)))
+    starts = starts.withColumn("_total", F.sum("_n").over(Window.partitionBy(F.lit(0)))).drop("_n")
+    return local.join(F.broadcast(starts), "_part").withColumn("_rank", F.col("_start") + F.col("_at")).drop("_part", "_at", "_start")
+
+
+def contiguous(n: int) -> Column:
+    """Shard of a balanced contiguous split of a ranked list: the first ``total % n`` shards get one more."""
+    rank, size, more = F.col("_rank"), F.floor(F.col("_total") / n), F.col("_total") % n
+    long = more * (size + 1)
+    return F.when(rank < long, F.floor(rank / (size + 1))).otherwise(more + F.floor((rank - long) / F.greatest(size, F.lit(1))))
 
 
-def round_robin(order: Window, n: int) -> Column:
-    return F.pmod(F.row_number().over(order) - 1, F.lit(n))
+def round_robin(n: int) -> Column:
+    return F.col("_rank") % n
 
 
 def renamed(files: DataFrame, shard: str = "shard") -> DataFrame:

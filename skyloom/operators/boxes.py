@@ -66,3 +66,13 @@ def tile_windows(dims: DataFrame, rows: int, cols: int, ratio: float, px: int) -
 def labels(boxes: DataFrame) -> DataFrame:
     """With the text that an annotation shows."""
     return boxes.withColumn("label", F.format_string("%s %.2f", "typ", "conf"))
+
+
+def aspect_crop(masks: DataFrame) -> DataFrame:
+    """(id, x0, y0, cw, ch, tw, th) of masks (id, w, h) and targets (tw, th): sides are rounded half to even."""
+    mask, target = F.col("w") / F.col("h"), F.col("tw") / F.col("th")
+    cw = F.when(mask - target > 1e-6, F.bround(F.col("h") * target).cast("int")).otherwise(F.col("w"))
+    ch = F.when(target - mask > 1e-6, F.bround(F.col("w") / target).cast("int")).otherwise(F.col("h"))
+    start = lambda side, cut: F.greatest(F.lit(0), F.floor((F.col(side) - F.col(cut)) / 2)).cast("int")
+    return masks.withColumn("cw", cw).withColumn("ch", ch).select(
+        "id", start("w", "cw").alias("x0"), start("h", "ch").alias("y0"), "cw", "ch", "tw", "th")

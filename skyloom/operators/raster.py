@@ -1,7 +1,7 @@
 """Raster algebra on pixel relations (img, y, x, v).
 
-A pixel relation is for small rasters and for checks; whole frames go through the
-array kernels of ``skyloom.functions.kernels``, one image a row.  Windows and joins
+A pixel relation is for small rasters that come as pixels, and for checks; whole frames
+go through the array kernels of ``skyloom.functions.kernels``, one image a row.  Windows
 are within an image, so work is dealt by image.
 """
 
@@ -86,105 +86,3 @@ def blurred(px: DataFrame, kernel: list[tuple[int, float]], h: int, w: int) -> D
 
         px = _spread(_lines(px, axis).withColumn("line", line_sum(F.col("line"))), axis)
     return px
-
-
-def halved(px: DataFrame) -> DataFrame:
-    """The mean of each 2 x 2 block; an odd last row or column goes."""
-    by = ["img", F.floor(F.col("y") / 2).cast("int").alias("y"), F.floor(F.col("x") / 2).cast("int").alias("x")]
-    return px.groupBy(*by).agg(F.avg("v").alias("v"), F.count("*").alias("_n")).where("_n = 4").drop("_n")
-
-
-def resized(px: DataFrame, h: int, w: int, to_h: int, to_w: int) -> DataFrame:
-    """Bilinear, pixel centres at halves, clamped at the edges; along x, then y."""
-    for axis, n, to in (("x", w, to_w), ("y", h, to_h)):
-        def one(line: Column, d: Column) -> Column:
-            s = F.greatest(F.lit(0.0), (d + 0.5) * (n / to) - 0.5)  # noqa: B023
-            i = F.least(F.floor(s), F.lit(n - 1)).cast("int")  # noqa: B023
-            j = F.least(i + 1, F.lit(n - 1))  # noqa: B023
-            f = s - i
-            return F.element_at(line, i + 1) * (1 - f) + F.element_at(line, j + 1) * f
-
-        lines = _lines(px, axis)
-        px = _spread(lines.withColumn("line", F.transform(F.sequence(F.lit(0), F.lit(to - 1)), lambda d: one(F.col("line"), d))), axis)  # noqa: B023
-    return px
-
-
-def gaussian_pyramid(px: DataFrame, h: int, w: int, levels: int) -> list[tuple[DataFrame, int, int]]:
-    """(level, height, width), finest first; stops at a side of 1."""
-    out = [(px, h, w)]
-    for _ in range(levels):
-        if h <= 1 or w <= 1:
-            break
-        px = halved(blurred(px, kernel_of_radius(2), h, w))
-        h, w = h // 2, w // 2
-        out.append((px, h, w))
-    return out
-
-
-def _combined(a: DataFrame, b: DataFrame, f) -> DataFrame:
-    """f(v of a, v of b) by pixel."""
-    return a.join(b.withColumnRenamed("v", "_w"), list(KEYS)).select(*KEYS, f(F.col("v"), F.col("_w")).alias("v"))
-
-
-def laplacian_pyramid(px: DataFrame, h: int, w: int, levels: int) -> list[tuple[DataFrame, int, int]]:
-    g = gaussian_pyramid(px, h, w, levels)
-    out = []
-    for (fine, fh, fw), (coarse, ch, cw) in zip(g, g[1:], strict=False):
-        out.append((_combined(fine, resized(coarse, ch, cw, fh, fw), lambda a, b: a - b), fh, fw))
-    return [*out, g[-1]]
-
-
-def collapsed(pyramid: list[tuple[DataFrame, int, int]]) -> DataFrame:
-    out, h, w = pyramid[-1]
-    for level, lh, lw in reversed(pyramid[:-1]):
-        out = _combined(resized(out, h, w, lh, lw), level, lambda a, b: a + b)
-        h, w = lh, lw
-    return out
-
-
-def laplacian_blend(base: DataFrame, patch: DataFrame, mask: DataFrame, h: int, w: int, levels: int) -> DataFrame:
-    """base * (1 - mask) + patch * mask, level by level; a mask in [0, 1]."""
-    lb, lp, gm = (f(p, h, w, levels) for f, p in ((laplacian_pyramid, base), (laplacian_pyramid, patch), (gaussian_pyramid, mask)))
-    levels_out = []
-    for (b, lh, lw), (p, _, _), (m, _, _) in zip(lb, lp, gm, strict=True):
-        rows = b.join(p.withColumnRenamed("v", "_p"), list(KEYS)).join(m.withColumnRenamed("v", "_m"), list(KEYS))
-        levels_out.append((rows.select(*KEYS, (F.col("_p") * F.col("_m") + F.col("v") * (1 - F.col("_m"))).alias("v")), lh, lw))
-    return _combined(collapsed(levels_out), base, lambda v, _: F.greatest(F.lit(0.0), F.least(F.lit(1.0), v)))
-
-
-def blended(base: DataFrame, patch: DataFrame, alpha: DataFrame) -> DataFrame:
-    rows = base.join(patch.withColumnRenamed("v", "_p"), list(KEYS)).join(alpha.withColumnRenamed("v", "_a"), list(KEYS))
-    return rows.select(*KEYS, (F.col("v") * (1 - F.col("_a")) + F.col("_p") * F.col("_a")).alias("v"))
-
-
-def feathered(mask: DataFrame, f: int, h: int, w: int) -> DataFrame:
-    """Alpha of a hard mask: eroded by f, then blurred; f = 0 keeps it hard."""
-    return mask if f == 0 else blurred(eroded(mask, f), kernel_of_feather(f), h, w)
-
-
-def indexed(px: DataFrame, h: int, w: int, to_h: int, to_w: int, row: Column, col: Column) -> DataFrame:
-    """A raster of to_h x to_w whose pixel (oy, ox) is (row, col) of ``px``; null indices give 0."""
-    grid = px.select("img").distinct().withColumn("oy", F.explode(F.sequence(F.lit(0), F.lit(to_h - 1)))).withColumn(
-        "ox", F.explode(F.sequence(F.lit(0), F.lit(to_w - 1)))).withColumn("_y", row).withColumn("_x", col)
-    src = px.select("img", F.col("y").alias("_y"), F.col("x").alias("_x"), "v")
-    return grid.join(src, ["img", "_y", "_x"], "left").select(
-        "img", F.col("oy").alias("y"), F.col("ox").alias("x"), F.coalesce("v", F.lit(0.0)).alias("v"))
-
-
-def oriented(px: DataFrame, h: int, top: float = 1.0) -> DataFrame:
-    """Inverted where the upper third is darker than the lower third."""
-    third = max(1, h // 3)
-    means = px.groupBy("img").agg(
-        F.avg(F.when(F.col("y") < third, F.col("v"))).alias("_t"), F.avg(F.when(F.col("y") >= (2 * h) // 3, F.col("v"))).alias("_b"))
-    return px.join(means, "img").select(*KEYS, F.when(F.col("_t") < F.col("_b"), top - F.col("v")).otherwise(F.col("v")).alias("v"))
-
-
-def components(mask: DataFrame) -> DataFrame:
-    """(img, y, x, label): 8-connected components of pixels > 0; the label is the least (y, x) place.
-
-    A whole raster is labelled in one pass by the array kernel, one image a group.
-    """
-    from ..functions import kernels
-
-    rows = mask.groupBy("img").agg(F.collect_list(F.struct("y", "x", F.col("v").cast("double").alias("v"))).alias("px"))
-    return rows.mapInArrow(kernels.component_batches, "img long, y int, x int, label long")

@@ -51,3 +51,8 @@ def gated(stages: DataFrame, stop_after: str) -> DataFrame:
     stop = stages.where(F.col("stage") == stop_after).groupBy("run").agg(F.min("ord").alias("_stop"))
     return stages.join(stop, "run", "left").withColumn(
         "action", F.when(F.col("_stop").isNull() | (F.col("ord") <= F.col("_stop")), "run").otherwise("skip")).drop("_stop")
+
+
+def run_id(key):
+    """A short id of a run, from what names it."""
+    return F.concat(F.lit("run_"), F.substring(F.md5(key), 1, 12))

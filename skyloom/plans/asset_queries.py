@@ -163,36 +163,29 @@ def count_images(spark, sf):
     return folders.join(n, "parent", "left").select("parent", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-# Shards are planned for each source folder, so no window holds the whole inventory.
-_BY_PATH = "PARTITION BY parent ORDER BY rel_path"
-
-
 def _sharded(spark, sf):
-    order = Window.partitionBy("parent").orderBy(P.sort_key(F.col("rel_path")))
-    return A.scan(inventory(spark, sf), bmp=True).withColumn("shard", A.contiguous(order, N_SHARDS)).withColumn(
-        "lane", A.round_robin(order, N_SHARDS))
+    files = A.ranked(A.scan(inventory(spark, sf), bmp=True), P.sort_key(F.col("rel_path")))
+    return files.withColumn("shard", A.contiguous(N_SHARDS)).withColumn("lane", A.round_robin(N_SHARDS))
 
 
+_BY_PATH = "ORDER BY string_split(rel_path, '/')"
 _SH = f"{_INV}, s AS (SELECT *, ntile({N_SHARDS}) OVER ({_BY_PATH}) - 1 AS shard, (row_number() OVER ({_BY_PATH}) - 1) % {N_SHARDS} AS lane FROM a WHERE {_BMP})"
 
 
-@query("shard_contiguous", f"WITH {_SH} SELECT parent, rel_path, shard FROM s")
+@query("shard_contiguous", f"WITH {_SH} SELECT rel_path, shard FROM s")
 def shard_contiguous(spark, sf):
-    return _sharded(spark, sf).select("parent", "rel_path", "shard")
+    return _sharded(spark, sf).select("rel_path", "shard")
 
 
-@query("shard_round_robin", f"WITH {_SH} SELECT parent, rel_path, lane FROM s")
+@query("shard_round_robin", f"WITH {_SH} SELECT rel_path, lane FROM s")
 def shard_round_robin(spark, sf):
-    return _sharded(spark, sf).select("parent", "rel_path", "lane")
+    return _sharded(spark, sf).select("rel_path", "lane")
 
 
-@query("shard_counts", f"""WITH {_SH}, k AS (SELECT parent, i AS shard FROM (SELECT DISTINCT parent FROM s), range({N_SHARDS + 2}) t(i))
-    SELECT k.parent, k.shard, count(s.doc_id) AS n FROM k LEFT JOIN s ON s.parent = k.parent AND s.shard = k.shard GROUP BY 1, 2""")
+@query("shard_counts", f"""WITH {_SH} SELECT k.i AS shard, count(s.doc_id) AS n FROM range({N_SHARDS}) k(i) LEFT JOIN s ON s.shard = k.i GROUP BY 1""")
 def shard_counts(spark, sf):
-    s = _sharded(spark, sf)
-    n = s.groupBy("parent", "shard").agg(F.count("*").alias("n"))
-    keys = s.select("parent").distinct().select("parent", F.explode(F.sequence(F.lit(0), F.lit(N_SHARDS + 1))).alias("shard"))
-    return keys.join(n, ["parent", "shard"], "left").select("parent", F.col("shard").cast("long").alias("shard"), F.coalesce("n", F.lit(0)).alias("n"))
+    n = _sharded(spark, sf).groupBy("shard").agg(F.count("*").alias("n"))
+    return spark.range(N_SHARDS).withColumnRenamed("id", "shard").join(n, "shard", "left").select("shard", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 _FLAT = f"""{_SH}, f AS (SELECT lane AS shard, rel_path, 'doc_' || doc_id % 40 AS stem, suffix FROM s),
@@ -223,12 +216,11 @@ def stage_plan(spark, sf):
     return A.scan(inventory(spark, sf)).join(l, "doc_id", "left").select("rel_path", action.alias("action"))
 
 
-@query("publish_union", f"""WITH {_SH} SELECT 'gpu' || lane || '/' || rel_path AS target, lane AS gpu, rel_path FROM s WHERE lane IN (0, 2)""")
+@query("publish_union", f"""WITH {_SH} SELECT 'gpu' || lane || '/' || rel_path AS target, lane AS gpu, rel_path FROM s""")
 def publish_union(spark, sf):
-    s = _sharded(spark, sf)
-    one = lambda g: s.where(F.col("lane") == g).select(
-        F.concat(F.lit(f"gpu{g}/"), "rel_path").alias("target"), F.col("lane").alias("gpu"), "rel_path")
-    return one(0).unionByName(one(2))
+    """The files of all lanes, each below its lane's folder."""
+    return _sharded(spark, sf).select(
+        F.concat(F.lit("gpu"), "lane", F.lit("/"), "rel_path").alias("target"), F.col("lane").alias("gpu"), "rel_path")
 
 
 _NEST = f"{_INV}, p AS (SELECT parent, replace(parent, 'src', 'src' || CASE WHEN doc_id % 2 = 0 THEN '' ELSE '-' END) || '/' || stem AS path FROM a)"

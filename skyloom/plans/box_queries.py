@@ -162,17 +162,15 @@ def tile_windows(spark, sf):
     return B.tile_windows(dims, 2, 3, 0.05, 30)
 
 
-@query("aspect_crop_box", """SELECT p_partkey AS id, CASE WHEN w * 2 > h * 3 THEN (w - (h * 3) // 2) // 2 ELSE 0 END AS x0,
-    CASE WHEN w * 2 > h * 3 THEN 0 ELSE (h - (w * 2) // 3) // 2 END AS y0, CASE WHEN w * 2 > h * 3 THEN (h * 3) // 2 ELSE w END AS cw,
-    CASE WHEN w * 2 > h * 3 THEN h ELSE (w * 2) // 3 END AS ch
-    FROM (SELECT p_partkey, 400 + p_size * 17 AS w, 300 + CAST(p_partkey % 500 AS INT) AS h FROM part)""")
+@query("aspect_crop_box", """WITH d AS (SELECT p_partkey AS id, 400 + p_size * 17 AS w, 300 + CAST(p_partkey % 500 AS INT) AS h, 640 + p_size AS tw, 320 + p_size * 3 AS th FROM part),
+    r AS (SELECT *, w::DOUBLE / h AS mr, tw::DOUBLE / th AS tr FROM d),
+    c AS (SELECT *, CASE WHEN mr - tr > 1e-6 THEN CAST(round_even(h * tr, 0) AS INT) ELSE w END AS cw, CASE WHEN tr - mr > 1e-6 THEN CAST(round_even(w / tr, 0) AS INT) ELSE h END AS ch FROM r)
+    SELECT id, greatest(0, (w - cw) // 2) AS x0, greatest(0, (h - ch) // 2) AS y0, cw, ch, tw, th FROM c""")
 def aspect_crop_box(spark, sf):
-    """The centred crop of a mask to the aspect 3:2 of its image."""
-    d = table(spark, sf, "part").select(
-        F.col("p_partkey").alias("id"), (400 + F.col("p_size") * 17).alias("w"), (300 + F.col("p_partkey") % 500).alias("h"))
-    return d.selectExpr(
-        "id", "if(w * 2 > h * 3, (w - (h * 3) div 2) div 2, 0) AS x0", "if(w * 2 > h * 3, 0, (h - (w * 2) div 3) div 2) AS y0",
-        "if(w * 2 > h * 3, (h * 3) div 2, w) AS cw", "if(w * 2 > h * 3, h, (w * 2) div 3) AS ch")
+    """The centred crop of a mask to the aspect of its target, and the target's size to which it is then resized."""
+    d = table(spark, sf, "part").selectExpr(
+        "p_partkey AS id", "400 + p_size * 17 AS w", "300 + p_partkey % 500 AS h", "640 + p_size AS tw", "320 + p_size * 3 AS th")
+    return B.aspect_crop(d)
 
 
 @query("top1_component", f"""WITH {_ALL}, r AS (SELECT *, row_number() OVER (PARTITION BY image ORDER BY (x2 - x1) * (y2 - y1) DESC, l_linenumber) AS n FROM u)

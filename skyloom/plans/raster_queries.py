@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import kernels as K
@@ -30,14 +31,20 @@ def bright(px):
     return px.withColumn("v", F.when(F.col("v") >= 0.5, 1.0).otherwise(0.0))
 
 
+def whole(spark, sf, kernel):
+    """Pixels (level, img, y, x, v) of the rasters that ``kernel`` makes of each image, one image a row."""
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("img"), F.col("embedding").cast("array<float>").alias("e"))
+    return e.mapInArrow(K.each_embedding(N, kernel), "level int, img long, y int, x int, v double")
+
+
 def shown(px, name="v"):
     return px.select("img", "y", "x", (F.round("v", DIGITS) + 0.0).alias(name))
 
 
-_PX = f"""px AS (SELECT vec_id AS img, CAST(i // {N} AS INT) AS y, CAST(i % {N} AS INT) AS x, (embedding[i + 1]::DOUBLE + 1) / 2 AS v
+_PX = f"""px AS MATERIALIZED (SELECT vec_id AS img, CAST(i // {N} AS INT) AS y, CAST(i % {N} AS INT) AS x, (embedding[i + 1]::DOUBLE + 1) / 2 AS v
     FROM embeddings, range({N * N}) t(i))"""
-_PT = "pt AS (SELECT img, x AS y, y AS x, v FROM px)"
-_MK = "mk AS (SELECT img, y, x, CASE WHEN v >= 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS v FROM px)"
+_PT = "pt AS MATERIALIZED (SELECT img, x AS y, y AS x, v FROM px)"
+_MK = "mk AS MATERIALIZED (SELECT img, y, x, CASE WHEN v >= 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS v FROM px)"
 
 
 def _out(rel: str) -> str:
@@ -99,12 +106,12 @@ def _collapse(l0: str, l1: str, l2: str, c: str) -> str:
 
 @query("dilate3x3", f"WITH {_PX}, {_ext('px', 'o', 'max', 1)} {_out('o')}")
 def dilate3x3(spark, sf):
-    return shown(R.dilated(pixels(spark, sf)))
+    return shown(whole(spark, sf, lambda a: [K.extreme(a, 1)]))
 
 
 @query("erode_kxk", f"WITH {_PX}, {_ext('px', 'o', 'min', 2)} {_out('o')}")
 def erode_kxk(spark, sf):
-    return shown(R.eroded(pixels(spark, sf), 2))
+    return shown(whole(spark, sf, lambda a: [K.extreme(a, 2, np.minimum)]))
 
 
 @query("gaussian_kernel", "SELECT d, round(exp(-(d * d) / 8.0) / sum(exp(-(d * d) / 8.0)) OVER (), 9) AS w FROM (SELECT CAST(i - 2 AS INT) AS d FROM range(5) t(i))")
@@ -114,7 +121,7 @@ def gaussian_kernel(spark, sf):
 
 @query("gauss_radius", f"WITH {_PX}, {_blur('px', 'o', _R2, N)} {_out('o')}")
 def gauss_radius(spark, sf):
-    return shown(R.blurred(pixels(spark, sf), _R2, N, N))
+    return shown(whole(spark, sf, lambda a: [K.convolve(a, _R2)]))
 
 
 _SIG = R.kernel_of_sigma(0.9)
@@ -122,35 +129,34 @@ _SIG = R.kernel_of_sigma(0.9)
 
 @query("gauss_sigma", f"WITH {_PX}, {_blur('px', 'o', _SIG, N)} {_out('o')}")
 def gauss_sigma(spark, sf):
-    return shown(R.blurred(pixels(spark, sf), _SIG, N, N))
+    return shown(whole(spark, sf, lambda a: [K.convolve(a, _SIG)]))
 
 
 @query("downsample2", f"WITH {_PX}, {_half('px', 'o')} {_out('o')}")
 def downsample2(spark, sf):
-    return shown(R.halved(pixels(spark, sf)))
+    return shown(whole(spark, sf, lambda a: [K.halve(a)]))
 
 
 @query("upsample_bilinear", f"WITH {_PX}, {_up('px', 'o', 8, 12)} {_out('o')}")
 def upsample_bilinear(spark, sf):
-    return shown(R.resized(pixels(spark, sf), N, N, 12, 12))
+    return shown(whole(spark, sf, lambda a: [K.resize(a, 12, 12)]))
 
 
 @query("gauss_pyramid", f"WITH {_PX}, {_pyramid('px', 'g')} SELECT 1 AS level, img, y, x, round(v, 6) + 0.0 AS v FROM g1 UNION ALL SELECT 2, img, y, x, round(v, 6) + 0.0 FROM g2")
 def gauss_pyramid(spark, sf):
-    g = R.gaussian_pyramid(pixels(spark, sf), N, N, 2)
-    return shown(g[1][0]).withColumn("level", F.lit(1)).unionByName(shown(g[2][0]).withColumn("level", F.lit(2)))
+    g = whole(spark, sf, lambda a: K.gaussian_pyramid(a, _R2, 2)).where("level > 0")
+    return g.select("level", "img", "y", "x", (F.round("v", DIGITS) + 0.0).alias("v"))
 
 
 @query("lap_pyramid", f"WITH {_PX}, {_pyramid('px', 'g')} SELECT 0 AS level, img, y, x, round(v, 6) + 0.0 AS v FROM g0l UNION ALL SELECT 1, img, y, x, round(v, 6) + 0.0 FROM g1l UNION ALL SELECT 2, img, y, x, round(v, 6) + 0.0 FROM g2")
 def lap_pyramid(spark, sf):
-    g = R.laplacian_pyramid(pixels(spark, sf), N, N, 2)
-    out = [shown(p).withColumn("level", F.lit(i)) for i, (p, _, _) in enumerate(g)]
-    return out[0].unionByName(out[1]).unionByName(out[2])
+    g = whole(spark, sf, lambda a: K.laplacian_pyramid(a, _R2, 2))
+    return g.select("level", "img", "y", "x", (F.round("v", DIGITS) + 0.0).alias("v"))
 
 
 @query("lap_roundtrip", f"WITH {_PX} {_out('px')}")
 def lap_roundtrip(spark, sf):
-    return shown(R.collapsed(R.laplacian_pyramid(pixels(spark, sf), N, N, 2)))
+    return shown(whole(spark, sf, lambda a: [K.collapse(K.laplacian_pyramid(a, _R2, 2))]))
 
 
 _LB = ", ".join([
@@ -162,14 +168,12 @@ _LB = ", ".join([
 
 @query("laplacian_blend", f"WITH {_LB} SELECT img, y, x, round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, v)), 6) + 0.0 AS v FROM c")
 def laplacian_blend(spark, sf):
-    px = pixels(spark, sf)
-    return shown(R.laplacian_blend(px, partner(px), bright(px), N, N, 2))
+    return shown(whole(spark, sf, lambda a: [K.laplacian_blend(a, a.T, (a >= 0.5) * 1.0, _R2, 2)]))
 
 
 @query("alpha_blend", f"WITH {_PX}, {_PT} SELECT img, y, x, round(a.v * (1 - b.v) + (1 - a.v) * b.v, 6) + 0.0 AS v FROM px a JOIN pt b USING (img, y, x)")
 def alpha_blend(spark, sf):
-    px = pixels(spark, sf)
-    return shown(R.blended(px, px.withColumn("v", 1 - F.col("v")), partner(px)))
+    return shown(whole(spark, sf, lambda a: [a * (1 - a.T) + (1 - a) * a.T]))
 
 
 _FEATHER = R.kernel_of_feather(1)
@@ -178,15 +182,17 @@ _FEATHER = R.kernel_of_feather(1)
 @query("feather_blend", f"""WITH {_PX}, {_PT}, {_MK}, {_ext('mk', 'er', 'min', 1)}, {_blur('er', 'al', _FEATHER, N)}
     SELECT img, y, x, round(a.v * (1 - al.v) + pt.v * al.v, 6) + 0.0 AS v FROM px a JOIN pt USING (img, y, x) JOIN al USING (img, y, x)""")
 def feather_blend(spark, sf):
-    px = pixels(spark, sf)
-    return shown(R.blended(px, partner(px), R.feathered(bright(px), 1, N, N)))
+    def blend(a):
+        alpha = K.feather((a >= 0.5) * 1.0, 1, _FEATHER)
+        return [a * (1 - alpha) + a.T * alpha]
+
+    return shown(whole(spark, sf, blend))
 
 
 @query("full_blur", f"""WITH {_PX}, {_MK}, {_blur('px', 'bl', _SIG, N)}
     SELECT img, y, x, round(a.v * (1 - mk.v) + bl.v * mk.v, 6) + 0.0 AS v FROM px a JOIN bl USING (img, y, x) JOIN mk USING (img, y, x)""")
 def full_blur(spark, sf):
-    px = pixels(spark, sf)
-    return shown(R.blended(px, R.blurred(px, _SIG, N, N), bright(px)))
+    return shown(whole(spark, sf, lambda a: [np.where(a >= 0.5, K.convolve(a, _SIG), a)]))
 
 
 @query("mask_threshold", f"""WITH {_PX} SELECT img, y, x, CASE WHEN floor(v * 255) >= 127 THEN 255 ELSE 0 END AS hard, CASE WHEN floor(v * 255) > 0 THEN 255 ELSE 0 END AS any_,
@@ -201,7 +207,10 @@ def mask_threshold(spark, sf):
 @query("orient_mask", f"""WITH {_PX}, t AS (SELECT img, avg(v) FILTER (y < 2) AS t, avg(v) FILTER (y >= 5) AS b FROM px GROUP BY img)
     SELECT img, y, x, round(CASE WHEN t < b THEN 1 - v ELSE v END, 6) + 0.0 AS v FROM px JOIN t USING (img)""")
 def orient_mask(spark, sf):
-    return shown(R.oriented(pixels(spark, sf), N))
+    def turned(a):
+        return [1 - a if a[: max(1, N // 3)].mean() < a[2 * N // 3 :].mean() else a]
+
+    return shown(whole(spark, sf, turned))
 
 
 @query("mask_union", f"WITH {_PX} SELECT CAST(img // 4 AS BIGINT) AS img, y, x, round(max(v), 6) + 0.0 AS v FROM px GROUP BY 1, 2, 3")
@@ -222,14 +231,13 @@ def tile_stitch(spark, sf):
 @query("pad_edge", f"""WITH {_PX} SELECT p.img, CAST(r.i AS INT) AS y, CAST(c.i AS INT) AS x, round(p.v, 6) + 0.0 AS v
     FROM range(10) r(i), range(12) c(i) JOIN px p ON p.y = least(r.i, 7) AND p.x = least(c.i, 7)""")
 def pad_edge(spark, sf):
-    return shown(R.indexed(pixels(spark, sf), N, N, 10, 12, F.least("oy", F.lit(N - 1)), F.least("ox", F.lit(N - 1))))
+    return shown(whole(spark, sf, lambda a: [np.pad(a, ((0, 2), (0, 4)), "edge")]))
 
 
 @query("pad_reflect", f"""WITH {_PX} SELECT p.img, CAST(r.i AS INT) AS y, CAST(c.i AS INT) AS x, round(p.v, 6) + 0.0 AS v
     FROM range(12) r(i), range(12) c(i) JOIN px p ON p.y = {_mirror('r.i - 2', N)} AND p.x = {_mirror('c.i - 2', N)}""")
 def pad_reflect(spark, sf):
-    at = lambda c: R.reflect(F.col(c) - 2, N)
-    return shown(R.indexed(pixels(spark, sf), N, N, 12, 12, at("oy"), at("ox")))
+    return shown(whole(spark, sf, lambda a: [np.pad(a, 2, "reflect")]))
 
 
 @query("pad_square", f"""WITH {_PX}, c AS (SELECT * FROM px WHERE y < 5)
@@ -238,7 +246,7 @@ def pad_reflect(spark, sf):
     LEFT JOIN (SELECT img AS i2, y AS cy, x AS cx, v FROM c) ON i2 = img AND cy = y.i - 1 AND cx = x.i""")
 def pad_square(spark, sf):
     """A mask of 5 x 8 in the middle of 8 x 8."""
-    return shown(R.indexed(pixels(spark, sf).where("y < 5"), 5, N, N, N, F.col("oy") - 1, F.col("ox")))
+    return shown(whole(spark, sf, lambda a: [np.pad(a[:5], ((1, 2), (0, 0)))]))
 
 
 @query("roll_columns", f"WITH {_PX} SELECT img, y, (x + 4) % 8 AS x, round(v, 6) + 0.0 AS v, ((x + 4) % 8 + 8 - 4) % 8 AS back FROM px")
@@ -297,8 +305,8 @@ _CC = f"""{_PX}, on_ AS (SELECT img, y, x, y * 8 + x AS p FROM px WHERE v >= 0.5
 
 
 def _labelled(spark, sf):
-    px = pixels(spark, sf)
-    return R.components(px.withColumn("v", F.when(F.col("v") >= 0.55, 1.0).otherwise(0.0)))
+    lab = whole(spark, sf, lambda a: [K.label((a >= 0.55) * 1.0)]).where("v > 0")
+    return lab.select("img", "y", "x", (F.col("v") - 1).cast("long").alias("label"))
 
 
 @query("connected_components", f"WITH RECURSIVE {_CC} SELECT img, y, x, label FROM l")
@@ -376,46 +384,95 @@ _SOFT = K.soft_kernel(N, N, 0.4)
 
 @query("soft_blur", f"WITH {_PX}, {_MK}, {_blur('mk', 'o', _SOFT, N)} {_out('o')}")
 def soft_blur(spark, sf):
-    return shown(R.blurred(bright(pixels(spark, sf)), _SOFT, N, N))
+    return shown(whole(spark, sf, lambda a: [K.convolve((a >= 0.5) * 1.0, _SOFT)]))
 
 
-def rasters(px, h=N, w=N):
-    """(img, h, w, data: 64-bit floats) rows for the array kernels."""
-    one = F.transform(F.sort_array(F.collect_list(F.struct("y", "x", "v"))), lambda p: p["v"])
-    lists = px.groupBy("img").agg(one.alias("values"))
+def _mirror_in(i: str, n: str) -> str:
+    p = f"greatest(1, 2 * ({n} - 1))"
+    m = f"((({i}) % {p} + {p}) % {p})"
+    return f"(CASE WHEN {m} < {n} THEN {m} ELSE 2 * ({n} - 1) - {m} END)"
 
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
 
-        for b in batches:
-            data = [np.array(v, np.float64).tobytes() for v in b["values"].to_pylist()]
-            n = len(data)
-            yield pa.record_batch(
-                [b["img"], pa.array([h] * n, pa.int32()), pa.array([w] * n, pa.int32()), pa.array(data, pa.binary())],
-                names=["img", "h", "w", "data"])
+@query("roi_blur", f"""WITH RECURSIVE {_CC}, b AS (SELECT img, label, greatest(min(y) - 1, 0) AS y1, least(max(y) + 2, {N}) AS y2, greatest(min(x) - 1, 0) AS x1, least(max(x) + 2, {N}) AS x2
+      FROM l GROUP BY 1, 2 HAVING count(*) >= 4),
+    t AS MATERIALIZED (SELECT l.img, l.y, l.x, ky.w * kx.w AS w, CAST(y1 + {_mirror_in('l.y - y1 + ky.d', '(y2 - y1)')} AS INT) AS qy, CAST(x1 + {_mirror_in('l.x - x1 + kx.d', '(x2 - x1)')} AS INT) AS qx
+      FROM l JOIN b USING (img, label), {_taps(_SIG).replace('k(d, w)', 'ky(d, w)')}, {_taps(_SIG).replace('k(d, w)', 'kx(d, w)')}),
+    o AS (SELECT t.img, t.y, t.x, sum(t.w * q.v) AS v FROM t JOIN px q ON q.img = t.img AND q.y = t.qy AND q.x = t.qx GROUP BY 1, 2, 3)
+    SELECT img, y, x, round(coalesce(o.v, px.v), {DIGITS}) + 0.0 AS v FROM px LEFT JOIN o USING (img, y, x)""")
+def roi_blur(spark, sf):
+    """Components of bright pixels, four pixels or more, blurred in place."""
+    return shown(whole(spark, sf, lambda a: [K.roi_blur(a, a >= 0.55, _SIG, 1, 4)]))
 
-    return lists.mapInArrow(run, RASTER)
 
+_FACES = {"F": "u, v, 1.0", "R": "1.0, v, -u", "B": "-u, v, -1.0", "L": "-1.0, v, u", "U": "u, 1.0, -v", "D": "u, -1.0, v"}
 
-RASTER = "img long, h int, w int, data binary"
 
+def _cube_sql(n: int) -> str:
+    """Bilinear taps (y, x, qy, qx, w) of six faces of side n below each other in an N x N panorama."""
+    faces = " UNION ALL ".join(
+        f"SELECT {k} AS face, i, j, {', '.join(f'CAST({c} AS DOUBLE) AS {d}' for c, d in zip(xyz.split(', '), ('dx', 'dy', 'dz'), strict=True))} FROM c" for k, xyz in enumerate(_FACES.values()))
+    return f"""c AS (SELECT i, j, (j + 0.5::DOUBLE) / {n} * 2 - 1 AS u, -((i + 0.5::DOUBLE) / {n} * 2 - 1) AS v FROM range({n}) a(i), range({n}) b(j)), d AS ({faces}),
+    s AS (SELECT CAST(face * {n} + i AS INT) AS y, CAST(j AS INT) AS x, (atan2(dx, dz) / (2 * pi()) + 0.5::DOUBLE) * {N} - 0.5::DOUBLE AS sx,
+      least(greatest((0.5::DOUBLE - asin(least(1.0::DOUBLE, greatest(-1.0::DOUBLE, dy / sqrt(dx * dx + dy * dy + dz * dz)))) / pi()) * {N} - 0.5::DOUBLE, 0), {N - 1}) AS sy FROM d),
+    k AS (SELECT y, x, CAST(least(floor(sy) + b, {N - 1}) AS INT) AS qy, CAST((floor(sx) + a + {N}) % {N} AS INT) AS qx,
+      (CASE a WHEN 0 THEN 1 - (sx - floor(sx)) ELSE sx - floor(sx) END) * (CASE b WHEN 0 THEN 1 - (sy - floor(sy)) ELSE sy - floor(sy) END) AS w FROM s, range(2) p(a), range(2) q(b))"""
 
-@query("roi_blur")
-def roi_blur(spark, sf):
-    """Components of bright pixels, four pixels or more, blurred in place."""
-    return rasters(pixels(spark, sf)).mapInArrow(K.each_raster(lambda a: K.roi_blur(a, a >= 0.55, _SIG, 1, 4)), RASTER)
 
-
-@query("equirect_to_cube")
+@query("equirect_to_cube", f"""WITH {_PX}, {_cube_sql(4)} SELECT px.img, k.y, k.x, round(sum(k.w * px.v), 6) + 0.0 AS v
+    FROM k JOIN px ON px.y = k.qy AND px.x = k.qx GROUP BY 1, 2, 3""")
 def equirect_to_cube(spark, sf):
-    return rasters(pixels(spark, sf)).mapInArrow(K.each_raster(lambda a: K.equirect_to_cube(a, 4)), RASTER)
+    """Faces F, R, B, L, U, D below each other."""
+    return shown(whole(spark, sf, lambda a: [K.equirect_to_cube(a, 4)]))
+
+
+@query("seam_repair", f"""WITH {_PX}, r AS (SELECT img, y, (x + 4) % 8 AS x, v FROM px),
+    m AS (SELECT img, avg(v) AS m FROM r WHERE x BETWEEN 1 AND 6 AND x NOT IN (3, 4) GROUP BY img),
+    f AS (SELECT img, y, x, v, CASE WHEN x BETWEEN 1 AND 6 THEN least(least((x - 1) / 2.0::DOUBLE, 1), least((6 - x) / 2.0::DOUBLE, 1)) ELSE 0 END AS al,
+      CASE WHEN x IN (3, 4) THEN m ELSE v END AS new FROM r JOIN m USING (img))
+    SELECT img, y, CAST((x + 4) % 8 AS INT) AS x, round(al * new + (1 - al) * v, 6) + 0.0 AS v FROM f""")
+def seam_repair(spark, sf):
+    """The seam filled by the mean of its crop, in place of an inpainting model."""
+    return shown(whole(spark, sf, lambda a: [K.repaired_seam(a, K.fill_mean, 1, 2, 2)]))
+
+
+def _lanczos_sql(src: str, name: str, n: int, to: int) -> str:
+    pi = "pi()"
+    taps = f"""(SELECT d, CAST(least(greatest(i, 0), {n - 1}) AS INT) AS q, w / sum(w) OVER (PARTITION BY d) AS w FROM
+      (SELECT d, i, CASE WHEN abs(s - i) >= 4 THEN 0 WHEN abs(s - i) < 1e-12 THEN 1 ELSE 4 * sin({pi} * (s - i)) * sin({pi} * (s - i) / 4) / ({pi} * {pi} * (s - i) * (s - i)) END AS w
+       FROM (SELECT CAST(t.d AS INT) AS d, (t.d + 0.5::DOUBLE) * {n / to!r}::DOUBLE - 0.5::DOUBLE AS s, floor((t.d + 0.5::DOUBLE) * {n / to!r}::DOUBLE - 0.5::DOUBLE) + k.i AS i FROM range({to}) t(d), range(-3, 5) k(i))))"""
+    return f"""{name}_x AS MATERIALIZED (SELECT p.img, p.y, k.d AS x, sum(p.v * k.w) AS v FROM {src} p JOIN {taps} k ON p.x = k.q GROUP BY 1, 2, 3),
+    {name} AS (SELECT p.img, k.d AS y, p.x, sum(p.v * k.w) AS v FROM {name}_x p JOIN {taps} k ON p.y = k.q GROUP BY 1, 2, 3)"""
+
+
+@query("resize_lanczos", f"WITH {_PX}, {_lanczos_sql('px', 'o', N, 12)} {_out('o')}")
+def resize_lanczos(spark, sf):
+    return shown(whole(spark, sf, lambda a: [K.lanczos(a, 12, 12)]))
+
+
+@query("image_to_mask", f"WITH {_PX} SELECT img, y, CAST(x // 4 AS INT) AS x, round(v, 6) + 0.0 AS v FROM px WHERE x % 4 = 1")
+def image_to_mask(spark, sf):
+    """One channel of an image of four: every fourth column stands for it."""
+    return shown(whole(spark, sf, lambda a: [a[:, 1::4]]))
+
+
+@query("mask_to_image", f"WITH {_PX} SELECT img, CAST(c AS INT) AS c, y, x, round(v, 6) + 0.0 AS v FROM px, range(3) t(c)")
+def mask_to_image(spark, sf):
+    """A mask in three equal channels."""
+    out = whole(spark, sf, lambda a: [a, a, a])
+    return out.select("img", F.col("level").alias("c"), "y", "x", (F.round("v", DIGITS) + 0.0).alias("v"))
+
+
+@query("empty_image", "SELECT p_partkey AS img, CAST(c AS INT) AS c, CAST((p_size * 5127 >> (16 - 8 * c)) & 255 AS INT) AS u8, p_size * (p_size + 2) AS n FROM part, range(3) t(c)")
+def empty_image(spark, sf):
+    """Images of one colour (0xRRGGBB), size x (size + 2): a value and a number of pixels for each channel."""
+    p = table(spark, sf, "part").select(F.col("p_partkey").alias("img"), F.col("p_size").alias("s"), F.explode(F.array(*[F.lit(c) for c in range(3)])).alias("c"))
+    return p.selectExpr("img", "c", "cast(shiftright(s * 5127, 16 - 8 * c) & 255 as int) AS u8", "s * (s + 2) AS n")
 
 
 @query("top_fix")
 def top_fix(spark, sf):
     """With the mean of the surroundings in place of an inpainting model."""
-    return rasters(pixels(spark, sf)).mapInArrow(K.each_raster(lambda a: K.top_fix(a, K.fill_mean, 16, 70.0, 50.0, 0.8)), RASTER)
+    return shown(whole(spark, sf, lambda a: [K.top_fix(a, K.fill_mean, 16, 70.0, 50.0, 0.8)]))
 
 
 @query("decode_image", f"""WITH {_PX} SELECT img, {N} AS h, {N} AS w, true AS ok, CAST(sum(floor(greatest(0.0::DOUBLE, least(1.0::DOUBLE, v)) * 255)) AS BIGINT) AS total FROM px GROUP BY img""")

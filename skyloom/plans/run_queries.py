@@ -115,14 +115,35 @@ def stage_gate(spark, sf):
     return R.gated(s, "stage2")
 
 
-@query("sink_raster_parquet")
+def _bytes_total(spark, sf, read):
+    """The rasters after the sink: their sizes and the sums of their bytes."""
+    byte = lambda i: F.conv(F.hex(F.substring(F.col("data"), i, F.lit(1))), 16, 10).cast("bigint")
+    total = F.aggregate(F.sequence(F.lit(1), F.length("data")), F.lit(0).cast("bigint"), lambda s, i: s + byte(i))
+    return read.select("img", "h", "w", total.alias("total"))
+
+
+_TOTAL = """SELECT vec_id AS img, 8 AS h, 8 AS w, CAST(sum(floor(greatest(0.0::DOUBLE, least(1.0::DOUBLE, (embedding[i + 1]::DOUBLE + 1) / 2)) * 255)) AS BIGINT) AS total
+    FROM embeddings, range(64) t(i) GROUP BY 1"""
+
+
+@query("sink_raster_parquet", _TOTAL)
 def sink_raster_parquet(spark, sf):
-    """Rasters packed to bytes, as they are stored."""
+    """Rasters written as a table of bytes, and read from it."""
     from .raster_queries import N, pixels
 
-    return I.packed(pixels(spark, sf), N, N)
+    return _bytes_total(spark, sf, I.committed(I.packed(pixels(spark, sf), N, N)))
 
 
-@query("sink_png")
+@query("sink_png", _TOTAL)
 def sink_png(spark, sf):
-    return I.as_png(sink_raster_parquet(spark, sf))
+    """Rasters written as a table of PNG files, and read from it."""
+    from .raster_queries import N, pixels
+
+    return _bytes_total(spark, sf, I.decoded(I.committed(I.as_png(I.packed(pixels(spark, sf), N, N)))))
+
+
+@query("run_ids", "SELECT conv_id AS run, 'run_' || substr(md5(conv_id::VARCHAR), 1, 12) AS run_id, count(*) AS stages FROM conversations GROUP BY 1")
+def run_ids(spark, sf):
+    """A short id of each run, from its key, so reruns agree."""
+    c = table(spark, sf, "conversations").groupBy(F.col("conv_id").alias("run")).agg(F.count("*").alias("stages"))
+    return c.select("run", R.run_id(F.col("run").cast("string")).alias("run_id"), "stages")

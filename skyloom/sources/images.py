@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import paths as P
+from .work import shared_path
 
 
 def inventory(spark: SparkSession, folder: str, recursive: bool = True, pattern: str = "*", bmp: bool = False) -> DataFrame:
@@ -105,3 +106,10 @@ def decoded(files: DataFrame) -> DataFrame:
             yield pa.record_batch([b["img"], *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], names=["img", "h", "w", "data", "ok"])
 
     return files.select("img", "png").mapInArrow(run, "img long, h int, w int, data binary, ok boolean")
+
+
+def committed(rasters: DataFrame) -> DataFrame:
+    """``rasters`` written as a table in the shared folder, by Spark's commit protocol, and read from it."""
+    path = shared_path(rasters.sparkSession)
+    rasters.write.parquet(path)
+    return rasters.sparkSession.read.schema(rasters.schema).parquet(path)

@@ -4,7 +4,6 @@ import json
 
 import numpy as np
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from skyloom.functions import kernels as K
@@ -16,6 +15,7 @@ from skyloom.operators import graph as G
 from skyloom.operators import raster as R
 from skyloom.sources import images as I
 from skyloom.sources import records as J
+from skyloom.sources import workflows as W
 from skyloom.streaming import events as E
 
 
@@ -37,7 +37,7 @@ def test_path_order(spark):
 
 def test_contiguous_split(spark):
     for n, k, sizes in ((11, 4, [3, 3, 3, 2]), (2, 4, [1, 1])):
-        df = spark.range(n).withColumn("s", A.contiguous(Window.partitionBy(F.lit(0)).orderBy("id"), k))
+        df = A.ranked(spark.range(n), F.col("id")).withColumn("s", A.contiguous(k))
         assert [r["count"] for r in df.groupBy("s").count().orderBy("s").collect()] == sizes
 
 
@@ -106,16 +106,38 @@ def test_each_raster(spark):
     assert np.array_equal(np.frombuffer(out.data).reshape(5, 5), K.extreme(a, 1))
 
 
-def test_pyramid_round_trip(spark):
-    a = np.random.default_rng(5).random((8, 8))
-    back = as_array(R.collapsed(R.laplacian_pyramid(as_relation(spark, a), 8, 8, 2)), 8, 8)
-    assert np.allclose(back, a, atol=1e-12)
+def test_pyramid_round_trip():
+    for shape in ((8, 8), (9, 6), (33, 50)):
+        a = np.random.default_rng(5).random(shape)
+        assert np.allclose(K.collapse(K.laplacian_pyramid(a, R.kernel_of_radius(2), 2)), a, atol=1e-12)
 
 
-def test_blend_with_empty_mask_is_base(spark):
-    a = np.random.default_rng(6).random((8, 8))
-    base, zero = as_relation(spark, a), as_relation(spark, np.zeros((8, 8)))
-    assert np.allclose(as_array(R.laplacian_blend(base, as_relation(spark, 1 - a), zero, 8, 8, 2), 8, 8), a, atol=1e-12)
+def test_blend_follows_its_mask():
+    a, k = np.random.default_rng(6).random((8, 8)), R.kernel_of_radius(2)
+    assert np.array_equal(K.laplacian_blend(a, 1 - a, np.zeros((8, 8)), k, 2), a)
+    assert np.allclose(K.laplacian_blend(a, 1 - a, np.ones((8, 8)), k, 2), 1 - a, atol=1e-12)
+
+
+def test_lanczos_keeps_what_it_should():
+    a = np.random.default_rng(7).random((9, 13))
+    assert np.allclose(K.lanczos(a, 9, 13), a, atol=1e-12) and np.allclose(K.lanczos(np.full((5, 7), 0.3), 11, 20), 0.3, atol=1e-12)
+
+
+def test_seam_repair_touches_only_the_seam():
+    a = np.random.default_rng(8).random((4, 40))
+    out = K.repaired_seam(a, lambda v, hole: np.where(hole, 9.0, v), 2, 3, 2)
+    assert np.array_equal(out[:, 2:38], a[:, 2:38]) and (out[:, [0, 1, 38, 39]] == 9).all()
+
+
+def test_workflow_files(spark, tmp_path):
+    node = '{"1": {"class_type": "LoadImage", "inputs": {"image": "a.png"}, "_meta": {"title": "In"}}, "2": {"class_type": "Save", "inputs": {"images": ["1", 0], "n": 2}}}'
+    for name, text in (("bare", node), ("wrapped", f'{{"prompt": {node}, "client_id": "x"}}'), ("none", "[1, 2"), ("empty", "{}")):
+        (tmp_path / f"{name}.json").write_text(text)
+    rows = W.read(spark, str(tmp_path)).collect()
+    assert {(r.workflow, r.node_id, r.class_type, r.title) for r in rows} == {
+        (w, *n) for w in ("bare", "wrapped") for n in (("1", "LoadImage", "In"), ("2", "Save", None))}
+    edges = G.edges_of(W.read(spark, str(tmp_path)).where("workflow = 'wrapped'")).collect()
+    assert [(e.src, e.src_slot, e.dst, e.input) for e in edges] == [("1", 0, "2", "images")]
 
 
 def test_components_snake():
