@@ -196,7 +196,9 @@ def encode_decode(
     """One row per row of ``docs``: id, n_tokens, ids (decimal, joined by commas), decoded (binary).
 
     ``path`` is a rank file, ``pattern`` splits texts into pre-tokens.  Null and
-    empty texts have no tokens.  Rows may repeat, and ids may be null.
+    empty texts have no tokens.  Rows may repeat, and ids may be null: each row is
+    encoded for itself.  Other columns are ignored, whatever their names; an empty
+    table gives an empty result; a text longer than a block is a block of its own.
     """
     n = C.n_tasks(docs)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))

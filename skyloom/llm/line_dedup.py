@@ -27,7 +27,8 @@ from .cuckoo import SLOTS, Filters, Shard
 MIN_CHARS = 40
 MIN_DOCS = 5
 N_SHARDS = 64
-FILTER_BYTES = 16 << 20
+#: What all shards take at most; they take about 3 bytes a shared key, so this holds some 40 million.
+FILTER_BYTES = 128 << 20
 #: Share of its slots that a shard is filled to.
 LOAD = 0.95
 _BLANK = b" \t\n\r\x0b\x0c"
@@ -225,7 +226,9 @@ def line_dedup(
     over the documents it holds, which should include ``docs``; without, over ``docs``.
 
     Null and empty texts are one empty line.  Rows that share an id count as one
-    document.  Rows with a null id aren't counted and keep all their lines.
+    document, and each loses its lines.  Rows with a null id aren't counted and keep
+    all their lines.  Other columns are ignored, whatever their names; texts are split
+    whole, whatever their length; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))

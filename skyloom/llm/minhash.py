@@ -196,7 +196,8 @@ def near_dedup(
     component.  Rows that share an id count as one document.  Rows with a null id
     join the component of an equal set that has an id; without one, component_id
     is null and the row is kept.  n_links counts the verified links of the row's
-    class representative.  At similarity s a pair shares no band with probability
+    class representative.  Other columns are ignored, whatever their names; an empty
+    table gives an empty result; whole texts are shingled.  At similarity s a pair shares no band with probability
     (1 - s**rows)**(bins / rows): 7e-10 at 0.8 and the defaults.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))

@@ -165,7 +165,9 @@ def substring_dedup(
     A window goes where its words also start earlier: in a smaller id, or earlier
     in the same document.  ``removed`` has maximal [start, end) word intervals.
     Null texts have no words; null ids come after all others; rows that share an
-    id count as parts of one document, in the order of their texts.
+    id count as parts of one document, in the order of their texts.  Other columns are
+    ignored, whatever their names; an empty table gives an empty result; a text is
+    windowed whole, whatever its length.
     """
     n_blocks = C.n_tasks(docs)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))

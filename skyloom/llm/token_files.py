@@ -243,7 +243,8 @@ def write_token_files(
     """Segments (part, segment, n_ids, data) in ascending id order, stored in the shared folder.
 
     Null texts count as empty; null ids come first; rows that repeat an id follow in
-    the order of their texts.
+    the order of their texts.  Other columns are ignored, whatever their names; an
+    empty table gives no segments; a text of any length lies in one segment.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     n = C.n_tasks(docs)
