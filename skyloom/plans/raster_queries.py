@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..functions import kernels as K
@@ -325,6 +326,36 @@ def centroid(spark, sf):
     return _labelled(spark, sf).groupBy("img", "label").agg(F.round(F.avg("x"), 6).alias("cx"), F.round(F.avg("y"), 6).alias("cy"))
 
 
+def _contours(batches):
+    for b in batches:
+        values = (b["e"].flatten().to_numpy(zero_copy_only=False).astype(np.float64) + 1) / 2
+        rows = [
+            (img, name - 1, x, y)
+            for img, a in zip(b["img"].to_pylist(), values.reshape(-1, N, N), strict=True) for name, x, y in K.contour_centroids(a >= 0.55)]
+        cols = list(zip(*rows, strict=True)) or [[]] * 4
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["img", "label", "cx", "cy"])
+
+
+@query("contour_centroid", f"""WITH RECURSIVE {_CC}, m AS MATERIALIZED (SELECT img, label, y, x FROM l),
+    b AS (SELECT img, label, min(y) - 1 AS y1, max(y) + 2 AS y2, min(x) - 1 AS x1, max(x) + 2 AS x2, arg_min(x, y * {N} + x) AS fx, min(y) AS fy FROM m GROUP BY 1, 2),
+    g AS MATERIALIZED (SELECT b.img, b.label, CAST(y.y AS INT) AS y, CAST(x.x AS INT) AS x FROM b, range(-1, {N + 1}) y(y), range(-1, {N + 1}) x(x) WHERE y.y >= y1 AND y.y < y2 AND x.x >= x1 AND x.x < x2),
+    free AS MATERIALIZED (SELECT * FROM g ANTI JOIN m USING (img, label, y, x)),
+    out_ AS (SELECT img, label, CAST(y1 AS INT) AS y, CAST(x1 AS INT) AS x FROM b
+      UNION SELECT f.img, f.label, f.y, f.x FROM out_ o JOIN (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) d(dy, dx) ON true
+        JOIN free f ON f.img = o.img AND f.label = o.label AND f.y = o.y + dy AND f.x = o.x + dx),
+    cells AS (SELECT img, label, y - dy AS cy, x - dx AS cx, count(*) AS n, avg(y) AS my, avg(x) AS mx
+      FROM (SELECT * FROM g ANTI JOIN out_ USING (img, label, y, x)), range(2) a(dy), range(2) c(dx) GROUP BY 1, 2, 3, 4),
+    s AS (SELECT img, label, sum(w) AS m00, sum(w * mx) / sum(w) AS cx, sum(w * my) / sum(w) AS cy
+      FROM (SELECT *, CASE n WHEN 4 THEN 1.0::DOUBLE WHEN 3 THEN 0.5::DOUBLE END AS w FROM cells) WHERE w > 0 GROUP BY 1, 2)
+    SELECT b.img, CAST(b.label AS BIGINT) AS label, round(coalesce(s.cx, fx), 6) + 0.0 AS cx, round(coalesce(s.cy, fy), 6) + 0.0 AS cy FROM b LEFT JOIN s USING (img, label)""")
+def contour_centroid(spark, sf):
+    """By the moments of the outer contour; without area, its first point."""
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("img"), F.col("embedding").cast("array<float>").alias("e"))
+    out = e.mapInArrow(_contours, "img long, label long, cx double, cy double")
+    return out.select("img", "label", (F.round("cx", 6) + 0.0).alias("cx"), (F.round("cy", 6) + 0.0).alias("cy"))
+
+
 #: The view of the projection: horizontal and vertical field, yaw and pitch in degrees; target 12 x 24.
 VIEW = {"fov_x": 90.0, "fov_y": 90.0, "yaw": 30.0, "pitch": -20.0}
 TO_H, TO_W = 12, 24

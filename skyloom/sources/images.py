@@ -76,18 +76,63 @@ def packed(px: DataFrame, h: int, w: int) -> DataFrame:
     return px.groupBy("img").agg(F.unhex(F.array_join(s, "")).alias("data")).select("img", F.lit(h).alias("h"), F.lit(w).alias("w"), "data")
 
 
+#: Fixed values of the format: samples a pixel by colour type, at 8 bits.
+_SAMPLES = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
+
+
+def _unfiltered(raw: np.ndarray, bpp: int) -> np.ndarray:
+    """Rows without their filters: none, left, up, mean of both, or the nearest of left, up and corner."""
+    out = np.zeros((len(raw) + 1, raw.shape[1] - 1 + bpp), np.uint8)  # a row and a pixel of zeros before
+    for y, (kind, line) in enumerate(zip(raw[:, 0].tolist(), raw[:, 1:], strict=True), 1):
+        if kind > 4:
+            raise ValueError("unknown row filter")
+        if kind in (0, 2):
+            out[y, bpp:] = line + (out[y - 1, bpp:] if kind else 0)
+            continue
+        if kind == 1:
+            out[y, bpp:] = np.cumsum(line.reshape(-1, bpp), axis=0, dtype=np.uint8).ravel()
+            continue
+        up, row = out[y - 1].tolist(), [0] * bpp
+        for i, v in enumerate(line.tolist()):
+            left, above, corner = row[i], up[i + bpp], up[i]
+            if kind == 3:
+                guess = (left + above) // 2
+            else:
+                p = left + above - corner
+                guess = min((abs(p - left), 0, left), (abs(p - above), 1, above), (abs(p - corner), 2, corner))[2]
+            row.append((v + guess) & 255)
+        out[y] = row
+    return out[1:, bpp:]
+
+
 def gray_of_png(data: bytes) -> np.ndarray:
-    """The raster of an 8-bit gray PNG without row filters, as ``png`` writes it."""
-    w, h = struct.unpack(">II", data[16:24])
-    at, body = 8, b""
-    while at < len(data):
+    """The 8-bit raster of a PNG of 8-bit samples: gray as it is, colours (also of a palette) as luma, without alpha.
+
+    Other depths, interlaced rows and broken files are a ValueError.
+    """
+    if data[:8] != b"\x89PNG\r\n\x1a\n":
+        raise ValueError("not a PNG")
+    w, h, depth, colour, _, _, laced = struct.unpack(">IIBBBBB", data[16:29])
+    if depth != 8 or colour not in _SAMPLES or laced:
+        raise ValueError("unsupported PNG")
+    at, body, palette = 8, b"", b""
+    while at + 8 <= len(data):
         n, kind = struct.unpack(">I4s", data[at : at + 8])
         body += data[at + 8 : at + 8 + n] if kind == b"IDAT" else b""
+        palette = data[at + 8 : at + 8 + n] if kind == b"PLTE" else palette
         at += n + 12
-    rows = np.frombuffer(zlib.decompress(body), np.uint8).reshape(h, w + 1)
-    if rows[:, 0].any():
-        raise ValueError("filtered rows")
-    return rows[:, 1:]
+    bpp = _SAMPLES[colour]
+    rows = _unfiltered(np.frombuffer(zlib.decompress(body), np.uint8).reshape(h, w * bpp + 1), bpp)
+    if colour in (0, 4):
+        return np.ascontiguousarray(rows[:, ::bpp])
+    if colour == 3:
+        table = np.frombuffer(palette, np.uint8).reshape(-1, 3)
+        if rows.size and rows.max() >= len(table):
+            raise ValueError("colour beyond the palette")
+        rgb = table[rows]
+    else:
+        rgb = rows.reshape(h, w, bpp)[..., :3]
+    return (rgb.astype(float) @ (0.299, 0.587, 0.114)).round().astype(np.uint8)
 
 
 def decoded(files: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 """Operators on small fixtures: edge cases that the tables don't hold."""
 
 import json
+import struct
+import zlib
 
 import numpy as np
 import pytest
@@ -229,3 +231,45 @@ def test_top_fix_changes_the_hole_only():
 def test_png_errors(spark):
     df = spark.createDataFrame([(1, bytearray(I.png(b"\x01\x02", 1, 2))), (2, bytearray(b"junk")), (3, None)], "img long, png binary")
     assert col(I.decoded(df), "img", "ok") == [(1, True), (2, False), (3, False)]
+
+
+def test_png_filters_and_colours():
+    rng = np.random.default_rng(3)
+    for colour, bpp in ((0, 1), (2, 3), (3, 1), (4, 2), (6, 4)):
+        h, w = 6, 5
+        px = rng.integers(0, 256, (h, w, bpp)).astype(np.uint8)
+        table = rng.integers(0, 256, (256, 3)).astype(np.uint8)
+        flat, raw = px.reshape(h, -1).astype(int), b""
+        for y in range(h):  # row y is filtered by kind y, the last by none
+            kind = y % 5
+            line = []
+            for i in range(w * bpp):
+                left = flat[y, i - bpp] if i >= bpp else 0
+                up = flat[y - 1, i] if y else 0
+                corner = flat[y - 1, i - bpp] if y and i >= bpp else 0
+                d = [(abs(up - corner), 0, left), (abs(left - corner), 1, up), (abs(left + up - 2 * corner), 2, corner)]
+                line.append((flat[y, i] - [0, left, up, (left + up) // 2, min(d)[2]][kind]) % 256)
+            raw += bytes([kind, *line])
+        chunk = lambda k, b: struct.pack(">I", len(b)) + k + b + struct.pack(">I", zlib.crc32(k + b))
+        head = chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, colour, 0, 0, 0)) + (chunk(b"PLTE", table.tobytes()) if colour == 3 else b"")
+        data = b"\x89PNG\r\n\x1a\n" + head + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
+        rgb = table[px[..., 0]] if colour == 3 else px[..., :3]
+        want = px[..., 0] if colour in (0, 4) else (rgb.astype(float) @ (0.299, 0.587, 0.114)).round().astype(np.uint8)
+        assert (I.gray_of_png(data) == want).all()
+    for bad in (data[:20], b"x" * 60, data[:24] + b"\x10" + data[25:]):
+        with pytest.raises((ValueError, struct.error, zlib.error)):
+            I.gray_of_png(bad)
+
+
+def test_contour_centroids():
+    a = np.zeros((9, 9), bool)
+    assert K.contour_centroids(a) == []
+    a[1:4, 1:6] = True  # a rectangle of 2 x 4 with a hole at its middle, which the contour encloses
+    a[2, 3] = False
+    a[6, 2] = a[7, 1] = True  # a line: no area
+    a[6:8, 6] = a[7, 7] = True  # a triangle
+    out = K.contour_centroids(a)
+    assert [(x, y) for _, x, y in out[:1]] == [(3.0, 2.0)]
+    assert (2.0, 6.0) in [(x, y) for _, x, y in out]
+    assert any(abs(x - (6 + 1 / 3)) < 1e-9 and abs(y - (6 + 2 / 3)) < 1e-9 for _, x, y in out)
+    assert len(out) == 3
