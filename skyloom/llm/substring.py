@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -143,13 +143,18 @@ def _remove(size: int):
     return run
 
 
+def _longs(values: list[int]) -> Column:
+    """An array column of the values: one literal, which the optimizer folds, however many they are."""
+    text = F.split(F.lit(",".join(map(str, values))), ",") if values else F.array()
+    return text.cast("array<bigint>")
+
+
 def with_block(rows: DataFrame, n_blocks: int) -> DataFrame:
     """``rows`` (id, ...) with block int: neighbouring ids share one; null ids come last."""
     cuts = rows.approxQuantile("id", [i / n_blocks for i in range(1, n_blocks)], 1 / (4 * n_blocks)) if n_blocks > 1 else []
     cuts = sorted({int(c) for c in cuts})
     step = max(1, int(len(cuts) ** 0.5))
-    coarse = F.array(*[F.lit(c) for c in cuts[step - 1 :: step]]).cast("array<bigint>")
-    fine = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>")
+    coarse, fine = _longs(cuts[step - 1 :: step]), _longs(cuts)
     below = lambda a, x: F.size(F.filter(a, lambda c: c <= x))
     major = rows.withColumn("_major", F.when(F.col("id").isNotNull(), below(coarse, F.col("id"))))
     at = F.col("_major") * step
