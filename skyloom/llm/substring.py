@@ -3,10 +3,13 @@
 Documents are dealt into blocks of neighbouring ids (splitters are quantiles of
 the id).  Each block hashes all its windows and sends every distinct hash once to
 the task of its hash range, as packed 64-bit words; that task counts each hash
-over the blocks and answers every block but the first that holds it.  So a window
-that a third of all documents share reaches a task once a block.  A block then
+over the blocks and answers all blocks that share it.  So a window
+that a third of all documents share reaches a task once a block.  Equal hashes
+alone prove nothing at 1e13 windows: the shared ones, a small part of all, go once
+more, each with a second hash of its words under another seed and base, and now
+every block but the first that holds the pair is answered.  A block then
 removes what its answers and its own earlier windows cover, merged into maximal
-intervals.  The texts are shuffled once: both uses of the blocks share that exchange.
+intervals.  The texts are shuffled once: all uses of the blocks share that exchange.
 """
 
 from __future__ import annotations
@@ -22,14 +25,17 @@ from . import common as C
 
 WINDOW = 20
 _BASE = 0x9E3779B97F4A7C15
+#: Seed of the words and base of the windows for the second hash.
+_SEED2, _BASE2 = 0x5851F42D4C957F2D, 0xD1342543DE82EF95
 _U = np.uint64
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), _U, len(words))
+def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
+    digest = xxhash.xxh3_64_intdigest
+    return np.fromiter(map(digest, words) if not seed else (digest(w, seed) for w in words), _U, len(words))
 
 
-def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
+def window_hashes(h: np.ndarray, size: int, base: int = _BASE) -> np.ndarray:
     """The polynomial hash, modulo 2**64, of each run of ``size`` word hashes.
 
     Runs double (1, 2, 4, ... words), so a window costs log2(size) steps.
@@ -42,11 +48,11 @@ def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
         while True:
             if size & width:
                 part = run[done : done + n]
-                out = part.copy() if out is None else out * _U(pow(_BASE, width, 2**64)) + part
+                out = part.copy() if out is None else out * _U(pow(base, width, 2**64)) + part
                 done += width
             if width * 2 > size:
                 break
-            run = run[:-width] * _U(pow(_BASE, width, 2**64)) + run[width:]
+            run = run[:-width] * _U(pow(base, width, 2**64)) + run[width:]
             width *= 2
         out ^= out >> _U(29)
         return out * _U(0xBF58476D1CE4E5B9)
@@ -73,38 +79,102 @@ def _unpack(blob: bytes) -> np.ndarray:
         return np.cumsum(np.ascontiguousarray(planes.T).view(_U).ravel(), dtype=_U)
 
 
+def _checks(words: list[list[bytes]], windows: list[np.ndarray], wanted: np.ndarray, size: int) -> np.ndarray:
+    """The second hashes of the block's windows that ``wanted`` marks, in order."""
+    out, end = [], 0
+    for w, h in zip(words, windows, strict=True):
+        mine = wanted[end : end + len(h)]
+        end += len(h)
+        if mine.any():
+            out.append(window_hashes(word_hashes(w, _SEED2), size, _BASE2)[mine])
+    return np.concatenate(out) if out else np.empty(0, _U)
+
+
+def _held(values: np.ndarray, in_sorted: np.ndarray) -> np.ndarray:
+    if not len(in_sorted):
+        return np.zeros(len(values), bool)
+    return in_sorted[np.minimum(np.searchsorted(in_sorted, values), len(in_sorted) - 1)] == values
+
+
+def repeated(h: np.ndarray, checks: np.ndarray) -> np.ndarray:
+    """Marks every pair (hash, second hash) that has an equal one before it."""
+    by = np.lexsort((checks, h))  # stable: equal pairs keep their order
+    out = np.zeros(len(h), bool)
+    out[by[1:]] = (h[by[1:]] == h[by[:-1]]) & (checks[by[1:]] == checks[by[:-1]])
+    return out
+
+
+def _messages(key: tuple, h: np.ndarray, n_ranges: int, checks: np.ndarray | None = None) -> pa.Table:
+    """The sorted hashes of a block, one row for each range of hashes: a slice of them."""
+    part = ((h >> _U(32)) * _U(n_ranges) >> _U(32)).astype(np.int64)
+    which, starts = np.unique(part, return_index=True)
+    ends = np.append(starts[1:], len(h))[: len(starts)]
+    cuts = list(zip(starts, ends, strict=True))
+    columns = {
+        "range": pa.array(which, pa.int32()), "block": pa.array([key[0].as_py()] * len(which), pa.int32()),
+        "hashes": pa.array([_pack(h[a:b]) for a, b in cuts], pa.binary())}
+    if checks is not None:
+        columns["checks"] = pa.array([checks[a:b].tobytes() for a, b in cuts], pa.binary())
+    return pa.table(columns)
+
+
 def _send(size: int, n_ranges: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         _, _, windows = _block(table, size)
-        h = np.unique(np.concatenate(windows)) if windows else np.empty(0, _U)
-        # h is sorted, so each range of hashes is a slice of it
-        part = ((h >> _U(32)) * _U(n_ranges) >> _U(32)).astype(np.int64)
-        which, starts = np.unique(part, return_index=True)
-        ends = np.append(starts[1:], len(h))[: len(starts)]
-        return pa.table({
-            "range": pa.array(which, pa.int32()), "block": pa.array([key[0].as_py()] * len(which), pa.int32()),
-            "hashes": pa.array([_pack(h[a:b]) for a, b in zip(starts, ends, strict=True)], pa.binary())})
+        return _messages(key, np.unique(np.concatenate(windows)) if windows else np.empty(0, _U), n_ranges)
 
     return run
 
 
-def _count(key: tuple, table: pa.Table) -> pa.Table:
-    """For each block the hashes of this range that an earlier block holds too."""
+def _lists(table: pa.Table) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
+    """The blocks of a range's messages in order, their hashes, and their second hashes if they have any."""
     blocks = np.array(table["block"].to_pylist())
-    order = np.argsort(blocks, kind="stable")
-    lists = [_unpack(table["hashes"][int(i)].as_py()) for i in order]
-    flat = np.concatenate(lists)
-    by = np.argsort(flat, kind="stable")  # stable: earlier blocks come first
-    again = np.zeros(len(flat), bool)
-    again[by[1:]] = flat[by[1:]] == flat[by[:-1]]
-    ends = np.cumsum([len(x) for x in lists])
-    out = [x[again[e - len(x) : e]] for x, e in zip(lists, ends, strict=True)]
+    order = [int(i) for i in np.argsort(blocks, kind="stable")]
+    checks = [np.frombuffer(table["checks"][i].as_py(), _U) for i in order] if "checks" in table.column_names else []
+    return [int(blocks[i]) for i in order], [_unpack(table["hashes"][i].as_py()) for i in order], checks
+
+
+def _share(key: tuple, table: pa.Table) -> pa.Table:
+    """For each block the hashes of this range that another block holds too."""
+    blocks, lists, _ = _lists(table)
+    flat = np.sort(np.concatenate(lists))
+    shared = flat[1:][flat[1:] == flat[:-1]]  # each block sends a hash once
+    out = [x[_held(x, shared)] for x in lists]
     keep = [j for j, x in enumerate(out) if len(x)]
     return pa.table({
-        "block": pa.array([int(blocks[order[j]]) for j in keep], pa.int32()),
+        "block": pa.array([blocks[j] for j in keep], pa.int32()),
         "hashes": pa.array([_pack(out[j]) for j in keep], pa.binary())})
 
 
+def _resend(size: int, n_ranges: int):
+    """The block's windows of shared hashes, with their second hashes."""
+    def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
+        if not len(answers) or not len(docs):
+            return _messages(key, np.empty(0, _U), n_ranges, np.empty(0, _U))
+        _, words, windows = _block(docs, size)
+        shared = np.sort(np.concatenate([_unpack(x.as_py()) for x in answers["hashes"]]))
+        flat = np.concatenate(windows)
+        wanted = _held(flat, shared)
+        h, checks = flat[wanted], _checks(words, windows, wanted, size)
+        by = np.lexsort((checks, h))
+        by = by[~repeated(h[by], checks[by])]
+        return _messages(key, h[by], n_ranges, checks[by])
+
+    return run
+
+
+def _count(key: tuple, table: pa.Table) -> pa.Table:
+    """For each block the pairs of this range that an earlier block holds too."""
+    blocks, lists, checks = _lists(table)
+    again = repeated(np.concatenate(lists), np.concatenate(checks))
+    masks = np.split(again, np.cumsum([len(x) for x in lists])[:-1])
+    keep = [j for j, m in enumerate(masks) if m.any()]
+    return pa.table({
+        "block": pa.array([blocks[j] for j in keep], pa.int32()),
+        "hashes": pa.array([_pack(lists[j][masks[j]]) for j in keep], pa.binary()),
+        "checks": pa.array([checks[j][masks[j]].tobytes() for j in keep], pa.binary())})
+
+
 def covered(starts: np.ndarray, n_words: int, size: int) -> np.ndarray:
     """Words that the windows at ``starts`` cover; overlapping windows merge into maximal intervals."""
     edge = np.zeros(n_words + 1, np.int32)
@@ -116,14 +186,16 @@ def covered(starts: np.ndarray, n_words: int, size: int) -> np.ndarray:
 def _remove(size: int):
     def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
         ids, words, windows = _block(docs, size)
-        lists = [_unpack(x.as_py()) for x in answers["hashes"]]
-        remote = np.sort(np.concatenate(lists)) if lists else np.empty(0, _U)
+        _, lists, checks = _lists(answers)
+        remote = np.concatenate(lists) if lists else np.empty(0, _U)
         flat = np.concatenate(windows) if windows else np.empty(0, _U)
-        again = np.ones(len(flat), bool)
-        again[np.unique(flat, return_index=True)[1]] = False
-        if len(remote):
-            at = np.minimum(np.searchsorted(remote, flat), len(remote) - 1)
-            again |= remote[at] == flat
+        ordered = np.sort(flat)
+        maybe = _held(flat, ordered[1:][ordered[1:] == ordered[:-1]]) | _held(flat, np.sort(remote))
+        mine = _checks(words, windows, maybe, size)
+        # the answers stand before the block's own windows, so whatever equals one is a repetition
+        pairs = repeated(np.concatenate([remote, flat[maybe]]), np.concatenate([*checks, mine]))
+        again = np.zeros(len(flat), bool)
+        again[maybe] = pairs[len(remote) :]
         n_removed, texts, spans, end = [], [], [], 0
         for w, h in zip(words, windows, strict=True):
             starts = np.flatnonzero(again[end : end + len(h)])
@@ -179,7 +251,10 @@ def substring_dedup(
     # approxQuantile reads the ids alone, and its sketch is bounded by the number of blocks.
     blocks = with_block(rows, n_blocks).repartition(n_blocks, "block")
     sent = blocks.groupBy("block").applyInArrow(_send(size, n_blocks), "range int, block int, hashes binary")
-    answers = sent.groupBy("range").applyInArrow(_count, "block int, hashes binary")
+    shared = sent.groupBy("range").applyInArrow(_share, "block int, hashes binary")
+    again = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
+        _resend(size, n_blocks), "range int, block int, hashes binary, checks binary")
+    answers = again.groupBy("range").applyInArrow(_count, "block int, hashes binary, checks binary")
     return (
         blocks.groupBy("block").cogroup(answers.groupBy("block"))
         .applyInArrow(_remove(size), "id long, n_words long, n_removed long, removed array<array<int>>, kept_text binary")

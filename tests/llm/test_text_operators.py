@@ -2,10 +2,13 @@
 
 import collections
 import hashlib
+import random
 import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -186,6 +189,43 @@ def test_window_hash_is_of_the_words():
     assert substring.window_hashes(h[50:], 20)[0] == w[50]
 
 
+def test_windows_of_equal_hashes_but_other_words_stay(monkeypatch):
+    """With a first hash of five values only, the second one still tells windows apart, over blocks and within."""
+    real = substring.window_hashes
+    weak = lambda h, size, base=substring._BASE: real(h, size, base) % (5 if base == substring._BASE else 2**64 - 1)
+    monkeypatch.setattr(substring, "window_hashes", weak)
+    rng, size = random.Random(5), 3
+    docs = [(i, " ".join(rng.choice("abcdef") for _ in range(rng.randrange(0, 40)))) for i in range(12)]
+    table = lambda rows: pa.table({"id": [r[0] for r in rows], "text": [r[1] for r in rows]})
+    blocks = {b: table(docs[4 * b : 4 * b + 4]) for b in range(3)}
+    key = lambda x: (pa.scalar(x),)
+
+    def by(name, tables):
+        rows = pa.concat_tables(tables)
+        return {k: rows.filter(pc.equal(rows[name], k)) for k in set(rows[name].to_pylist())}
+
+    none = pa.table({"block": pa.array([], pa.int32()), "hashes": pa.array([], pa.binary())})
+    sent = by("range", [substring._send(size, 2)(key(b), t) for b, t in blocks.items()])
+    shared = by("block", [substring._share(key(r), t) for r, t in sent.items()])
+    more = by("range", [substring._resend(size, 2)(key(b), t, shared.get(b, none)) for b, t in blocks.items()])
+    answers = by("block", [substring._count(key(r), t) for r, t in more.items()])
+    none = none.append_column("checks", pa.array([], pa.binary()))
+    got = {}
+    for b, t in blocks.items():
+        out = substring._remove(size)(key(b), t, answers.get(b, none))
+        got |= dict(zip(out["id"].to_pylist(), out["kept_text"].to_pylist(), strict=True))
+    seen, want = set(), {}
+    for i, text in docs:
+        words, gone = text.split(), set()
+        for s in range(len(words) - size + 1):
+            w = tuple(words[s : s + size])
+            if w in seen:
+                gone |= set(range(s, s + size))
+            seen.add(w)
+        want[i] = " ".join(x for j, x in enumerate(words) if j not in gone).encode()
+    assert got == want and any(len(want[i]) < len(t) for i, t in docs) and any(want[i] for i, _ in docs[6:])
+
+
 def test_byte_bpe(spark):
     import tiktoken
 
