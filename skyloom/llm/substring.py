@@ -3,7 +3,7 @@
 Documents are dealt into blocks of neighbouring ids (splitters are quantiles of
 the id).  Each block hashes all its windows and sends every distinct hash once to
 the task of its hash range, as packed 64-bit words; that task counts each hash
-over the blocks and answers all blocks that share it.  So a window
+over the blocks and marks it, a bit each, for all blocks that share it.  So a window
 that a third of all documents share reaches a task once a block.  Equal hashes
 alone prove nothing at 1e13 windows: the shared ones, a small part of all, go once
 more, each with a second hash of its words under another seed and base, and now
@@ -104,75 +104,97 @@ def repeated(h: np.ndarray, checks: np.ndarray) -> np.ndarray:
     return out
 
 
-def _messages(key: tuple, h: np.ndarray, n_ranges: int, checks: np.ndarray | None = None) -> pa.Table:
-    """The sorted hashes of a block, one row for each range of hashes: a slice of them."""
+def _slices(h: np.ndarray, n_ranges: int) -> dict[int, slice]:
+    """Where each range of hashes lies in sorted ones."""
     part = ((h >> _U(32)) * _U(n_ranges) >> _U(32)).astype(np.int64)
     which, starts = np.unique(part, return_index=True)
     ends = np.append(starts[1:], len(h))[: len(starts)]
-    cuts = list(zip(starts, ends, strict=True))
-    columns = {
-        "range": pa.array(which, pa.int32()), "block": pa.array([key[0].as_py()] * len(which), pa.int32()),
-        "hashes": pa.array([_pack(h[a:b]) for a, b in cuts], pa.binary())}
-    if checks is not None:
-        columns["checks"] = pa.array([checks[a:b].tobytes() for a, b in cuts], pa.binary())
-    return pa.table(columns)
+    return {int(r): slice(int(a), int(b)) for r, a, b in zip(which, starts, ends, strict=True)}
+
+
+def _bits(mask: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.packbits(mask).tobytes())
+
+
+def _marks(n: int, slices: dict[int, slice], answers: pa.Table, name: str) -> np.ndarray:
+    """The answers of all ranges as one mask over the ``n`` sorted hashes that the block sent."""
+    out = np.zeros(n, bool)
+    for r, blob in zip(answers["range"].to_pylist(), answers[name], strict=True):
+        at = slices[r]
+        raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob.as_py()), np.uint8)
+        out[at] = np.unpackbits(raw, count=at.stop - at.start)
+    return out
 
 
 def _send(size: int, n_ranges: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         _, _, windows = _block(table, size)
-        return _messages(key, np.unique(np.concatenate(windows)) if windows else np.empty(0, _U), n_ranges)
+        h = np.unique(np.concatenate(windows)) if windows else np.empty(0, _U)
+        slices = _slices(h, n_ranges)
+        return pa.table({
+            "range": pa.array(list(slices), pa.int32()), "block": pa.array([key[0].as_py()] * len(slices), pa.int32()),
+            "hashes": pa.array([_pack(h[at]) for at in slices.values()], pa.binary())})
 
     return run
 
 
-def _lists(table: pa.Table) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
-    """The blocks of a range's messages in order, their hashes, and their second hashes if they have any."""
-    blocks = np.array(table["block"].to_pylist())
-    order = [int(i) for i in np.argsort(blocks, kind="stable")]
-    checks = [np.frombuffer(table["checks"][i].as_py(), _U) for i in order] if "checks" in table.column_names else []
-    return [int(blocks[i]) for i in order], [_unpack(table["hashes"][i].as_py()) for i in order], checks
+def _in_order(table: pa.Table) -> tuple[pa.Table, list[np.ndarray]]:
+    """A range's messages by block, and their hashes."""
+    table = table.sort_by("block")
+    return table, [_unpack(x.as_py()) for x in table["hashes"]]
+
+
+def _answered(table: pa.Table, masks: list[np.ndarray], name: str, *columns: str) -> pa.Table:
+    """The rows of ``table`` whose mask marks something, with it."""
+    some = pa.array([bool(m.any()) for m in masks], pa.bool_())
+    bits = pa.array([_bits(m) if m.any() else None for m in masks], pa.binary())
+    return table.select(["block", "range", *columns]).append_column(name, bits).filter(some)
 
 
 def _share(key: tuple, table: pa.Table) -> pa.Table:
-    """For each block the hashes of this range that another block holds too."""
-    blocks, lists, _ = _lists(table)
+    """Marks, for each block, the hashes of this range that another block sent too."""
+    table, lists = _in_order(table)
     flat = np.sort(np.concatenate(lists))
     shared = flat[1:][flat[1:] == flat[:-1]]  # each block sends a hash once
-    out = [x[_held(x, shared)] for x in lists]
-    keep = [j for j, x in enumerate(out) if len(x)]
-    return pa.table({
-        "block": pa.array([blocks[j] for j in keep], pa.int32()),
-        "hashes": pa.array([_pack(out[j]) for j in keep], pa.binary())})
+    return _answered(table, [_held(x, shared) for x in lists], "shared")
+
+
+def _pairs(h: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs (hash, second hash), sorted."""
+    by = np.lexsort((checks, h))
+    by = by[~repeated(h[by], checks[by])]
+    return h[by], checks[by]
+
+
+def _shared(flat: np.ndarray, answers: pa.Table, n_ranges: int) -> np.ndarray:
+    """Sorted, the hashes of the block that other blocks sent too."""
+    h = np.unique(flat)
+    return h[_marks(len(h), _slices(h, n_ranges), answers, "shared")]
 
 
 def _resend(size: int, n_ranges: int):
-    """The block's windows of shared hashes, with their second hashes."""
+    """The block's pairs of shared hashes, with the marks that it got: the answer brings these back."""
     def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
-        if not len(answers) or not len(docs):
-            return _messages(key, np.empty(0, _U), n_ranges, np.empty(0, _U))
         _, words, windows = _block(docs, size)
-        shared = np.sort(np.concatenate([_unpack(x.as_py()) for x in answers["hashes"]]))
-        flat = np.concatenate(windows)
-        wanted = _held(flat, shared)
-        h, checks = flat[wanted], _checks(words, windows, wanted, size)
-        by = np.lexsort((checks, h))
-        by = by[~repeated(h[by], checks[by])]
-        return _messages(key, h[by], n_ranges, checks[by])
+        flat = np.concatenate(windows) if windows else np.empty(0, _U)
+        wanted = _held(flat, _shared(flat, answers, n_ranges))
+        h, checks = _pairs(flat[wanted], _checks(words, windows, wanted, size))
+        slices = _slices(h, n_ranges)
+        sent = [slices[r] for r in answers["range"].to_pylist()]
+        return pa.table({
+            "range": answers["range"], "block": pa.array([key[0].as_py()] * len(sent), pa.int32()),
+            "hashes": pa.array([_pack(h[at]) for at in sent], pa.binary()),
+            "checks": pa.array([checks[at].tobytes() for at in sent], pa.binary()), "shared": answers["shared"]})
 
     return run
 
 
 def _count(key: tuple, table: pa.Table) -> pa.Table:
-    """For each block the pairs of this range that an earlier block holds too."""
-    blocks, lists, checks = _lists(table)
+    """Marks, for each block, the pairs of this range that an earlier block sent too."""
+    table, lists = _in_order(table)
+    checks = [np.frombuffer(x.as_py(), _U) for x in table["checks"]]
     again = repeated(np.concatenate(lists), np.concatenate(checks))
-    masks = np.split(again, np.cumsum([len(x) for x in lists])[:-1])
-    keep = [j for j, m in enumerate(masks) if m.any()]
-    return pa.table({
-        "block": pa.array([blocks[j] for j in keep], pa.int32()),
-        "hashes": pa.array([_pack(lists[j][masks[j]]) for j in keep], pa.binary()),
-        "checks": pa.array([checks[j][masks[j]].tobytes() for j in keep], pa.binary())})
+    return _answered(table, np.split(again, np.cumsum([len(x) for x in lists])[:-1]), "again", "shared")
 
 
 def covered(starts: np.ndarray, n_words: int, size: int) -> np.ndarray:
@@ -183,19 +205,20 @@ def covered(starts: np.ndarray, n_words: int, size: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def _remove(size: int):
+def _remove(size: int, n_ranges: int):
     def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
         ids, words, windows = _block(docs, size)
-        _, lists, checks = _lists(answers)
-        remote = np.concatenate(lists) if lists else np.empty(0, _U)
         flat = np.concatenate(windows) if windows else np.empty(0, _U)
-        ordered = np.sort(flat)
-        maybe = _held(flat, ordered[1:][ordered[1:] == ordered[:-1]]) | _held(flat, np.sort(remote))
-        mine = _checks(words, windows, maybe, size)
-        # the answers stand before the block's own windows, so whatever equals one is a repetition
-        pairs = repeated(np.concatenate([remote, flat[maybe]]), np.concatenate([*checks, mine]))
+        shared, ordered = _shared(flat, answers, n_ranges), np.sort(flat)
+        elsewhere = _held(flat, shared)
+        maybe = elsewhere | _held(flat, ordered[1:][ordered[1:] == ordered[:-1]])
+        mine, sent = _checks(words, windows, maybe, size), elsewhere[maybe]
+        h, checks = _pairs(flat[maybe][sent], mine[sent])
+        earlier = _marks(len(h), _slices(h, n_ranges), answers, "again")
+        # pairs of earlier blocks stand before the block's own windows, so whatever equals one is a repetition
+        pairs = repeated(np.concatenate([h[earlier], flat[maybe]]), np.concatenate([checks[earlier], mine]))
         again = np.zeros(len(flat), bool)
-        again[maybe] = pairs[len(remote) :]
+        again[maybe] = pairs[int(earlier.sum()) :]
         n_removed, texts, spans, end = [], [], [], 0
         for w, h in zip(words, windows, strict=True):
             starts = np.flatnonzero(again[end : end + len(h)])
@@ -251,12 +274,12 @@ def substring_dedup(
     # approxQuantile reads the ids alone, and its sketch is bounded by the number of blocks.
     blocks = with_block(rows, n_blocks).repartition(n_blocks, "block")
     sent = blocks.groupBy("block").applyInArrow(_send(size, n_blocks), "range int, block int, hashes binary")
-    shared = sent.groupBy("range").applyInArrow(_share, "block int, hashes binary")
+    shared = sent.groupBy("range").applyInArrow(_share, "block int, range int, shared binary")
     again = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
-        _resend(size, n_blocks), "range int, block int, hashes binary, checks binary")
-    answers = again.groupBy("range").applyInArrow(_count, "block int, hashes binary, checks binary")
+        _resend(size, n_blocks), "range int, block int, hashes binary, checks binary, shared binary")
+    answers = again.groupBy("range").applyInArrow(_count, "block int, range int, shared binary, again binary")
     return (
         blocks.groupBy("block").cogroup(answers.groupBy("block"))
-        .applyInArrow(_remove(size), "id long, n_words long, n_removed long, removed array<array<int>>, kept_text binary")
+        .applyInArrow(_remove(size, n_blocks), "id long, n_words long, n_removed long, removed array<array<int>>, kept_text binary")
         .withColumnRenamed("id", id_col)
     )

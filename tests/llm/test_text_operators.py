@@ -204,15 +204,15 @@ def test_windows_of_equal_hashes_but_other_words_stay(monkeypatch):
         rows = pa.concat_tables(tables)
         return {k: rows.filter(pc.equal(rows[name], k)) for k in set(rows[name].to_pylist())}
 
-    none = pa.table({"block": pa.array([], pa.int32()), "hashes": pa.array([], pa.binary())})
+    none = pa.table({"block": pa.array([], pa.int32()), "range": pa.array([], pa.int32()), "shared": pa.array([], pa.binary())})
     sent = by("range", [substring._send(size, 2)(key(b), t) for b, t in blocks.items()])
     shared = by("block", [substring._share(key(r), t) for r, t in sent.items()])
     more = by("range", [substring._resend(size, 2)(key(b), t, shared.get(b, none)) for b, t in blocks.items()])
     answers = by("block", [substring._count(key(r), t) for r, t in more.items()])
-    none = none.append_column("checks", pa.array([], pa.binary()))
+    none = none.append_column("again", pa.array([], pa.binary()))
     got = {}
     for b, t in blocks.items():
-        out = substring._remove(size)(key(b), t, answers.get(b, none))
+        out = substring._remove(size, 2)(key(b), t, answers.get(b, none))
         got |= dict(zip(out["id"].to_pylist(), out["kept_text"].to_pylist(), strict=True))
     seen, want = set(), {}
     for i, text in docs:
