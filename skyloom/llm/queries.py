@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, line_dedup, minhash, mixing, pii, quality, substring, token_files
+from . import bpe, exact_dedup, hard_negatives, html_text, line_dedup, minhash, mixing, pii, quality, substring, token_files
+from . import vector_dedup, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +75,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "places")
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.vector_dedup(_table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh vector has the label after its own, so that labels don't follow the vectors alone."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.hard_negatives(rows, lambda i: i % 50 == 0)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened", "explained", "identity_error")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_line_dedup": op2_line_dedup,
@@ -85,11 +102,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
+    "op11_embedding_dedup": op11_embedding_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_whitening": op13_whitening,
 }
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
+_FINITE = "embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_embedding_dedup": f"""
+        WITH RECURSIVE v AS (
+          SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+          WHERE label IS NOT NULL AND {_FINITE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        l AS MATERIALIZED (
+          SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id
+          WHERE list_inner_product(x.e, y.e) / sqrt(list_inner_product(x.e, x.e) * list_inner_product(y.e, y.e)) >= 0.93),
+        r(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+        c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+        SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings JOIN c ON c.a = vec_id""",
+    "op12_hard_negatives": f"""
+        WITH v AS MATERIALIZED (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+          FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {_FINITE}),
+        s AS MATERIALIZED (
+          SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same, list_inner_product(a.e, r.e)::BIGINT AS score
+          FROM v a JOIN v r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0),
+        p AS (
+          SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+        SELECT anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+        QUALIFY row_number() OVER w <= 3""",
     "op9_exact_dedup": r"""
         WITH t AS (
           SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
