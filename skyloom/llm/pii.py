@@ -6,7 +6,9 @@ rounds, so equal values get equal pseudonyms in all documents, different values
 different ones, and check digits stay valid.  E-mail addresses, hexadecimal secrets,
 cloud access keys and the values of password assignments, which are not numbers of a
 bounded format, get keyed hashes in their form.
-Numbers that fail validation stay, and so do dates before 1880 or after May 2126.
+All forms of a value are one value: the blanks of an IBAN, the groups of a phone number
+and the order of a date are left as they are, and what is permuted doesn't depend on them.
+Numbers that fail validation stay.
 """
 
 from __future__ import annotations
@@ -42,7 +44,9 @@ def _iban_pattern() -> str:
 #: Fixed patterns, in order of precedence at one place.
 PATTERNS = {
     # starts where a run of its characters does, or where the match before ended
-    "email": r"(?:\G|(?<![\p{L}\p{N}._%+-]))[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    # a host has 127 labels at most, which also bounds how deep the group recurs; an ending in Latin letters comes first, as scripts
+    # without blanks may go on behind it
+    "email": r"(?:\G|(?<![\p{L}\p{N}._%+-]))[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+){0,125}\.(?:[A-Za-z]{2,}|\p{L}{2,})",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![\p{L}\p{N}])",
     "access_key": r"(?<![\p{L}\p{N}])(?:AKIA|ASIA)[A-Z0-9]{16}(?![\p{L}\p{N}])",
     "password": r"(?<![\p{L}\p{N}])(?:[Pp]assword|PASSWORD|[Pp]asswd|[Pp]assphrase|pwd)[=:][\"']?[^\s\"'<>,;&]{3,}[^\s\"'<>,;&.:!?)]",
@@ -51,7 +55,7 @@ PATTERNS = {
     "date": r"(?<![\p{N}/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![\p{N}/-])",
     "ssn": r"(?<![\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{N}-])",
     "phone": r"\+[0-9]{1,3}[ .-]?\([0-9]{1,4}\)[ .-]?[0-9]{2,4}[ .-]?[0-9]{2,4}(?![.-]?\p{N})"
-             r"|\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,4}(?![.-]?\p{N})|\+[0-9]{8,15}(?!\p{N})"
+             r"|\+[0-9]{1,3}(?:[ .-][0-9]{1,8}){1,6}(?![.-]?\p{N})|\+[0-9]{8,15}(?!\p{N})"
              r"|(?<!\p{N})\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?!\p{N})|(?<![\p{N}.-])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?!\p{N})",
     "card": r"(?<![\p{N}-])(?:[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}|[0-9]{13,19})(?![\p{N}-])",
 }
@@ -61,10 +65,13 @@ _EITHER = lambda *kinds: "|".join(f"(?:{PATTERNS[k]})" for k in kinds)  # noqa:
 ANY = "|".join((
     _EITHER("email"), rf"(?<![\p{{L}}\p{{N}}])(?:{_EITHER('secret', 'access_key', 'password', 'iban')})",
     f"(?=[0-9+(])(?:{_EITHER('ip', 'date', 'ssn', 'phone', 'card')})"))
-#: Dates of the domain: 300 * 300 days from this one.
-FIRST_DAY, DAY_SIDE = "1880-01-01", 300
-#: Whole years of the domain, for dates with the month first.
-FIRST_YEAR, YEARS = 1880, 246
+#: Recent dates, 300 * 300 days from the first, are permuted among each other; all others, of the years 1 to 9999, among themselves.
+RECENT, RECENT_SIDE = "1880-01-01", 300
+FIRST_DAY, ALL_DAYS, ALL_SIDE = "0001-01-01", 3_652_059, 1_912
+#: Steps of a walk through a permutation to the next date of the same kind; at least every third is one.
+WALK = 128
+#: Country codes of one and of two digits; all others have three.
+COUNTRY_CODE = "^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 
 
 def feistel(a: Column, b: Column, mod_a: Column, mod_b: Column, tweak: Column, key: str) -> tuple[Column, Column]:
@@ -153,41 +160,43 @@ def _month_first(v: Column) -> Column:
 
 
 def _days(v: Column) -> Column:
-    day = F.coalesce(F.try_to_date(v, "yyyy-MM-dd"), F.try_to_date(v, "dd/MM/yyyy"), F.try_to_date(v, "dd.MM.yyyy"))
+    """The date's number from the first day of year 1; null if there is no such date."""
+    day = F.coalesce(*[F.try_to_date(v, f) for f in ("yyyy-MM-dd", "dd/MM/yyyy", "dd.MM.yyyy", "MM/dd/yyyy")])
     return F.datediff(day, F.lit(FIRST_DAY).cast("date"))
 
 
 def _valid_date(v: Column) -> Column:
-    year = F.year(F.try_to_date(v, "MM/dd/yyyy"))
-    return F.when(_month_first(v), year.between(FIRST_YEAR, FIRST_YEAR + YEARS - 1)).otherwise(_days(v).between(0, DAY_SIDE * DAY_SIDE - 1))
+    return _days(v).between(0, ALL_DAYS - 1)
 
 
-def _month_first_date(v: Column, key: str) -> Column:
-    """Permuted among the dates with a day above 12, so the result is read as month/day again.
+def _date(v: Column, key: str) -> Column:
+    """The date's place in a permutation of the dates of its kind, in the form of ``v``.
 
-    A place is (year, number of such a day in a common year); the 29ths of February are
-    shifted among the leap years.
+    A kind is recent or not, with a day of the month above 12 or not: so a month/day is read as one
+    again, and a date has one pseudonym in all forms.  The permutation of all days is walked until
+    it comes to a date of the kind.
     """
-    day = F.try_to_date(v, "MM/dd/yyyy")
-    late = F.filter(F.sequence(F.lit("2001-01-01").cast("date"), F.lit("2001-12-31").cast("date")), lambda d: F.day(d) > 12)
-    leap = F.filter(F.sequence(F.lit(FIRST_YEAR), F.lit(FIRST_YEAR + YEARS - 1)), lambda y: (y % 4 == 0) & ((y % 100 != 0) | (y % 400 == 0)))
-    at = F.array_position(late, F.try_to_date(F.concat(F.lit("2001-"), F.date_format(day, "MM-dd")), "yyyy-MM-dd")) - 1
-    a, b = feistel((F.year(day) - FIRST_YEAR).cast("bigint"), at, F.lit(YEARS), F.size(late), F.lit("month/day"), key)
-    common = F.get(late, b.cast("int"))
-    year = F.lpad((a + FIRST_YEAR).cast("string"), 4, "0")
-    shift = F.conv(F.substring(F.sha2(F.lit(f"{key}:29 February"), 256), 1, 8), 16, 10).cast("bigint")
-    other = F.get(leap, F.pmod(F.array_position(leap, F.year(day)) - 1 + shift, F.size(leap)).cast("int"))
-    return F.when(v.startswith("02/29"), F.concat(F.lit("02/29/"), other.cast("string"))).otherwise(
-        F.concat(F.date_format(common, "MM/dd/"), year))
-
-
-def _date(v: Column, key: str) -> Column:
-    n, side = _days(v), F.lit(DAY_SIDE)
-    a, b = feistel(F.floor(n / side).cast("bigint"), F.pmod(n, side).cast("bigint"), side, side, F.lit("date"), key)
-    day = F.date_add(F.lit(FIRST_DAY).cast("date"), (a * side + b).cast("int"))
+    first = F.lit(FIRST_DAY).cast("date")
+    start = F.datediff(F.lit(RECENT).cast("date"), first).cast("bigint")
+    late = lambda n: F.day(F.date_add(first, n.cast("int"))) > 12
+    recent = lambda n: n.between(start, start + RECENT_SIDE**2 - 1)
+    n = _days(v).cast("bigint")
+
+    def place(n: Column, side: int, name: str) -> Column:
+        a, b = feistel(F.floor(n / side).cast("bigint"), F.pmod(n, F.lit(side)).cast("bigint"), F.lit(side), F.lit(side), F.lit(name), key)
+        return a * side + b
+
+    def walked(step, there) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), step(n), lambda at, _: F.when(there(at), at).otherwise(step(at)))
+
+    new = F.when(recent(n), walked(
+        lambda n: place(n - start, RECENT_SIDE, "date") + start, lambda at: late(at) == late(n))
+    ).otherwise(walked(
+        lambda n: place(n, ALL_SIDE, "other date"), lambda at: (at < ALL_DAYS) & ~recent(at) & (late(at) == late(n))))
+    day = F.date_add(first, new.cast("int"))
     return (
         F.when(v.contains("-"), F.date_format(day, "yyyy-MM-dd")).when(v.contains("."), F.date_format(day, "dd.MM.yyyy"))
-        .when(_month_first(v), _month_first_date(v, key)).otherwise(F.date_format(day, "dd/MM/yyyy")))
+        .when(_month_first(v), F.date_format(day, "MM/dd/yyyy")).otherwise(F.date_format(day, "dd/MM/yyyy")))
 
 
 def _ssn_parts(v: Column) -> tuple[Column, Column, Column]:
@@ -210,9 +219,12 @@ def _ssn(v: Column, key: str) -> Column:
 
 
 def _phone(v: Column, key: str) -> Column:
-    code = F.regexp_extract(v, r"^\+[0-9]{1,3}(?=[ .(-])", 0)  # the country code stays
-    rest = F.substring(v, F.length(code) + 1, F.length(v))
-    return F.concat(code, refilled(rest, digits_permuted(only_digits(rest), F.concat(F.lit("phone"), code), key)))
+    """The country code stays, whatever the groups; numbers without one are of the form that country 1 has."""
+    digits = only_digits(v)
+    code = F.when(v.startswith("+"), F.regexp_extract(digits, COUNTRY_CODE, 0)).otherwise("")
+    rest = F.substring(digits, F.length(code) + 1, F.length(digits))
+    tweak = F.concat(F.lit("phone"), F.when(code == "", "1").otherwise(code))
+    return refilled(v, F.concat(code, digits_permuted(rest, tweak, key)))
 
 
 def _card(v: Column, key: str) -> Column:
@@ -224,8 +236,9 @@ def _card(v: Column, key: str) -> Column:
 
 def _iban(v: Column, key: str) -> Column:
     tail = F.substring(v, F.lit(5), F.length(v))
+    form = F.regexp_replace(F.replace(tail, F.lit(" "), F.lit("")), "[0-9]", "#")
     new = F.when(F.length(only_digits(tail)) >= 2, refilled(
-        tail, digits_permuted(only_digits(tail), F.concat(F.lit("iban"), F.regexp_replace(tail, "[0-9]", "#")), key))).otherwise(tail)
+        tail, digits_permuted(only_digits(tail), F.concat(F.lit("iban"), form), key))).otherwise(tail)
     country = F.substring(v, 1, 2)
     check = 98 - mod97(F.concat(F.replace(new, F.lit(" "), F.lit("")), country, F.lit("00")))
     return F.concat(country, F.lpad(check.cast("string"), 2, "0"), new)
@@ -263,7 +276,9 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
 
     A null text stays null, with nothing found; an empty one stays empty.  Rows that
     repeat get the same result each, an empty table gives an empty one, and texts are
-    searched whole, whatever their length.  A column named found is replaced.
+    searched whole, whatever their length: patterns are linear and don't recur more than
+    127 deep.  Hosts of more labels than a host can have are no addresses.  A column named
+    found is replaced.
     """
     text = F.col(f"`{text_col}`")
     rest = [c for c in docs.columns if c not in ("found", text_col)]
