@@ -139,7 +139,7 @@ def lanczos(a: np.ndarray, to_h: int, to_w: int, lobes: int = 4) -> np.ndarray:
 def gaussian_pyramid(a: np.ndarray, kernel: list[tuple[int, float]], levels: int) -> list[np.ndarray]:
     """Finest first; stops at a side of 1."""
     out = [a]
-    while len(out) <= levels and min(out[-1].shape) > 1:
+    while len(out) <= levels and min(out[-1].shape[:2]) > 1:
         out.append(halve(convolve(out[-1], kernel)))
     return out
 
@@ -169,19 +169,36 @@ def feather(mask: np.ndarray, f: int, kernel: list[tuple[int, float]]) -> np.nda
     return convolve(extreme(mask, f, np.minimum), kernel) if f else mask
 
 
-def repaired_seam(a: np.ndarray, inpaint: Callable[[np.ndarray, np.ndarray], np.ndarray], seam: int, pad: int, ramp: int) -> np.ndarray:
-    """The columns where a panorama's ends meet, inpainted: rolled to the middle, cropped, filled, faded in, rolled back."""
-    w = a.shape[1]
-    rolled = np.roll(a, w // 2, axis=1)
-    left, right = max(0, w // 2 - seam - pad), min(w, w // 2 + seam + pad)
-    crop = rolled[:, left:right]
-    n = right - left
-    hole = np.zeros(crop.shape, bool)
-    hole[:, max(0, n // 2 - seam) : min(n, n // 2 + seam)] = True
-    x = np.arange(n)
-    alpha = np.minimum(np.clip(x / ramp, 0, 1), np.clip((n - 1 - x) / ramp, 0, 1)) if ramp else np.ones(n)
-    rolled[:, left:right] = alpha * inpaint(crop, hole) + (1 - alpha) * crop
-    return np.roll(rolled, -(w // 2), axis=1)
+def seam_strip(w: int, seam: int, pad: int) -> tuple[np.ndarray, np.ndarray]:
+    """(columns, distances) of the strip around a panorama's seam, which lies before column 0.
+
+    A column's distance is its number, counted on to the right of the seam and back to the left;
+    the strip reaches ``seam + pad`` columns each way, but never around the whole panorama twice.
+    """
+    far = np.arange(max(-(seam + pad), -(w // 2)), min(seam + pad, w - w // 2))
+    return far % w, far
+
+
+def repaired_seam(
+    a: np.ndarray, inpaint: Callable[[np.ndarray, np.ndarray], np.ndarray], seam: int = 40, pad: int = 128, ramp: int = 64, sigma: float = 3.0,
+) -> np.ndarray:
+    """A panorama (h, w, ...) whose columns within ``seam`` of where its ends meet are inpainted.
+
+    ``inpaint`` gets the strip around the seam and the weight of what is to be filled (1 at the
+    seam, blurred by ``sigma``); its result fades in over ``ramp`` columns from the strip's ends.
+    """
+    columns, far = seam_strip(a.shape[1], seam, pad)
+    strip = a[:, columns]
+    weight = ((far >= -seam) & (far < seam)).astype(float)[None].repeat(a.shape[0], axis=0)
+    if sigma > 0:
+        from ..operators.raster import kernel_of_sigma
+
+        weight = convolve(weight, kernel_of_sigma(sigma))
+    to_end = np.minimum(far - far[0], far[-1] - far)
+    fade = (np.minimum(to_end / ramp, 1.0) if ramp else np.ones(len(far))).reshape((1, -1) + (1,) * (a.ndim - 2))
+    out = a.copy()
+    out[:, columns] += fade * (inpaint(strip, weight) - strip)
+    return out
 
 
 def each_embedding(side: int, kernel: Callable[[np.ndarray], list[np.ndarray]]):
@@ -222,6 +239,23 @@ def roi_blur(a: np.ndarray, mask: np.ndarray, kernel: list[tuple[int, float]], p
     return out
 
 
+def soft_region_blur(a: np.ndarray, mask: np.ndarray, kernel: list[tuple[int, float]], pad: int, min_area: int, threshold: float) -> np.ndarray:
+    """A frame blurred around the components of ``mask`` >= ``threshold``, in order of their first pixels.
+
+    The padded box of a component is blurred from the original and mixed, by the soft mask in all of
+    the box, into what is there so far: where boxes overlap both count.
+    """
+    lab, out = label(mask >= threshold), a.copy()
+    soft = mask.reshape(mask.shape + (1,) * (a.ndim - 2))
+    for name in np.unique(lab[lab > 0]):
+        y, x = np.nonzero(lab == name)
+        if len(y) < min_area:
+            continue
+        box = slice(max(0, y.min() - pad), y.max() + 1 + pad), slice(max(0, x.min() - pad), x.max() + 1 + pad)
+        out[box] = out[box] * (1 - soft[box]) + convolve(a[box], kernel) * soft[box]
+    return out
+
+
 def directions(face: str, n: int) -> np.ndarray:
     """Unit vectors (n, n, 3: right, up, forward) through the pixel centres of a cube face."""
     c = (np.arange(n) + 0.5) / n * 2 - 1
@@ -231,16 +265,6 @@ def directions(face: str, n: int) -> np.ndarray:
     return d / np.linalg.norm(d, axis=-1, keepdims=True)
 
 
-def view_directions(n: int, fov: float, pitch: float) -> np.ndarray:
-    """Unit vectors of a perspective view of ``fov`` degrees, turned up by ``pitch`` degrees."""
-    t = np.tan(np.radians(fov) / 2)
-    d = directions("F", n) / directions("F", n)[..., 2:]
-    d = d * (t, t, 1)
-    p = np.radians(pitch)
-    d = np.stack([d[..., 0], d[..., 1] * np.cos(p) + d[..., 2] * np.sin(p), -d[..., 1] * np.sin(p) + d[..., 2] * np.cos(p)], axis=-1)
-    return d / np.linalg.norm(d, axis=-1, keepdims=True)
-
-
 def sample_equirect(a: np.ndarray, d: np.ndarray) -> np.ndarray:
     """Bilinear samples of an equirectangular raster in directions ``d``; columns wrap, rows clamp."""
     h, w = a.shape
@@ -257,25 +281,10 @@ def equirect_to_cube(a: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate([sample_equirect(a, directions(f, n)) for f in "FRBLUD"])
 
 
-def top_fix(a: np.ndarray, inpaint: Callable[[np.ndarray, np.ndarray], np.ndarray], n: int, fov: float, pitch: float, share: float) -> np.ndarray:
-    """The view towards the top is cut out, its middle disc inpainted, and pasted back where the view sees it."""
-    h, w = a.shape
-    view = sample_equirect(a, view_directions(n, fov, pitch))
-    c = (np.arange(n) + 0.5) / n * 2 - 1
-    hole = c[None, :] ** 2 + c[:, None] ** 2 <= share * share
-    fixed = inpaint(view, hole)
-    lon, lat = ((np.arange(w) + 0.5) / w - 0.5) * 2 * np.pi, (0.5 - (np.arange(h) + 0.5) / h) * np.pi
-    x, y, z = np.cos(lat)[:, None] * np.sin(lon), np.broadcast_to(np.sin(lat)[:, None], (h, w)), np.cos(lat)[:, None] * np.cos(lon)
-    p, t = np.radians(pitch), np.tan(np.radians(fov) / 2)
-    up, ahead = y * np.cos(p) - z * np.sin(p), y * np.sin(p) + z * np.cos(p)
-    safe = np.where(ahead > 1e-9, ahead, 1.0)
-    u, v = x / safe / t, up / safe / t
-    seen = (ahead > 1e-9) & (np.abs(u) <= 1) & (np.abs(v) <= 1)
-    px = np.clip(((u + 1) / 2 * n).astype(int), 0, n - 1)
-    py = np.clip(((1 - v) / 2 * n).astype(int), 0, n - 1)
-    return np.where(seen & hole[py, px], fixed[py, px], a)
-
-
 def fill_mean(view: np.ndarray, hole: np.ndarray) -> np.ndarray:
-    """Stands in for an inpainting model: the hole gets the mean of what is around it."""
-    return np.where(hole, view[~hole].mean() if (~hole).any() else 0.0, view)
+    """Stands in for an inpainting model: by its weight the hole gets the mean of what has none."""
+    hole = np.asarray(hole, float)
+    rest = view[hole == 0]
+    mean = rest.mean(axis=0) if len(rest) else np.zeros(view.shape[2:])
+    weight = hole.reshape(hole.shape + (1,) * (view.ndim - 2))
+    return view * (1 - weight) + mean * weight

@@ -90,17 +90,24 @@ def round_robin(n: int) -> Column:
 
 
 def renamed(files: DataFrame, shard: str = "shard") -> DataFrame:
-    """``files`` with dst_name: repeated (stem, lower suffix) in a shard get __dupNNN, in path order.
+    """``files`` with dst_name: in path order each takes the first free name of stem, stem__dup001, stem__dup002 and so on.
 
-    A generated name that a file of the shard has already gets numbered again.
+    Suffixes become lower case.  The files of a stem take rising numbers, so each starts at its rank.
+    Only where a file's own stem ends with such a number can names collide: there the earliest path keeps
+    the name, the others go on to the next number, and rounds end when no name repeats.
     """
-    low = F.lower("suffix")
-    same = Window.partitionBy(shard, "stem", low).orderBy(P.sort_key(F.col("rel_path")))
-    plain = F.concat("stem", low)
-    out = files.withColumn("_n", F.row_number().over(same) - 1).withColumn(
-        "dst_name", F.when(F.col("_n") == 0, plain).otherwise(
-            F.concat("stem", F.lit("__dup"), F.lpad(F.col("_n").cast("string"), 3, "0"), low)))
-    taken = Window.partitionBy(shard, "dst_name").orderBy("_n", P.sort_key(F.col("rel_path")))
-    out = out.withColumn("_k", F.row_number().over(taken) - 1)
-    return out.withColumn("dst_name", F.when(F.col("_k") > 0, F.concat(
-        P.stem(F.col("dst_name")), F.lit("__dup"), F.lpad(F.col("_k").cast("string"), 3, "0"), low)).otherwise(F.col("dst_name"))).drop("_n", "_k")
+    low, path = F.lower("suffix"), P.sort_key(F.col("rel_path"))
+    same = Window.partitionBy(shard, "stem", low).orderBy(path, "rel_path")
+    number = F.when(F.col("_n") > 0, F.concat(F.lit("__dup"), F.lpad(F.col("_n").cast("string"), F.greatest(F.lit(3), F.length(F.col("_n").cast("string"))), "0"))).otherwise("")
+    named = lambda df: df.withColumn("dst_name", F.concat("stem", number, low))
+    root = [shard, "_root", "_low"]
+    out = files.withColumn("_n", F.row_number().over(same) - 1).withColumn("_root", F.regexp_replace("stem", "(?:__dup[0-9]{3,})+$", "")).withColumn("_low", low)
+    numbered = out.where(F.col("stem") != F.col("_root")).select(*root).distinct()
+    plain, open_ = out.join(numbered, root, "left_anti"), cut(named(out.join(numbered, root, "left_semi")))
+    taken = Window.partitionBy(shard, "dst_name").orderBy(path, "rel_path")
+    while not open_.groupBy(shard, "dst_name").count().where("count > 1").isEmpty():
+        moved = open_.withColumn("_n", F.col("_n") + F.when(F.row_number().over(taken) > 1, 1).otherwise(0))
+        rank = F.row_number().over(same)
+        rising = rank + F.max(F.col("_n") - F.col("_rank")).over(same)
+        open_ = cut(named(moved.withColumn("_rank", rank).withColumn("_n", rising).drop("_rank")))
+    return named(plain).unionByName(open_.select(*named(plain).columns)).drop("_n", "_root", "_low")

@@ -47,6 +47,14 @@ def kernel_of_radius(r: float) -> list[tuple[int, float]]:
     return taps(int(r), r) if r >= 0.5 else [(0, 1.0)]
 
 
+def radius_taps(r: Column) -> Column:
+    """The kernel of a radius that is a column: an array of (d, w), in whole-stage code."""
+    half = F.when(r < 0.5, 0).otherwise(F.floor(r)).cast("int")
+    raw = F.transform(F.sequence(-half, half), lambda d: F.struct(d.alias("d"), F.when(r < 0.5, 1.0).otherwise(F.exp(-(d * d) / (2 * r * r))).alias("w")))
+    total = F.aggregate(raw, F.lit(0.0), lambda s, t: s + t["w"])
+    return F.transform(raw, lambda t: F.struct(t["d"].alias("d"), (t["w"] / total).alias("w")))
+
+
 def kernel_of_sigma(sigma: float) -> list[tuple[int, float]]:
     sigma = max(sigma, 0.1)
     return taps(max(1, round(3 * sigma)), sigma)

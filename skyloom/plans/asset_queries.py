@@ -188,20 +188,30 @@ def shard_counts(spark, sf):
     return spark.range(N_SHARDS).withColumnRenamed("id", "shard").join(n, "shard", "left").select("shard", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-_FLAT = f"""{_SH}, f AS (SELECT lane AS shard, rel_path, 'doc_' || doc_id % 40 AS stem, suffix FROM s),
-    n AS (SELECT *, row_number() OVER (PARTITION BY shard, stem, lower(suffix) ORDER BY rel_path) - 1 AS k FROM f)"""
-
-
-@query("dup_rename", f"""WITH {_FLAT} SELECT rel_path, shard, stem || CASE WHEN k > 0 THEN '__dup' || lpad(k::VARCHAR, 3, '0') ELSE '' END
-    || lower(suffix) AS dst_name FROM n""")
+#: Files of a shard share stems, and some stems look like a numbered name.
+_STEM = "'doc_' || doc_id % 40 || CASE WHEN doc_id % 5 = 3 THEN '__dup001' WHEN doc_id % 11 = 4 THEN '__dup001__dup001' ELSE '' END"
+_FLAT = f"""{_SH}, f AS MATERIALIZED (SELECT lane AS shard, rel_path, {_STEM} AS stem, lower(suffix) AS suffix,
+      row_number() OVER (PARTITION BY lane {_BY_PATH}, rel_path) AS k FROM s),
+    r(shard, k, rel_path, dst, taken) AS (
+      SELECT DISTINCT shard, 0::BIGINT, ''::VARCHAR, ''::VARCHAR, []::VARCHAR[] FROM f
+      UNION ALL
+      SELECT shard, k, rel_path, dst, list_append(taken, dst) FROM (
+        SELECT f.shard, f.k, f.rel_path, r.taken, list_filter(
+          list_transform(range(0, f.k), lambda n: f.stem || CASE WHEN n > 0 THEN '__dup' || lpad(n::VARCHAR, 3, '0') ELSE '' END || f.suffix),
+          lambda x: NOT list_contains(r.taken, x))[1] AS dst
+        FROM r JOIN f ON f.shard = r.shard AND f.k = r.k + 1)),
+    n AS (SELECT shard, rel_path, dst FROM r WHERE k > 0)"""
+
+
+@query("dup_rename", f"WITH RECURSIVE {_FLAT} SELECT rel_path, shard, dst AS dst_name FROM n")
 def dup_rename(spark, sf):
-    f = _sharded(spark, sf).select(
-        F.col("lane").alias("shard"), "rel_path", F.concat(F.lit("doc_"), F.col("doc_id") % 40).alias("stem"), "suffix")
+    d = F.col("doc_id")
+    mark = F.when(d % 5 == 3, "__dup001").when(d % 11 == 4, "__dup001__dup001").otherwise("")
+    f = _sharded(spark, sf).select(F.col("lane").alias("shard"), "rel_path", F.concat(F.lit("doc_"), d % 40, mark).alias("stem"), "suffix")
     return A.renamed(f).select("rel_path", "shard", "dst_name")
 
 
-@query("shard_manifest", f"""WITH {_FLAT} SELECT '/in/' || rel_path AS src, '/shards/' || shard || '/' || dst AS dst, shard AS shard_index, dst AS dst_name FROM
-    (SELECT *, stem || CASE WHEN k > 0 THEN '__dup' || lpad(k::VARCHAR, 3, '0') ELSE '' END || lower(suffix) AS dst FROM n)""")
+@query("shard_manifest", f"""WITH RECURSIVE {_FLAT} SELECT '/in/' || rel_path AS src, '/shards/' || shard || '/' || dst AS dst, shard AS shard_index, dst AS dst_name FROM n""")
 def shard_manifest(spark, sf):
     return dup_rename(spark, sf).select(
         F.concat(F.lit("/in/"), "rel_path").alias("src"), F.concat(F.lit("/shards/"), "shard", F.lit("/"), "dst_name").alias("dst"),

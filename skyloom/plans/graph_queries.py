@@ -19,7 +19,7 @@ WANTED = (("0", "LoadImage"), ("2", "ImageSave"), ("77", "KSampler"))
 
 
 def texts(spark, sf):
-    """(workflow, json): every second workflow lies below "prompt"."""
+    """(workflow, json): a third of the workflows lies below "prompt", a third below "nodes"."""
     t = table(spark, sf, "conversations").groupBy("conv_id", "turn").agg(F.min("role").alias("role"))
     kind = F.expr("CASE WHEN turn % 3 = 2 THEN 'ImageSave' WHEN role = 'user' THEN 'LoadImage' ELSE 'KSampler' END")
     link = lambda name, to: F.when(F.col("turn") > 0, F.format_string(f'"{name}":["%d", 0],', to)).otherwise("")
@@ -27,9 +27,10 @@ def texts(spark, sf):
         F.format_string('"%d":{"inputs":{', "turn"), link("image", F.expr("turn div 2")), link("samples", F.col("turn") - 1),
         F.format_string('"seed":%d},"class_type":"%s","_meta":{"title":"turn"}}', F.col("turn") * 7, kind))
     bare = F.concat(F.lit("{"), F.array_join(F.sort_array(F.collect_list(node)), ","), F.lit("}"))
-    wrapped = F.concat(F.lit('{"client_id":"c","prompt":'), F.col("bare"), F.lit("}"))
-    return t.groupBy("conv_id").agg(bare.alias("bare")).select(
-        F.col("conv_id").cast("string").alias("workflow"), F.when(F.col("conv_id") % 2 == 0, F.col("bare")).otherwise(wrapped).alias("json"))
+    below = lambda name: F.concat(F.lit(f'{{"client_id":"c","{name}":'), F.col("bare"), F.lit("}"))
+    third = F.col("conv_id") % 3
+    json = F.when(third == 0, F.col("bare")).when(third == 1, below("prompt")).otherwise(below("nodes"))
+    return t.groupBy("conv_id").agg(bare.alias("bare")).select(F.col("conv_id").cast("string").alias("workflow"), json.alias("json"))
 
 
 def nodes(spark, sf):

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..functions import kernels as K
+from ..functions import scaling, sphere
 from ..operators import raster as R
 from ..sources import images as I
 from .base import query, table
@@ -68,14 +67,14 @@ def _mirror(i: str, n: int) -> str:
 
 
 def _blur(src: str, name: str, kernel, n: int) -> str:
-    return f"""{name}_x AS (SELECT p.img, p.y, p.x, sum(q.v * k.w) AS v FROM {src} p, {_taps(kernel)}, {src} q
+    return f"""{name}_x AS MATERIALIZED (SELECT p.img, p.y, p.x, sum(q.v * k.w) AS v FROM {src} p, {_taps(kernel)}, {src} q
       WHERE q.img = p.img AND q.y = p.y AND q.x = {_mirror('p.x + k.d', n)} GROUP BY 1, 2, 3),
-    {name} AS (SELECT p.img, p.y, p.x, sum(q.v * k.w) AS v FROM {name}_x p, {_taps(kernel)}, {name}_x q
+    {name} AS MATERIALIZED (SELECT p.img, p.y, p.x, sum(q.v * k.w) AS v FROM {name}_x p, {_taps(kernel)}, {name}_x q
       WHERE q.img = p.img AND q.x = p.x AND q.y = {_mirror('p.y + k.d', n)} GROUP BY 1, 2, 3)"""
 
 
 def _half(src: str, name: str) -> str:
-    return f"{name} AS (SELECT img, CAST(y // 2 AS INT) AS y, CAST(x // 2 AS INT) AS x, avg(v) AS v FROM {src} GROUP BY 1, 2, 3 HAVING count(*) = 4)"
+    return f"{name} AS MATERIALIZED (SELECT img, CAST(y // 2 AS INT) AS y, CAST(x // 2 AS INT) AS x, avg(v) AS v FROM {src} GROUP BY 1, 2, 3 HAVING count(*) = 4)"
 
 
 def _up(src: str, name: str, n: int, to: int) -> str:
@@ -83,7 +82,7 @@ def _up(src: str, name: str, n: int, to: int) -> str:
        FROM (SELECT d, greatest(0.0::DOUBLE, (d + 0.5::DOUBLE) * {n / to!r}::DOUBLE - 0.5::DOUBLE) AS s FROM range({to}) t(d))) g"""
     return f"""{name}_x AS (SELECT a.img, a.y, g.d AS x, a.v * (1 - g.f) + b.v * g.f AS v FROM {g} JOIN {src} a ON a.x = g.i
       JOIN {src} b ON b.img = a.img AND b.y = a.y AND b.x = g.j),
-    {name} AS (SELECT a.img, g.d AS y, a.x, a.v * (1 - g.f) + b.v * g.f AS v FROM {g} JOIN {name}_x a ON a.y = g.i
+    {name} AS MATERIALIZED (SELECT a.img, g.d AS y, a.x, a.v * (1 - g.f) + b.v * g.f AS v FROM {g} JOIN {name}_x a ON a.y = g.i
       JOIN {name}_x b ON b.img = a.img AND b.x = a.x AND b.y = g.j)"""
 
 
@@ -115,9 +114,14 @@ def erode_kxk(spark, sf):
     return shown(whole(spark, sf, lambda a: [K.extreme(a, 2, np.minimum)]))
 
 
-@query("gaussian_kernel", "SELECT d, round(exp(-(d * d) / 8.0) / sum(exp(-(d * d) / 8.0)) OVER (), 9) AS w FROM (SELECT CAST(i - 2 AS INT) AS d FROM range(5) t(i))")
+@query("gaussian_kernel", """SELECT p_partkey AS id, d, round(w / sum(w) OVER (PARTITION BY p_partkey), 9) AS w FROM (
+      SELECT p_partkey, CAST(o AS INT) AS d, CASE WHEN r < 0.5 THEN 1 ELSE exp(-(o * o) / (2 * r * r)) END AS w
+      FROM (SELECT p_partkey, p_size / 6.0::DOUBLE AS r FROM part), range(-9, 10) t(o) WHERE abs(o) <= CASE WHEN r < 0.5 THEN 0 ELSE floor(r) END)""")
 def gaussian_kernel(spark, sf):
-    return spark.createDataFrame([(d, round(w, 9)) for d, w in R.kernel_of_radius(2)], "d int, w double")
+    """The taps of each part's radius, a sixth of its size."""
+    r = (F.col("p_size") / 6.0).alias("r")
+    taps = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.explode(R.radius_taps(r)).alias("t"))
+    return taps.select("id", "t.d", F.round("t.w", 9).alias("w"))
 
 
 @query("gauss_radius", f"WITH {_PX}, {_blur('px', 'o', _R2, N)} {_out('o')}")
@@ -172,7 +176,8 @@ def laplacian_blend(spark, sf):
     return shown(whole(spark, sf, lambda a: [K.laplacian_blend(a, a.T, (a >= 0.5) * 1.0, _R2, 2)]))
 
 
-@query("alpha_blend", f"WITH {_PX}, {_PT} SELECT img, y, x, round(a.v * (1 - b.v) + (1 - a.v) * b.v, 6) + 0.0 AS v FROM px a JOIN pt b USING (img, y, x)")
+@query("alpha_blend", f"""SELECT img, y, x, round(a * (1 - b) + (1 - a) * b, 6) + 0.0 AS v FROM (SELECT vec_id AS img, CAST(i // {N} AS INT) AS y, CAST(i % {N} AS INT) AS x,
+    (embedding[i + 1]::DOUBLE + 1) / 2 AS a, (embedding[i % {N} * {N} + i // {N} + 1]::DOUBLE + 1) / 2 AS b FROM embeddings, range({N * N}) t(i))""")
 def alpha_blend(spark, sf):
     return shown(whole(spark, sf, lambda a: [a * (1 - a.T) + (1 - a) * a.T]))
 
@@ -180,8 +185,8 @@ def alpha_blend(spark, sf):
 _FEATHER = R.kernel_of_feather(1)
 
 
-@query("feather_blend", f"""WITH {_PX}, {_PT}, {_MK}, {_ext('mk', 'er', 'min', 1)}, {_blur('er', 'al', _FEATHER, N)}
-    SELECT img, y, x, round(a.v * (1 - al.v) + pt.v * al.v, 6) + 0.0 AS v FROM px a JOIN pt USING (img, y, x) JOIN al USING (img, y, x)""")
+@query("feather_blend", f"""WITH {_PX}, {_MK}, {_ext('mk', 'er', 'min', 1)}, {_blur('er', 'al', _FEATHER, N)}
+    SELECT img, y, x, round((embedding[y * {N} + x + 1]::DOUBLE + 1) / 2 * (1 - al.v) + (embedding[x * {N} + y + 1]::DOUBLE + 1) / 2 * al.v, 6) + 0.0 AS v FROM al JOIN embeddings ON vec_id = img""")
 def feather_blend(spark, sf):
     def blend(a):
         alpha = K.feather((a >= 0.5) * 1.0, 1, _FEATHER)
@@ -190,8 +195,8 @@ def feather_blend(spark, sf):
     return shown(whole(spark, sf, blend))
 
 
-@query("full_blur", f"""WITH {_PX}, {_MK}, {_blur('px', 'bl', _SIG, N)}
-    SELECT img, y, x, round(a.v * (1 - mk.v) + bl.v * mk.v, 6) + 0.0 AS v FROM px a JOIN bl USING (img, y, x) JOIN mk USING (img, y, x)""")
+@query("full_blur", f"""WITH {_PX}, {_blur('px', 'bl', _SIG, N)}
+    SELECT img, y, x, round(CASE WHEN embedding[y * {N} + x + 1] >= 0 THEN bl.v ELSE (embedding[y * {N} + x + 1]::DOUBLE + 1) / 2 END, 6) + 0.0 AS v FROM bl JOIN embeddings ON vec_id = img""")
 def full_blur(spark, sf):
     return shown(whole(spark, sf, lambda a: [np.where(a >= 0.5, K.convolve(a, _SIG), a)]))
 
@@ -232,13 +237,13 @@ def tile_stitch(spark, sf):
 @query("pad_edge", f"""WITH {_PX} SELECT p.img, CAST(r.i AS INT) AS y, CAST(c.i AS INT) AS x, round(p.v, 6) + 0.0 AS v
     FROM range(10) r(i), range(12) c(i) JOIN px p ON p.y = least(r.i, 7) AND p.x = least(c.i, 7)""")
 def pad_edge(spark, sf):
-    return shown(whole(spark, sf, lambda a: [np.pad(a, ((0, 2), (0, 4)), "edge")]))
+    return shown(whole(spark, sf, lambda a: [scaling.padded(a, 0, 2, 0, 4, "edge")]))
 
 
 @query("pad_reflect", f"""WITH {_PX} SELECT p.img, CAST(r.i AS INT) AS y, CAST(c.i AS INT) AS x, round(p.v, 6) + 0.0 AS v
     FROM range(12) r(i), range(12) c(i) JOIN px p ON p.y = {_mirror('r.i - 2', N)} AND p.x = {_mirror('c.i - 2', N)}""")
 def pad_reflect(spark, sf):
-    return shown(whole(spark, sf, lambda a: [np.pad(a, 2, "reflect")]))
+    return shown(whole(spark, sf, lambda a: [scaling.padded(a, 2, 2, 2, 2, "reflect")]))
 
 
 @query("pad_square", f"""WITH {_PX}, c AS (SELECT * FROM px WHERE y < 5)
@@ -247,7 +252,7 @@ def pad_reflect(spark, sf):
     LEFT JOIN (SELECT img AS i2, y AS cy, x AS cx, v FROM c) ON i2 = img AND cy = y.i - 1 AND cx = x.i""")
 def pad_square(spark, sf):
     """A mask of 5 x 8 in the middle of 8 x 8."""
-    return shown(whole(spark, sf, lambda a: [np.pad(a[:5], ((1, 2), (0, 0)))]))
+    return shown(whole(spark, sf, lambda a: [scaling.padded(a[:5], *scaling.to_square(5, 8), "zero")]))
 
 
 @query("roll_columns", f"WITH {_PX} SELECT img, y, (x + 4) % 8 AS x, round(v, 6) + 0.0 AS v, ((x + 4) % 8 + 8 - 4) % 8 AS back FROM px")
@@ -263,11 +268,15 @@ def seam_crop(spark, sf):
     return shown(pixels(spark, sf).withColumn("x", rolled).where("x BETWEEN 1 AND 6").withColumn("x", F.col("x") - 1))
 
 
-@query("seam_alpha", "SELECT CAST(x AS INT) AS x, round(least(least(greatest(x / 2.0, 0), 1), least(greatest((5 - x) / 2.0, 0), 1)), 6) AS alpha FROM range(6) t(x)")
+@query("seam_alpha", """SELECT p_partkey AS id, CAST(x AS INT) AS x, round(least(least(greatest(x / r, 0), 1), least(greatest((n - 1 - x) / r, 0), 1)), 6) AS alpha
+    FROM (SELECT p_partkey, p_size + 3 AS n, 1.0::DOUBLE + p_size % 5 AS r FROM part), range(64) t(x) WHERE x < n""")
 def seam_alpha(spark, sf):
+    """How a strip of p_size + 3 columns fades in from its ends, over 1 to 5 columns."""
     clip = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(1.0))
-    x = F.col("id").cast("int")
-    return spark.range(6).select(x.alias("x"), F.round(F.least(clip(x / 2.0), clip((5 - x) / 2.0)), 6).alias("alpha"))
+    p = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), (F.col("p_size") + 3).alias("n"), (F.lit(1.0) + F.col("p_size") % 5).alias("r"))
+    p = p.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    x, n, r = F.col("x"), F.col("n"), F.col("r")
+    return p.select("id", "x", F.round(F.least(clip(x / r), clip((n - 1 - x) / r)), 6).alias("alpha"))
 
 
 @query("pixelate", f"""WITH {_PX} SELECT img, y, x, round(avg(v) OVER (PARTITION BY img, y // 4, x // 4), 6) + 0.0 AS v FROM px""")
@@ -291,7 +300,8 @@ def layout_roundtrip(spark, sf):
     return back.select("img", "y", "x", (F.round("v", DIGITS) + 0.0).alias("v"), "chw")
 
 
-@query("broadcast_batch", f"WITH {_PX} SELECT a.img, a.y, a.x, round(a.v - b.v, 6) + 0.0 AS v FROM px a JOIN px b ON b.img = 0 AND a.y = b.y AND a.x = b.x")
+@query("broadcast_batch", f"""SELECT e.vec_id AS img, CAST(i // {N} AS INT) AS y, CAST(i % {N} AS INT) AS x, round((e.embedding[i + 1]::DOUBLE + 1) / 2 - (o.embedding[i + 1]::DOUBLE + 1) / 2, 6) + 0.0 AS v
+    FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) o, range({N * N}) t(i)""")
 def broadcast_batch(spark, sf):
     """A batch of one against all: the single image (64 pixels) is broadcast."""
     px = pixels(spark, sf)
@@ -357,57 +367,59 @@ def contour_centroid(spark, sf):
 
 
 #: The view of the projection: horizontal and vertical field, yaw and pitch in degrees; target 12 x 24.
-VIEW = {"fov_x": 90.0, "fov_y": 90.0, "yaw": 30.0, "pitch": -20.0}
+VIEW = {"fov": (90.0, 90.0), "yaw": 30.0, "pitch": -20.0}
 TO_H, TO_W = 12, 24
 
 
-def projection_grid(spark, view=VIEW, to_h=TO_H, to_w=TO_W, n=N):
-    """For each pixel of an equirectangular target the place (sx, sy) in a perspective patch, if it is seen."""
-    u, v = math.radians(view["yaw"]), math.radians(-view["pitch"])
-    tx, ty = math.tan(math.radians(view["fov_x"]) / 2), math.tan(math.radians(view["fov_y"]) / 2)
-    g = spark.range(to_h * to_w).select(F.floor(F.col("id") / to_w).cast("int").alias("y"), (F.col("id") % to_w).cast("int").alias("x"))
-    theta, phi = (F.col("x") / to_w - 0.5) * 2 * math.pi, -(F.col("y") / to_h - 0.5) * math.pi
-    g = g.withColumn("dx", F.cos(phi) * F.sin(theta)).withColumn("dy", F.sin(phi)).withColumn("dz", F.cos(phi) * F.cos(theta))
-    x, y, z = F.col("dx"), F.col("dy"), F.col("dz")
-    cu, su, cv, sv = math.cos(u), math.sin(u), math.cos(v), math.sin(v)
-    g = g.withColumn("px", x * cu + z * su).withColumn("py", -x * su * sv + y * cv + z * cu * sv).withColumn("pz", -x * su * cv - y * sv + z * cu * cv)
-    nx, ny = F.col("px") / F.col("pz") / tx, F.col("py") / F.col("pz") / ty
-    seen = (F.col("pz") > 1e-9) & (F.abs(nx) <= 1) & (F.abs(ny) <= 1)
-    return g.withColumn("seen", seen).where("seen").select(
-        "y", "x", ((nx + 1) / 2 * n).alias("sx"), ((1 - ny) / 2 * n).alias("sy"))
-
-
-def _grid_sql() -> str:
-    u, v = math.radians(VIEW["yaw"]), math.radians(-VIEW["pitch"])
-    tx, ty = math.tan(math.radians(VIEW["fov_x"]) / 2), math.tan(math.radians(VIEW["fov_y"]) / 2)
-    cu, su, cv, sv = (f"({f!r}::DOUBLE)" for f in (math.cos(u), math.sin(u), math.cos(v), math.sin(v)))
-    pi = f"({math.pi!r}::DOUBLE)"
-    return f"""g0 AS (SELECT CAST(i // {TO_W} AS INT) AS y, CAST(i % {TO_W} AS INT) AS x FROM range({TO_H * TO_W}) t(i)),
-    g1 AS (SELECT y, x, (x / {TO_W}.0::DOUBLE - 0.5::DOUBLE) * 2 * {pi} AS th, -(y / {TO_H}.0::DOUBLE - 0.5::DOUBLE) * {pi} AS ph FROM g0),
-    g2 AS (SELECT y, x, cos(ph) * sin(th) AS dx, sin(ph) AS dy, cos(ph) * cos(th) AS dz FROM g1),
-    g3 AS (SELECT y, x, dx * {cu} + dz * {su} AS px, -dx * {su} * {sv} + dy * {cv} + dz * {cu} * {sv} AS py, -dx * {su} * {cv} - dy * {sv} + dz * {cu} * {cv} AS pz FROM g2),
-    g AS (SELECT y, x, (px / pz / ({tx!r}::DOUBLE) + 1) / 2 * {N} AS sx, (1 - py / pz / ({ty!r}::DOUBLE)) / 2 * {N} AS sy FROM g3
-      WHERE pz > 1e-9 AND abs(px / pz / ({tx!r}::DOUBLE)) <= 1 AND abs(py / pz / ({ty!r}::DOUBLE)) <= 1)"""
-
-
-@query("p2e_grid", f"WITH {_grid_sql()} SELECT y, x, round(sx, 6) + 0.0 AS sx, round(sy, 6) + 0.0 AS sy FROM g")
+def projection_grid(views, to_h=TO_H, to_w=TO_W, n=N):
+    """(id, y, x, sx, sy): the places that views (id, fov_x, fov_y, yaw, pitch) have in their patch for each pixel of an equirectangular target that they see.
+
+    Rotations are products of columns, so every view may have its own angles.
+    """
+    g = views.withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(to_h - 1)))).withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(to_w - 1))))
+    lon, lat = F.radians((F.col("x") / to_w - 0.5) * 360), F.radians((0.5 - F.col("y") / to_h) * 180)
+    yaw, pitch = F.radians("yaw"), F.radians("pitch")
+    g = g.withColumn("east", F.cos(lat) * F.sin(lon + yaw)).withColumn("north", F.cos(lat) * F.cos(lon + yaw)).withColumn("up", F.sin(lat))
+    g = g.withColumn("ahead", F.col("north") * F.cos(pitch) + F.col("up") * F.sin(pitch)).withColumn("above", F.col("up") * F.cos(pitch) - F.col("north") * F.sin(pitch))
+    u, v = (F.col(c) / F.col("ahead") / F.tan(F.radians(F.col(f) / 2)) for c, f in (("east", "fov_x"), ("above", "fov_y")))
+    seen = g.where("ahead > 1e-9").withColumn("u", u).withColumn("v", v).where("abs(u) <= 1 AND abs(v) <= 1")
+    return seen.select("id", "y", "x", ((F.col("u") + 1) / 2 * n).alias("sx"), ((1 - F.col("v")) / 2 * n).alias("sy"))
+
+
+def _grid_sql(views: str) -> str:
+    """g (id, y, x, sx, sy) of ``views`` (id, fx, fy, yaw, pitch), by rotation matrices."""
+    return f"""g1 AS (SELECT v.*, CAST(a.i AS INT) AS y, CAST(b.i AS INT) AS x, (b.i / {TO_W}.0::DOUBLE - 0.5::DOUBLE) * 2 * pi() AS th, -(a.i / {TO_H}.0::DOUBLE - 0.5::DOUBLE) * pi() AS ph,
+      radians(yaw) AS ru, radians(-pitch) AS rv FROM ({views}) v, range({TO_H}) a(i), range({TO_W}) b(i)),
+    g2 AS (SELECT *, cos(ph) * sin(th) AS dx, sin(ph) AS dy, cos(ph) * cos(th) AS dz FROM g1),
+    g3 AS (SELECT *, dx * cos(ru) + dz * sin(ru) AS px, -dx * sin(ru) * sin(rv) + dy * cos(rv) + dz * cos(ru) * sin(rv) AS py, -dx * sin(ru) * cos(rv) - dy * sin(rv) + dz * cos(ru) * cos(rv) AS pz FROM g2),
+    g AS (SELECT id, y, x, (px / pz / tan(radians(fx / 2)) + 1) / 2 * {N} AS sx, (1 - py / pz / tan(radians(fy / 2))) / 2 * {N} AS sy FROM g3
+      WHERE pz > 1e-9 AND abs(px / pz / tan(radians(fx / 2))) <= 1 AND abs(py / pz / tan(radians(fy / 2))) <= 1)"""
+
+
+_VIEWS = "SELECT s_suppkey AS id, 71.3::DOUBLE + s_suppkey % 40 AS fx, 64.7::DOUBLE + s_suppkey % 30 AS fy, (s_suppkey * 37 % 360 - 180)::DOUBLE AS yaw, (s_suppkey * 13 % 120 - 60)::DOUBLE AS pitch FROM supplier"
+
+
+@query("p2e_grid", f"WITH {_grid_sql(_VIEWS)} SELECT id, y, x, round(sx, 6) + 0.0 AS sx, round(sy, 6) + 0.0 AS sy FROM g")
 def p2e_grid(spark, sf):
-    return projection_grid(spark).select("y", "x", (F.round("sx", 6) + 0.0).alias("sx"), (F.round("sy", 6) + 0.0).alias("sy"))
+    """A view for each supplier, with its own fields and angles."""
+    views = table(spark, sf, "supplier").selectExpr(
+        "s_suppkey AS id", "71.3D + s_suppkey % 40 AS fov_x", "64.7D + s_suppkey % 30 AS fov_y", "double(s_suppkey * 37 % 360 - 180) AS yaw", "double(s_suppkey * 13 % 120 - 60) AS pitch")
+    return projection_grid(views).select("id", "y", "x", (F.round("sx", 6) + 0.0).alias("sx"), (F.round("sy", 6) + 0.0).alias("sy"))
 
 
-@query("p2e_sample", f"""WITH {_PX}, {_grid_sql()}, c AS (SELECT y, x, CAST(floor(sx - 0.5) AS INT) AS ix, CAST(floor(sy - 0.5) AS INT) AS iy, sx - 0.5 - floor(sx - 0.5) AS fx, sy - 0.5 - floor(sy - 0.5) AS fy FROM g),
+_VIEW = f"SELECT 0 AS id, {VIEW['fov'][0]}::DOUBLE AS fx, {VIEW['fov'][1]}::DOUBLE AS fy, {VIEW['yaw']}::DOUBLE AS yaw, {VIEW['pitch']}::DOUBLE AS pitch"
+
+
+@query("p2e_sample", f"""WITH {_PX}, {_grid_sql(_VIEW)}, c AS (SELECT y, x, CAST(floor(sx) AS INT) AS ix, CAST(floor(sy) AS INT) AS iy, sx - floor(sx) AS fx, sy - floor(sy) AS fy FROM g),
     k AS (SELECT y, x, ix + dx AS qx, iy + dy AS qy, (CASE dx WHEN 0 THEN 1 - fx ELSE fx END) * (CASE dy WHEN 0 THEN 1 - fy ELSE fy END) AS w FROM c, range(2) a(dx), range(2) b(dy))
     SELECT p.img, k.y, k.x, round(sum(k.w * p.v), 6) + 0.0 AS v FROM k JOIN px p ON p.x = k.qx AND p.y = k.qy GROUP BY 1, 2, 3""")
 def p2e_sample(spark, sf):
-    """Bilinear samples, zero outside.  The grid is one table for all images (at most TO_H * TO_W * 4 rows), so it is broadcast."""
-    g = projection_grid(spark).selectExpr(
-        "y", "x", "cast(floor(sx - 0.5) as int) AS ix", "cast(floor(sy - 0.5) as int) AS iy", "sx - 0.5 - floor(sx - 0.5) AS fx", "sy - 0.5 - floor(sy - 0.5) AS fy")
-    corner = F.explode(F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy")) for a in (0, 1) for b in (0, 1)]))
-    k = g.withColumn("d", corner).selectExpr(
-        "y", "x", "ix + d.dx AS qx", "iy + d.dy AS qy", "if(d.dx = 0, 1 - fx, fx) * if(d.dy = 0, 1 - fy, fy) AS w")
-    px = pixels(spark, sf).select("img", F.col("y").alias("qy"), F.col("x").alias("qx"), "v")
-    out = px.join(F.broadcast(k), ["qx", "qy"]).groupBy("img", "y", "x").agg(F.sum(F.col("w") * F.col("v")).alias("v"))
-    return shown(out)
+    """The visible pixels of each image as a perspective patch, bilinear, zero outside of it: a kernel on whole rasters, no shuffle."""
+    def sample(a):
+        visible, y, x = sphere.patch_grid(TO_H, TO_W, N, N, VIEW["fov"], VIEW["yaw"], VIEW["pitch"])
+        return [np.where(visible, sphere.taken(a, y, x), np.nan)]
+
+    return shown(whole(spark, sf, sample).where(~F.isnan("v")))
 
 
 _SOFT = K.soft_kernel(N, N, 0.4)
@@ -456,16 +468,6 @@ def equirect_to_cube(spark, sf):
     return shown(whole(spark, sf, lambda a: [K.equirect_to_cube(a, 4)]))
 
 
-@query("seam_repair", f"""WITH {_PX}, r AS (SELECT img, y, (x + 4) % 8 AS x, v FROM px),
-    m AS (SELECT img, avg(v) AS m FROM r WHERE x BETWEEN 1 AND 6 AND x NOT IN (3, 4) GROUP BY img),
-    f AS (SELECT img, y, x, v, CASE WHEN x BETWEEN 1 AND 6 THEN least(least((x - 1) / 2.0::DOUBLE, 1), least((6 - x) / 2.0::DOUBLE, 1)) ELSE 0 END AS al,
-      CASE WHEN x IN (3, 4) THEN m ELSE v END AS new FROM r JOIN m USING (img))
-    SELECT img, y, CAST((x + 4) % 8 AS INT) AS x, round(al * new + (1 - al) * v, 6) + 0.0 AS v FROM f""")
-def seam_repair(spark, sf):
-    """The seam filled by the mean of its crop, in place of an inpainting model."""
-    return shown(whole(spark, sf, lambda a: [K.repaired_seam(a, K.fill_mean, 1, 2, 2)]))
-
-
 def _lanczos_sql(src: str, name: str, n: int, to: int) -> str:
     pi = "pi()"
     taps = f"""(SELECT d, CAST(least(greatest(i, 0), {n - 1}) AS INT) AS q, w / sum(w) OVER (PARTITION BY d) AS w FROM
@@ -500,12 +502,6 @@ def empty_image(spark, sf):
     return p.selectExpr("img", "c", "cast(shiftright(s * 5127, 16 - 8 * c) & 255 as int) AS u8", "s * (s + 2) AS n")
 
 
-@query("top_fix")
-def top_fix(spark, sf):
-    """With the mean of the surroundings in place of an inpainting model."""
-    return shown(whole(spark, sf, lambda a: [K.top_fix(a, K.fill_mean, 16, 70.0, 50.0, 0.8)]))
-
-
 @query("decode_image", f"""WITH {_PX} SELECT img, {N} AS h, {N} AS w, true AS ok, CAST(sum(floor(greatest(0.0::DOUBLE, least(1.0::DOUBLE, v)) * 255)) AS BIGINT) AS total FROM px GROUP BY img""")
 def decode_image(spark, sf):
     """Rasters written as PNG and read again; the sum of their bytes stands for them."""

@@ -23,12 +23,12 @@ def inventory(spark: SparkSession, folder: str, recursive: bool = True, pattern:
     return files.select("path", rel.alias("rel_path"), "length", "modificationTime").where(P.is_image(F.col("path"), bmp))
 
 
-def decode(spark: SparkSession, folder: str, on_error: str = "keep") -> DataFrame:
+def decode(spark: SparkSession, folder: str, on_error: str = "keep", recursive: bool = False) -> DataFrame:
     """Colour rasters (origin, height, width, nChannels, mode, data); unreadable files by ``on_error``.
 
     keep: a row with ok = false; skip: no row; error: the job fails.
     """
-    rows = spark.read.format("image").option("dropInvalid", on_error == "skip").load(folder).select("image.*")
+    rows = spark.read.format("image").option("dropInvalid", on_error == "skip").option("recursiveFileLookup", recursive).load(folder).select("image.*")
     ok = F.col("height") > 0
     if on_error == "error":
         rows = rows.where(F.when(ok, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("unreadable image: "), "origin")).cast("boolean")))

@@ -125,20 +125,14 @@ def test_lanczos_keeps_what_it_should():
     assert np.allclose(K.lanczos(a, 9, 13), a, atol=1e-12) and np.allclose(K.lanczos(np.full((5, 7), 0.3), 11, 20), 0.3, atol=1e-12)
 
 
-def test_seam_repair_touches_only_the_seam():
-    a = np.random.default_rng(8).random((4, 40))
-    out = K.repaired_seam(a, lambda v, hole: np.where(hole, 9.0, v), 2, 3, 2)
-    assert np.array_equal(out[:, 2:38], a[:, 2:38]) and (out[:, [0, 1, 38, 39]] == 9).all()
-
-
 def test_workflow_files(spark, tmp_path):
     node = '{"1": {"class_type": "LoadImage", "inputs": {"image": "a.png"}, "_meta": {"title": "In"}}, "2": {"class_type": "Save", "inputs": {"images": ["1", 0], "n": 2}}}'
     for name, text in (("bare", node), ("wrapped", f'{{"prompt": {node}, "client_id": "x"}}'), ("none", "[1, 2"), ("empty", "{}")):
         (tmp_path / f"{name}.json").write_text(text)
-    rows = W.read(spark, str(tmp_path)).collect()
+    rows = W.read(spark, str(tmp_path), "skip").collect()
     assert {(r.workflow, r.node_id, r.class_type, r.title) for r in rows} == {
         (w, *n) for w in ("bare", "wrapped") for n in (("1", "LoadImage", "In"), ("2", "Save", None))}
-    edges = G.edges_of(W.read(spark, str(tmp_path)).where("workflow = 'wrapped'")).collect()
+    edges = G.edges_of(W.read(spark, str(tmp_path), "skip").where("workflow = 'wrapped'")).collect()
     assert [(e.src, e.src_slot, e.dst, e.input) for e in edges] == [("1", 0, "2", "images")]
 
 
@@ -221,13 +215,6 @@ def test_cube_faces_of_a_sphere():
         assert np.allclose(got, K.directions(face, 8)[..., 1], atol=1e-3)
 
 
-def test_top_fix_changes_the_hole_only():
-    a = np.random.default_rng(9).random((32, 64))
-    same = K.top_fix(a, lambda v, _: v * 0 - 1, 32, 70.0, 50.0, 0.8)
-    assert 0 < (same == -1).sum() < 32 * 64 / 4 and np.array_equal(same[same != -1], a[same != -1])
-    assert (same[20:] == a[20:]).all()
-
-
 def test_png_errors(spark):
     df = spark.createDataFrame([(1, bytearray(I.png(b"\x01\x02", 1, 2))), (2, bytearray(b"junk")), (3, None)], "img long, png binary")
     assert col(I.decoded(df), "img", "ok") == [(1, True), (2, False), (3, False)]
