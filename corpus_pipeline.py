@@ -8,6 +8,7 @@ written before the next is called.  All but the last return the columns of
 
 from __future__ import annotations
 
+import contextvars
 import functools
 import uuid
 from collections.abc import Callable
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 from skyloom.llm import bpe, common, exact_dedup, minhash, mixing, quality
 
 
-#: Work tables of the stage that was called last.
-_made: list[str] = []
+#: Work tables of the stage that this thread of control called last: runs in other threads have their own.
+_made: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("_made", default=None)
 _NEEDED = ("doc_id", "text", "source")
 
 
@@ -33,9 +34,11 @@ def _stage(decide: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession,
     """
     @functools.wraps(decide)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        common.delete(spark, _made)
+        common.delete(spark, _made.get() or [])
+        made: list[str] = []
+        _made.set(made)
         names = {c if c in _NEEDED else f"column_{i}": c for i, c in enumerate(docs.columns)}
-        with common.noted(_made):
+        with common.noted(made):
             out = decide(docs.select(*[F.col(f"`{c}`").alias(n) for n, c in names.items()]))
         return out.select(*[F.col(n).alias(c) for n, c in names.items()]) if set(names) <= set(out.columns) else out
 
@@ -66,10 +69,12 @@ def near(docs: DataFrame) -> DataFrame:
     """One document of each group of near copies stays; five words, similarity 0.8.
 
     Texts without words stay.  Rows that share an id count as one document and stay or
-    go together; rows without an id can't be told apart: they all stay if one of them stays.
+    go together.  Rows without an id are told apart by their texts, and stay only where no
+    row with an id is in their group.
     """
-    kept = minhash.near_dedup(docs, k=5, percent=80).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    keyed = docs.withColumn("_key", F.coalesce("doc_id", F.lit(1 << 62) + F.xxhash64("text").bitwiseAND(F.lit((1 << 61) - 1))))
+    kept = minhash.near_dedup(keyed, id_col="_key", k=5, percent=80).where("kept").select("_key").distinct()
+    return keyed.join(kept, "_key", "left_semi").drop("_key")
 
 
 @_stage
@@ -113,5 +118,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = spark.read.parquet(f"{base}/{i}")
         if i:
             common.delete(spark, [f"{base}/{i - 1}"])
-    common.delete(spark, _made)
+    common.delete(spark, _made.get() or [])
     return docs

@@ -8,6 +8,7 @@ by Spark's own readers only.
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -36,26 +37,26 @@ def work_dir(spark: SparkSession) -> str:
     return _own_dir[0]
 
 
-#: Lists that note the work tables made while they are open, innermost last.
-_notes: list[list[str]] = []
+#: The list that notes the work tables made in this thread of control.
+_notes: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("_notes", default=None)
 
 
 @contextlib.contextmanager
 def noted(paths: list[str]) -> Iterator[None]:
     """Within it, the folders of new work tables are added to ``paths``."""
-    _notes.append(paths)
+    before = _notes.set(paths)
     try:
         yield
     finally:
-        _notes.remove(paths)
+        _notes.reset(before)
 
 
 def stored(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """``df`` written as a work table and read back."""
     spark = df.sparkSession
     path = f"{work_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
-    if _notes:
-        _notes[-1].append(path)
+    if (notes := _notes.get()) is not None:
+        notes.append(path)
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -10,8 +10,8 @@ differs in menus and adverts.  So the lines of the page's longest article or mai
 element are never deleted, and its other lines take part in the alignment but go
 in any case, unless they are in another article element: those go where the partner
 has them too.  Elements that are boilerplate by their tag, class, id or role go on
-every page.  Pages without an article element keep what differs.  If one page of a
-pair holds nearly nothing but lines of the other, they are copies and delete nothing.
+every page.  Pages without an article element keep what differs; one that has nearly
+nothing for itself is a copy of its partner, or a part of it, and keeps everything.
 """
 
 from __future__ import annotations
@@ -41,13 +41,23 @@ RAW_TAGS = ("script", "style")
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN_TAGS = frozenset(("article", "main"))
 TRACKED_TAGS = SKIP_TAGS | MAIN_TAGS | frozenset("div section header ul ol table blockquote body p span figure".split()) - VOID_TAGS
-#: Words of class, id or role values that mark boilerplate.
-SKIP_WORDS = re.compile(
-    r"(?:^|[\s_\-\"'=])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|sidebar|side-bar|menu|"
-    r"nav|navbar|navigation|breadcrumbs?|footer|masthead|site-?header|page-?header|topbar|toolbar|comments?|"
-    r"commentlist|disqus|replies|reply|respond|related|recommend\w*|share|sharing|social|newsletter|subscribe|subscription|"
-    r"signup|login|search|popup|modal|overlay|widget|pagination|pager|complementary|contentinfo|hidden)(?=$|[\s_\-\"'0-9])", re.I)
-_MARK = re.compile(r"""\s(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+#: Parts of class and id names that mark boilerplate, and parts that say nothing by themselves.
+SKIP_PARTS = frozenset(
+    "ad ads adv advert adverts advertisement advertisements advertising sponsor sponsored sponsors promo promos promotion promoted banner banners "
+    "cookie cookies consent gdpr notice notices alert alerts sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer "
+    "masthead siteheader pageheader topbar toolbar comment comments commentlist disqus reply replies respond related recommended "
+    "recommendation recommendations share sharing social newsletter newsletters subscribe subscription signup login search popup popups modal overlay "
+    "widget widgets pagination pager complementary contentinfo hidden".split())
+PLAIN_PARTS = frozenset(
+    "site page global main primary secondary mobile desktop top bottom left right upper lower inner outer side bar box boxes block area "
+    "wrap wrapper container section group panel slot unit list lists item items link links button buttons icon icons row col column grid text "
+    "title header heading head content form field inline sticky fixed small large bg posts articles stories news card cards tools media zone".split())
+#: Compounds of plain parts that mark boilerplate outside of the article.
+SKIP_NAMES = frozenset("site-header page-header side-bar top-bar".split())
+#: Elements that hold other elements: inside an article only those are boilerplate by their names.
+HOLDERS = frozenset("div section ul ol table figure".split())
+_MARK = re.compile(r"""\s(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"""\s(?:hidden(?=[\s=/>]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
 _MAIN_ROLE = re.compile(r"""\srole\s*=\s*["']?main""", re.I)
 _TAG = re.compile(
@@ -61,14 +71,30 @@ UNSEEN_TAGS = frozenset("canvas datalist head iframe math object select svg temp
 SKIPPED, OUTSIDE = -2, -1
 #: Bits of one table of alignment rows; larger alignments are halved first.
 TABLE_BITS = 64 << 20
-#: A page whose lines that differ are fewer than one in so many is a copy.
-COPY_LINES = 20
+#: A page without an article element is a copy of its partner if the lines that it has for itself hold fewer letters: a time, a counter.
+COPY_LETTERS = 12
+
+
+def marked(names: str, in_article: bool = False) -> bool:
+    """Whether one of the names in a class, id or role value marks boilerplate.
+
+    A name does as a whole: each of its parts must be a word for boilerplate or say nothing, and one must be
+    such a word.  So "share-buttons" does, "share-price-analysis" doesn't.
+    """
+    for name in names.split():
+        parts = [p.lower() for p in _PARTS.findall(name)]
+        if any(p in SKIP_PARTS for p in parts) and all(p in SKIP_PARTS or p in PLAIN_PARTS for p in parts):
+            return True
+        if not in_article and "-".join(parts) in SKIP_NAMES:
+            return True
+    return False
 
 
 def page_lines(page: str | None) -> list[tuple[str, int]]:
     """(text, where it stands) of the blocks of a page, in page order."""
     lines: list[tuple[str, int]] = []
     stack: list[tuple[str, bool, bool]] = []
+    open_: dict[str, int] = {}  # elements on the stack by name: an end tag without a start needs no search
     skip = main = unseen = n_mains = at = 0
     parts: list[str] = []
     skipped: list[str] = []
@@ -87,6 +113,7 @@ def page_lines(page: str | None) -> list[tuple[str, int]]:
             skip -= s
             main -= a
             unseen -= name in UNSEEN_TAGS
+            open_[name] -= 1
         del stack[i:]
 
     page = page or ""
@@ -102,7 +129,7 @@ def page_lines(page: str | None) -> list[tuple[str, int]]:
         if block:
             flush()
         if m[2]:  # an end tag closes back to its start, if that is open
-            if name in TRACKED_TAGS:
+            if open_.get(name):
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == name:
                         close(i)
@@ -118,11 +145,12 @@ def page_lines(page: str | None) -> list[tuple[str, int]]:
         if len(rest) > 3:
             is_main = is_main or bool(_MAIN_ROLE.search(rest))
             if not is_skip and name != "body":
-                is_skip = bool(_HIDDEN.search(rest)) or any(SKIP_WORDS.search(v.strip("\"'")) for v in _MARK.findall(rest))
+                is_skip = bool(_HIDDEN.search(rest)) or (not main or name in HOLDERS) and any(marked(v.strip("\"'"), main > 0) for v in _MARK.findall(rest))
         is_main = is_main and not is_skip
         if name in ("p", "span") and not is_skip:
             continue
         stack.append((name, is_skip, is_main))
+        open_[name] = open_.get(name, 0) + 1
         n_mains += is_main and not main
         skip += is_skip
         main += is_main
@@ -271,9 +299,9 @@ def _decided(text: str, places: np.ndarray, gone: bytes, other: bytes | None) ->
     if other and len(own):
         theirs = np.frombuffer(other, np.uint64).tolist()
         shared = np.array(lcs_mask(own.tolist(), theirs))
-        left = len(own) - shared.sum(), len(theirs) - shared.sum()
         deleted = shared & (places != MAIN)
-        if COPY_LINES * left[0] > len(own) and COPY_LINES * left[1] > len(theirs):
+        mine = "".join(t for t, d in zip(lines, deleted[stays].tolist(), strict=True) if not d)
+        if (places == MAIN).any() or sum(map(str.isalpha, mine)) >= COPY_LETTERS:
             lines = [t for t, d in zip(lines, deleted[stays].tolist(), strict=True) if not d]
         else:
             deleted[:] = False

@@ -24,6 +24,56 @@ def test_article_text():
     assert " ".join(t for t, where in html_text.page_lines(PAGE.format()) if where == 0) == TEXT
 
 
+@pytest.mark.parametrize("inner", [
+    '<div class="related-work">', '<section class="share-price-analysis">', '<div id="login-guide">', '<div class="widget-review">', '<div class="hidden-gems">', '<div class="alert-article">',
+    '<section aria-label="Related laws">', '<p class="related">', '<header class="page-header"><h1>', '<span class="share">'])
+def test_article_text_stays_whatever_its_class(inner):
+    page = f"<body><nav>menu</nav><article><p>before</p>{inner}words that stay</article></body>"
+    assert [t for t, where in html_text.page_lines(page) if where == 0][-1].endswith("words that stay")
+
+
+@pytest.mark.parametrize("inner", ['<div class="share-buttons">', '<section id="commentList">', '<div class="box ad-slot-3">', '<ul class="related_posts">', '<div role="search">', '<div class="cookie-notice">', "<aside>", "<nav>"])
+def test_boilerplate_in_the_article_goes(inner):
+    page = f"<article><p>before</p>{inner}goes</article>"
+    assert [t for t, where in html_text.page_lines(page) if where == 0] == ["before"]
+
+
+def test_stray_end_tags_take_linear_time():
+    import time
+
+    def took(n):
+        start = time.perf_counter()
+        html_text.page_lines("<div>" * n + "</section>" * (3 * n) + "text")
+        return time.perf_counter() - start
+
+    took(1000)
+    assert took(80_000) < 5
+
+
+@pytest.mark.parametrize("own", [1, 3, 4, 30])
+def test_few_own_lines_among_many_shared(spark, own):
+    """The lines that a page has for itself are its text, however few they are."""
+    def page(k):
+        mine = "".join(f"<div>line {j} of the story of page {k}</div>" for j in range(own))
+        return "<body>" + "".join(f"<div>menu entry {j}</div>" for j in range(35)) + mine + "".join(f"<div>footer entry {j}</div>" for j in range(35)) + "</body>"
+
+    rows = [(k, f"http://h.example/a/{k}", page(k)) for k in range(2)]
+    out = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert out == {k: " ".join(f"line {j} of the story of page {k}" for j in range(own)) for k in range(2)}
+    same = [(k, f"http://h.example/a/{k}", page(0).replace("</body>", f"<div>Updated 12:0{k}</div></body>")) for k in range(2)]
+    out = html_text.extract(spark.createDataFrame(same, "page_id long, url string, html string")).collect()
+    assert all("menu entry 3" in r.text and "line 0" in r.text for r in out)
+
+
+def test_extract_with_extra_columns_and_long_pages(spark):
+    long = "<body><article>" + "<p>x y</p>" * 60_000 + "</article></body>"
+    rows = [(1, "http://h.example/1", long, "k", "c", 1, "t"), (2, "http://h.example/2", None, "k", "c", 2, "t"), (2, "http://h.example/2", None, "k", "c", 2, "t"), (None, None, PAGE.format(), None, None, None, None)]
+    schema = "page_id long, url string, html string, key string, check string, n_lines int, text string"
+    out = sorted((r.page_id or 0, r.n_chars, r.n_lines) for r in html_text.extract(spark.createDataFrame(rows, schema)).collect())
+    assert [x[:2] for x in out] == [(0, len(TEXT)), (1, 4 * 60_000 - 1), (2, 0), (2, 0)]
+    assert html_text.extract(spark.createDataFrame([], schema)).collect() == []
+
+
 @pytest.mark.parametrize("cut", range(0, 700, 23))
 def test_truncated_pages_do_not_crash(cut):
     html_text.page_lines(PAGE[:cut])

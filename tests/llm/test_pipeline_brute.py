@@ -162,4 +162,26 @@ def test_stages_one_by_one(spark, tmp_path):
             sizes.append(docs.count())
             if k < 4:
                 assert docs.columns == SCHEMA.replace(" long", "").replace(" string", "").replace(" int", "").split(", ")
-        assert sizes == ([3, 2, 2, 3, 3] if data else [0] * 5)  # rows without an id only join equal sets in near dedup
+        assert sizes == ([3, 2, 1, 1, 1] if data else [0] * 5)
+
+
+def test_near_copies_without_an_id(spark):
+    """One row of each group stays, with an id where there is one; a row without one doesn't bring others back."""
+    base = [f"w{i}" for i in range(200)]
+    copies = [" ".join(base[:-1] + [x]) for x in ("a", "b", "c")]
+    other = [" ".join(f"v{i}" for i in range(200)) + x for x in ("", " end")]
+    rows = [(None, copies[0]), (None, copies[1]), (7, copies[2]), (None, other[0]), (None, other[1]), (None, "alone here"), (9, "with an id")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "k", "p", 1, "x") for i, t in rows], SCHEMA)
+    left = [(r.doc_id, r.text) for r in dict(corpus_pipeline.STAGES)["near dedup"](spark, docs, "").collect()]
+    assert len(left) == 4 and {(7, copies[2]), (None, "alone here"), (9, "with an id")} < set(left)
+    assert sum(t in other for _, t in left) == 1
+
+
+def test_runs_in_threads_keep_their_tables(spark, tmp_path):
+    """Two runs at once in one driver: neither deletes the other's work tables."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    spark.createDataFrame(documents(), SCHEMA).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    with ThreadPoolExecutor(2) as pool:
+        outs = list(pool.map(lambda _: collections.Counter(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect())), range(2)))
+    assert outs[0] == outs[1] and outs[0]
