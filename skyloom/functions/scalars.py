@@ -47,3 +47,14 @@ def scalar_text(value: Column) -> Column:
         .when(kind == "float", F.when(F.lower(bare).rlike("nan|inf"), F.lower(bare)).otherwise(bare.try_cast("double").cast("string")))
         .otherwise(value)
     )
+
+
+def shell_word(value: Column) -> Column:
+    """The text as one word of a shell command: special characters behind backslashes, quotes for nothing, $'...' for control characters."""
+    plain = F.regexp_replace(value, r"([^A-Za-z0-9_@%+=:,./\u0080-\x{10FFFF}-])", r"\\$1")
+    quoted = F.regexp_replace(value, r"([\\'])", r"\\$1")
+    for code, name in ((7, "a"), (8, "b"), (9, "t"), (10, "n"), (11, "v"), (12, "f"), (13, "r"), (27, "E")):
+        quoted = F.replace(quoted, F.lit(chr(code)), F.lit(f"\\{name}"))
+    for code in (c for c in range(1, 32) if c not in (7, 8, 9, 10, 11, 12, 13, 27)):
+        quoted = F.replace(quoted, F.lit(chr(code)), F.lit(f"\\{code:03o}"))
+    return F.when(value == "", "''").when(value.rlike(r"[\x01-\x1f]"), F.concat(F.lit("$'"), quoted, F.lit("'"))).otherwise(plain)

@@ -76,3 +76,37 @@ def aspect_crop(masks: DataFrame) -> DataFrame:
     start = lambda side, cut: F.greatest(F.lit(0), F.floor((F.col(side) - F.col(cut)) / 2)).cast("int")
     return masks.withColumn("cw", cw).withColumn("ch", ch).select(
         "id", start("w", "cw").alias("x0"), start("h", "ch").alias("y0"), "cw", "ch", "tw", "th")
+
+
+def overlap(a: Column, b: Column) -> Column:
+    """Intersection over union of two boxes (x1, y1, x2, y2); 0 where both are empty."""
+    side = lambda lo, hi: F.greatest(F.least(a[hi], b[hi]) - F.greatest(a[lo], b[lo]), F.lit(0))
+    area = lambda r: (r["x2"] - r["x1"]) * (r["y2"] - r["y1"])
+    both = side("x1", "x2") * side("y1", "y2")
+    union = area(a) + area(b) - both
+    return F.when(union > 0, both / union).otherwise(0.0)
+
+
+def suppressed(boxes: DataFrame, keys: list[str], most: float, order: list[Column | str]) -> DataFrame:
+    """The boxes of each group that overlap no better one that is kept by more than ``most``.
+
+    Boxes come by confidence (conf), ties by ``order``.  A group is the boxes of one image and kind: it is
+    one array, of as many boxes as the detector gives, and never leaves whole-stage code.
+    """
+    row = F.struct(-F.col("conf"), *order, *[F.col(c) for c in boxes.columns if c not in keys])
+    names = [c for c in boxes.columns if c not in keys]
+    whole = F.sort_array(F.collect_list(F.struct(row.alias("by"), F.struct(*names).alias("box"))))
+    ranked = boxes.groupBy(*keys).agg(F.transform(whole, lambda r: r["box"]).alias("all"))
+    kept = F.aggregate(
+        "all", F.slice("all", 1, 0), lambda kept, b: F.when(F.exists(kept, lambda k: overlap(k, b) > most), kept).otherwise(F.array_append(kept, b)))
+    return ranked.select(*keys, F.explode(kept).alias("b")).select(*[c if c in keys else F.col(f"b.{c}").alias(c) for c in boxes.columns])
+
+
+def scaled(boxes: DataFrame, by: float) -> DataFrame:
+    """Boxes grown or shrunk around their middles."""
+    def ends(lo: str, hi: str) -> list[Column]:
+        middle, half = (F.col(lo) + F.col(hi)) / 2, (F.col(hi) - F.col(lo)) / 2 * by
+        return [middle - half, middle + half]
+
+    (x1, x2), (y1, y2) = ends("x1", "x2"), ends("y1", "y2")
+    return boxes.select(*[c for c in boxes.columns if c not in ("x1", "y1", "x2", "y2")], x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))

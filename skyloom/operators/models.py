@@ -159,3 +159,18 @@ def cube_masks(frames: DataFrame, slot: Slot, n: int, predict: str = "FRBLU", pa
     good = by_image.where("error is null").mapInArrow(join, FR.FRAME).withColumn("error", F.lit(None).cast("string"))
     bad = by_image.where("error is not null").select("img", *[F.lit(None).cast(t).alias(c) for c, t in (("h", "int"), ("w", "int"), ("c", "int"), ("data", "array<double>"))], "error")
     return good.unionByName(bad)
+
+
+def box_finder(limit: float, above: bool = True, off: tuple[float, float, float, float] = (0.0, 0.0, 0.0, 0.0)) -> Model:
+    """A deterministic stand-in for a detector: the box around all pixels whose channels' mean is at least (or at most) ``limit``.
+
+    A box (x1, y1, x2, y2) is moved by ``off``; its confidence is the mean of those pixels.
+    """
+    def one(a: np.ndarray) -> np.ndarray:
+        mean = a.mean(axis=2)
+        y, x = np.nonzero(mean >= limit if above else mean <= limit)
+        if not len(y):
+            return np.empty((0, 5))
+        return np.array([[x.min() + off[0], y.min() + off[1], x.max() + 1 + off[2], y.max() + 1 + off[3], mean[y, x].mean()]])
+
+    return lambda frames: [one(a) for a in frames]

@@ -180,3 +180,26 @@ def top1_component(spark, sf):
     u = both(spark, sf).withColumn("area", area)
     best = F.max_by(F.struct("l_linenumber", "area"), F.struct("area", -F.col("l_linenumber")))
     return u.groupBy("image").agg(best.alias("b")).select("image", "b.l_linenumber", "b.area")
+
+
+_NMS = 0.3
+
+
+@query("box_nms", f"""WITH RECURSIVE {_DET}, s AS (SELECT image, face, l_linenumber, conf, typ, x1, y1, x2, y2 FROM d WHERE x2 > x1 AND y2 > y1),
+    r AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY image, typ ORDER BY conf DESC, x1, y1, x2, y2, l_linenumber) AS k FROM s),
+    n(image, typ, k, kept) AS (
+      SELECT DISTINCT image, typ, 0::BIGINT, []::STRUCT(k BIGINT, x1 DOUBLE, y1 DOUBLE, x2 DOUBLE, y2 DOUBLE)[] FROM r
+      UNION ALL
+      SELECT r.image, r.typ, r.k, CASE WHEN len(list_filter(kept, lambda o: i_of(o.x1, o.y1, o.x2, o.y2, r.x1, r.y1, r.x2, r.y2) > {_NMS})) > 0 THEN kept
+        ELSE list_append(kept, {{'k': r.k, 'x1': r.x1, 'y1': r.y1, 'x2': r.x2, 'y2': r.y2}}) END
+      FROM n JOIN r ON r.image = n.image AND r.typ = n.typ AND r.k = n.k + 1),
+    f AS (SELECT image, typ, unnest(list_transform(kept, lambda o: o.k)) AS k FROM n QUALIFY row_number() OVER (PARTITION BY image, typ ORDER BY n.k DESC) = 1)
+    SELECT r.image, r.typ, l_linenumber, conf FROM r JOIN f USING (image, typ, k)""".replace(
+        "i_of(o.x1, o.y1, o.x2, o.y2, r.x1, r.y1, r.x2, r.y2)",
+        "(greatest(0, least(o.x2, r.x2) - greatest(o.x1, r.x1)) * greatest(0, least(o.y2, r.y2) - greatest(o.y1, r.y1))) / ((o.x2 - o.x1) * (o.y2 - o.y1) + (r.x2 - r.x1) * (r.y2 - r.y1)"
+        " - greatest(0, least(o.x2, r.x2) - greatest(o.x1, r.x1)) * greatest(0, least(o.y2, r.y2) - greatest(o.y1, r.y1)))"))
+def box_nms(spark, sf):
+    """Of the boxes of an image and kind those that no better one covers by more than 0.3."""
+    d = detections(spark, sf).where("x2 > x1 AND y2 > y1")
+    out = B.suppressed(d, ["image", "typ"], _NMS, ["x1", "y1", "x2", "y2", "l_linenumber"])
+    return out.select("image", "typ", "l_linenumber", "conf")

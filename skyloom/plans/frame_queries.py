@@ -19,6 +19,7 @@ from ..functions import nodes, scaling, sky, sphere
 from ..operators import frames as FR
 from ..operators import models as M
 from ..operators import raster as R
+from ..operators import stages as G
 from ..operators import workflow_run as W
 from ..sources import image_sink as S
 from ..sources import work
@@ -269,13 +270,18 @@ def _view_sql(name, fov, yaw, pitch):
       SELECT i, j, (2 * j{_D} / {VIEW - 1} - 1) * {tx} AS vx, (1 - 2 * i{_D} / {VIEW - 1}) * {ty} AS vy FROM range({VIEW}) a(i), range({VIEW}) b(j))), {_around(name + "_d", name, "i, j")}"""
 
 
-@query("top_fix", f"""WITH {_FR}, {_view_sql("vk", TOP["fov"], TOP["yaw"], TOP["pitch"])},
+def _top_sql(src, name):
+    """CTEs that end with ``name``: ``src`` with the view to the top repaired."""
+    return f"""{_view_sql("vk", TOP["fov"], TOP["yaw"], TOP["pitch"])},
     vw AS MATERIALIZED (SELECT p.img, p.par, k.i AS y, k.j AS x, p.c, sum(k.w * p.v) AS v,
-      power((k.j + 0.5{_D}) / {VIEW} * 2 - 1, 2) + power((k.i + 0.5{_D}) / {VIEW} * 2 - 1, 2) <= {HOLE * HOLE!r}{_D} AS hole FROM vk k JOIN px p ON p.par = k.par AND p.y = k.qy AND p.x = k.qx GROUP BY ALL),
+      power((k.j + 0.5{_D}) / {VIEW} * 2 - 1, 2) + power((k.i + 0.5{_D}) / {VIEW} * 2 - 1, 2) <= {HOLE * HOLE!r}{_D} AS hole FROM vk k JOIN {src} p ON p.par = k.par AND p.y = k.qy AND p.x = k.qx GROUP BY ALL),
     fx AS (SELECT img, par, y, x, c, CASE WHEN hole THEN avg(v) FILTER (NOT hole) OVER (PARTITION BY img, c) ELSE v END AS v FROM vw),
-    {_grid_sql("g", VIEW, VIEW, TOP["fov"], -TOP["yaw"], TOP["pitch"])}, {_alpha_sql("g", "al", TOP["feather"])}, {_laid("g", "fx", "la")}
-    SELECT p.img, p.y, p.x, p.c, round(p.v * (1 - a.v) + coalesce(l.v, 0) * a.v, {DIGITS}) + 0.0 AS v FROM px p JOIN al a ON a.par = p.par AND a.y = p.y AND a.x = p.x
-    LEFT JOIN la l ON l.img = p.img AND l.y = p.y AND l.x = p.x AND l.c = p.c""")
+    {_grid_sql("g", VIEW, VIEW, TOP["fov"], -TOP["yaw"], TOP["pitch"])}, {_alpha_sql("g", "al", TOP["feather"])}, {_laid("g", "fx", "la")},
+    {name} AS MATERIALIZED (SELECT p.img, p.par, p.y, p.x, p.c, p.v * (1 - a.v) + coalesce(l.v, 0) * a.v AS v FROM {src} p JOIN al a ON a.par = p.par AND a.y = p.y AND a.x = p.x
+      LEFT JOIN la l ON l.img = p.img AND l.y = p.y AND l.x = p.x AND l.c = p.c)"""
+
+
+@query("top_fix", f"WITH {_FR}, {_top_sql('px', 'o')} {_out('o')}")
 def top_fix(spark, sf):
     """The view to the top behind, its disc filled by the mean around it (in place of an inpainting model), laid back with a soft edge."""
     return shown(FR.mapped(frames(spark, sf), lambda a: sphere.repaired_view(a, K.fill_mean, _hole(), TOP["fov"], TOP["yaw"], TOP["pitch"], TOP["feather"])))
@@ -348,13 +354,19 @@ def _padded_query(spark, sf, plan):
 SEAM = {"seam": 2, "pad": 3, "ramp": 2, "sigma": 0.6}
 
 
-@query("seam_repair", f"""WITH {_FR}, st AS (SELECT par, CAST(x AS INT) AS x, ((x + w // 2) % w) - w // 2 AS d FROM dims, range(64) t(x) WHERE x < w),
+def _seam_sql(src, name):
+    """CTEs that end with ``name``: ``src`` with its seam repaired."""
+    kernel = ", ".join(f"({d}, {w!r}{_D})" for d, w in R.kernel_of_sigma(SEAM["sigma"]))
+    return f"""st AS (SELECT par, CAST(x AS INT) AS x, ((x + w // 2) % w) - w // 2 AS d FROM dims, range(64) t(x) WHERE x < w),
     lim AS (SELECT par, greatest(-{SEAM["seam"] + SEAM["pad"]}, -(w // 2)) AS lo, least({SEAM["seam"] + SEAM["pad"]}, w - w // 2) - 1 AS hi FROM dims),
     sw AS (SELECT par, x, d, lo, hi, d - lo AS k, hi - lo + 1 AS n, CASE WHEN d >= -{SEAM["seam"]} AND d < {SEAM["seam"]} THEN 1.0{_D} ELSE 0 END AS hard FROM st JOIN lim USING (par) WHERE d BETWEEN lo AND hi),
-    sb AS (SELECT a.par, a.x, least(1.0{_D}, least(a.k, a.n - 1 - a.k) / {SEAM["ramp"]}{_D}) AS fade, sum(t.w * b.hard) AS weight FROM sw a, (VALUES {", ".join(f"({d}, {w!r}{_D})" for d, w in R.kernel_of_sigma(SEAM["sigma"]))}) t(o, w), sw b
+    sb AS (SELECT a.par, a.x, least(1.0{_D}, least(a.k, a.n - 1 - a.k) / {SEAM["ramp"]}{_D}) AS fade, sum(t.w * b.hard) AS weight FROM sw a, (VALUES {kernel}) t(o, w), sw b
       WHERE b.par = a.par AND b.k = {_mirror("a.k + t.o", "a.n")} GROUP BY ALL),
-    m AS (SELECT img, c, avg(v) AS m FROM px JOIN sb USING (par, x) WHERE weight = 0 GROUP BY ALL)
-    SELECT p.img, p.y, p.x, p.c, round(p.v + coalesce(fade * weight * (m - p.v), 0), {DIGITS}) + 0.0 AS v FROM px p LEFT JOIN sb USING (par, x) LEFT JOIN m ON m.img = p.img AND m.c = p.c""")
+    sa AS (SELECT img, c, avg(v) AS m FROM {src} JOIN sb USING (par, x) WHERE weight = 0 GROUP BY ALL),
+    {name} AS MATERIALIZED (SELECT p.img, p.par, p.y, p.x, p.c, p.v + coalesce(fade * weight * (m - p.v), 0) AS v FROM {src} p LEFT JOIN sb USING (par, x) LEFT JOIN sa ON sa.img = p.img AND sa.c = p.c)"""
+
+
+@query("seam_repair", f"WITH {_FR}, {_seam_sql('px', 'o')} {_out('o')}")
 def seam_repair(spark, sf):
     """Where the ends meet, filled by the mean of the strip around (in place of an inpainting model), with a blurred mask and soft ends."""
     return shown(FR.mapped(frames(spark, sf), lambda a: K.repaired_seam(a, K.fill_mean, **SEAM)))
@@ -369,7 +381,8 @@ _SKY_DILATION, _SKY_RADIUS, _SKY_LEVELS = 1, 1, 2
 _R2 = R.kernel_of_radius(2)
 
 
-def _sky_sql():
+def _sky_sql(name):
+    """CTEs, pixels first, that end with ``name``: frames with their partner's sky."""
     lanczos = lambda name, frm, to: _scale_taps(name, "lanczos", f"SELECT par, {frm}, {to} FROM ms")
     parts = [
         _FR,
@@ -405,11 +418,12 @@ def _sky_sql():
         parts += [mix(f"a{k}l", f"b{k}l", f"m{k}", f"n{k}"), _along(f"r{k + 1}", f"r{k}u", f"uy{k}", f"ux{k}"),
                   f"r{k} AS MATERIALIZED (SELECT n.img, n.par, n.y, n.x, n.c, n.v + u.v AS v FROM n{k} n JOIN r{k}u u USING (img, y, x, c))"]
     parts.append("hit AS (SELECT img, max(v) AS any_ FROM mh GROUP BY img)")
-    return f"""WITH {", ".join(parts)} SELECT p.img, p.y, p.x, p.c, round(CASE WHEN any_ > 0 THEN greatest(0, least(1, r.v)) ELSE p.v END, {DIGITS}) + 0.0 AS v
-        FROM px p JOIN r0 r USING (img, y, x, c) JOIN hit ON hit.img = p.img"""
+    parts.append(f"""{name} AS MATERIALIZED (SELECT p.img, p.par, p.y, p.x, p.c, CASE WHEN any_ > 0 THEN greatest(0, least(1, r.v)) ELSE p.v END AS v
+        FROM px p JOIN r0 r USING (img, y, x, c) JOIN hit ON hit.img = p.img)""")
+    return ", ".join(parts)
 
 
-@query("sky_replace", _sky_sql())
+@query("sky_replace", f"WITH {_sky_sql('o')} {_out('o')}")
 def sky_replace(spark, sf):
     """The partner's frame as new sky, its first channel as the mask, both of another size and shape."""
     df = frames(spark, sf)
@@ -425,12 +439,12 @@ _SIG = R.kernel_of_sigma(0.9)
 SOFT = {"pad": 1, "min_area": 3, "threshold": 0.55}
 
 
-def _soft_sql():
-    """Boxes one after the other, as each mixes into what the one before left."""
-    taps = ", ".join(f"({d}, {w!r}{_D})" for d, w in _SIG)
-    return f"""WITH RECURSIVE {_FR}, sm AS MATERIALIZED (SELECT img, par, y, x, avg(v) AS s FROM px GROUP BY ALL), {_labels_sql("sm", f"s >= {SOFT['threshold']}")},
-    b AS MATERIALIZED (SELECT img, row_number() OVER (PARTITION BY img ORDER BY label) AS k, greatest(min(y) - 1, 0) AS y1, least(max(y) + 2, h) AS y2, greatest(min(x) - 1, 0) AS x1, least(max(x) + 2, w) AS x2
-      FROM l JOIN dims USING (par) GROUP BY img, label, h, w HAVING count(*) >= {SOFT["min_area"]}),
+def _soft_sql(mask, pad, min_area, threshold, sigma):
+    """SQL after the CTEs of the pixels; ``mask`` is the body of sm (img, par, y, x, s).  Boxes come one after the other, as each mixes into what the one before left."""
+    taps = ", ".join(f"({d}, {w!r}{_D})" for d, w in R.kernel_of_sigma(sigma))
+    return f"""sm AS MATERIALIZED ({mask}), {_labels_sql("sm", f"s >= {threshold}")},
+    b AS MATERIALIZED (SELECT img, row_number() OVER (PARTITION BY img ORDER BY label) AS k, greatest(min(y) - {pad}, 0) AS y1, least(max(y) + 1 + {pad}, h) AS y2, greatest(min(x) - {pad}, 0) AS x1, least(max(x) + 1 + {pad}, w) AS x2
+      FROM l JOIN dims USING (par) GROUP BY img, label, h, w HAVING count(*) >= {min_area}),
     cell AS MATERIALIZED (SELECT b.img, b.k, p.y, p.x, p.c, y1, y2, x1, x2 FROM b JOIN px p ON p.img = b.img AND p.y >= y1 AND p.y < y2 AND p.x >= x1 AND p.x < x2),
     bx AS MATERIALIZED (SELECT e.img, e.k, e.y, e.x, e.c, e.y1, e.y2, sum(t.w * q.v) AS v FROM cell e, (VALUES {taps}) t(o, w), px q
       WHERE q.img = e.img AND q.c = e.c AND q.y = e.y AND q.x = e.x1 + {_mirror("e.x - e.x1 + t.o", "(e.x2 - e.x1)")} GROUP BY ALL),
@@ -448,12 +462,87 @@ def _labels_sql(src, on):
     l AS MATERIALIZED (SELECT o.img, o.par, o.y, o.x, CAST(m.label AS BIGINT) AS label FROM on_ o JOIN (SELECT img, p, min(q) AS label FROM cr GROUP BY ALL) m USING (img, p))"""
 
 
-@query("soft_region_blur", _soft_sql())
+@query("soft_region_blur", f"WITH RECURSIVE {_FR}, {_soft_sql('SELECT img, par, y, x, avg(v) AS s FROM px GROUP BY ALL', sigma=0.9, **SOFT)}")
 def soft_region_blur(spark, sf):
     """Around components of bright pixels, mixed by brightness in their padded boxes."""
     return shown(FR.mapped(frames(spark, sf), lambda a: K.soft_region_blur(a, a.mean(axis=2), _SIG, **SOFT)))
 
 
+FINISH = G.Finish(TOP["fov"], TOP["yaw"], TOP["pitch"], TOP["feather"], SEAM["seam"], SEAM["pad"], SEAM["ramp"], SEAM["sigma"], _SKY_DILATION, _SKY_RADIUS, _SKY_LEVELS)
+
+
+@query("finish_stage", f"""WITH {_sky_sql("sr")}, jb AS MATERIALIZED (SELECT p.img, p.par, p.y, p.x, p.c, CASE WHEN p.img % 3 = 0 THEN p.v ELSE sr.v END AS v FROM px p LEFT JOIN sr USING (img, y, x, c)
+      WHERE p.img % 3 = 0 OR sr.v IS NOT NULL), {_top_sql("jb", "tf")}, {_seam_sql("tf", "o")} {_out("o")}""")
+def finish_stage(spark, sf):
+    """Edited images finished: sky replaced by the partner's, but for every third image, then the view to the top and the seam repaired.
+
+    Images without a partner (the last one may have none) have no job, unless they are a third image.
+    """
+    df = frames(spark, sf)
+    ids = df.select("img")
+    partner = ids.select(F.col("img").alias("p"))
+    other = F.col("img") + F.when(F.col("img") % 2 == 0, 1).otherwise(-1)
+    third = F.col("img") % 3 == 0
+    jobs = ids.join(partner, other == F.col("p"), "left").where(third | F.col("p").isNotNull())
+    named = F.when(~third, F.col("p"))
+    out = G.finished(jobs.select("img", named.alias("sky"), named.alias("mask")), df, _hole(), K.fill_mean, FINISH)
+    return shown(out.where("error is null"))
+
+
+#: Stand-ins for the detectors: limit, side, what the box is moved by; least confidences; the blur.
+FIND_F = (("limit", 0.53), ("above", True), ("off", (0.5, -0.25, 0.5, 0.0)))
+FIND_LP = (("limit", 0.47), ("above", False), ("off", (0.7, 0.0, -0.6, -0.2)))
+LEAST_CONF = {"F": 0.54, "LP": 0.45}
+BLUR = G.Blur(mask_threshold=0.45, mask_feather=0.6, sigma=0.9, scope="roi", pad=1, min_area=2, roi_threshold=0.3, least_contour=1.0)
+
+
+def _found(spark, sf):
+    slots = {"F": M.Slot("bright", M.box_finder, FIND_F), "LP": M.Slot("dark", M.box_finder, FIND_LP)}
+    return G.detections(G.cube_rows(frames(spark, sf), FACE), slots, FACE, LEAST_CONF)
+
+
+def _boxes_sql(name):
+    clip = lambda f: ", ".join(
+        f"CAST(greatest(0, least({f(c)}, {FACE - (1 if c[1] == '1' else 0)})) AS INT) AS {c}" for c in ("x1", "y1", "x2", "y2"))
+    even, cut = (lambda c: f"round_even({c}, 0)"), (lambda c: f"trunc({c})")
+    box = lambda off: f"min(j) + {off[0]} AS x1, min(i) + {off[1]} AS y1, max(j) + 1 + {off[2]} AS x2, max(i) + 1 + {off[3]} AS y2, avg(v) AS conf"
+    f, lp = dict(FIND_F), dict(FIND_LP)
+    return f"""fg AS MATERIALIZED (SELECT img, par, face, i, j, avg(v) AS v FROM cube WHERE face < 4 GROUP BY ALL),
+    fb AS (SELECT img, par, face, {box(f["off"])} FROM fg WHERE v >= {f["limit"]} GROUP BY ALL), lb AS (SELECT img, par, face, {box(lp["off"])} FROM fg WHERE v <= {lp["limit"]} GROUP BY ALL),
+    {name} AS MATERIALIZED (SELECT * FROM (SELECT img, par, face, 'F' AS typ, {clip(even)}, conf FROM fb WHERE conf >= {LEAST_CONF["F"]} UNION ALL
+      SELECT img, par, face, 'LP', {clip(cut)}, conf FROM lb WHERE conf >= {LEAST_CONF["LP"]}) WHERE x2 > x1 AND y2 > y1)"""
+
+
+@query("detect_regions", f"""WITH {_FR}, {_CUBE}, {_boxes_sql("bx")} SELECT img AS image, ['F', 'R', 'B', 'L'][face + 1] AS face, typ, x1, y1, x2, y2, round(conf, {DIGITS}) AS conf FROM bx""")
+def detect_regions(spark, sf):
+    """Boxes that two stand-in detectors find on the side faces: rounded or cut by their kind, clipped, above their least confidence."""
+    return _found(spark, sf).where("error is null").select("image", "face", "typ", "x1", "y1", "x2", "y2", F.round("conf", DIGITS).alias("conf"))
+
+
+_REGION_MASK = f"""SELECT p.img, p.par, p.y, p.x, coalesce(m.v, 0) AS s FROM (SELECT DISTINCT img, par, y, x FROM px) p LEFT JOIN rf m USING (img, y, x)"""
+
+
+@query("blur_stage", f"""WITH RECURSIVE {_FR}, {_CUBE}, {_UNFOLD}, {_boxes_sql("dt")},
+    dn AS (SELECT *, row_number() OVER (ORDER BY img, face, typ, x1, y1) AS det FROM dt),
+    un AS (SELECT d.img, d.par, d.det, k.y, k.x, sum(k.w) AS v FROM dn d JOIN unfold k ON k.par = d.par AND k.face = d.face AND k.i >= d.y1 AND k.i < d.y2 AND k.j >= d.x1 AND k.j < d.x2 GROUP BY ALL),
+    rh AS MATERIALIZED (SELECT i.img, i.par, i.y, i.x, 0 AS c, CASE WHEN coalesce(max(un.v), 0) >= {BLUR.mask_threshold} THEN 1.0{_D} ELSE 0 END AS v
+      FROM (SELECT DISTINCT img, par, y, x FROM px WHERE img IN (SELECT img FROM dn)) i LEFT JOIN un USING (img, y, x) GROUP BY ALL),
+    {_conv_taps("ry", R.kernel_of_sigma(BLUR.mask_feather), _H)}, {_conv_taps("rx", R.kernel_of_sigma(BLUR.mask_feather), _W)}, {_along("rh", "rf0", "ry", "rx")},
+    rf AS (SELECT * REPLACE (greatest(0, least(1, v)) AS v) FROM rf0),
+    {_soft_sql(_REGION_MASK, BLUR.pad, BLUR.min_area, BLUR.roi_threshold, BLUR.sigma)}""")
+def blur_stage(spark, sf):
+    """From panoramas to blurred panoramas: cube faces, detectors, boxes, masks in the panorama, soft blur around their components."""
+    out = G.blurred(frames(spark, sf), _found(spark, sf), FACE, BLUR)
+    return shown(out.where("error is null").select(*FR.COLUMNS))
+
+
+@query("view_perspective", f"""WITH {_FR}, {_view_sql("vk", (90.0, 60.0), 40.0, -15.0)}
+    SELECT p.img, k.i AS y, k.j AS x, p.c, round(sum(k.w * p.v), {DIGITS}) + 0.0 AS v FROM vk k JOIN px p ON p.par = k.par AND p.y = k.qy AND p.x = k.qx GROUP BY ALL""")
+def view_perspective(spark, sf):
+    """A perspective view of each panorama, to the right and down."""
+    return shown(FR.mapped(frames(spark, sf), lambda a: sphere.view_of(a, (90.0, 60.0), 40.0, -15.0, VIEW, VIEW)))
+
+
 # Contours -----------------------------------------------------------------------------------------------------
 
 ON = 0.53
@@ -566,7 +655,7 @@ def decode_folder(spark, sf):
 def _broken(paths, folder):
     """Files that aren't images, in place of broken ones."""
     def run(batches):
-        fs, root = S.ImageFilesWriter(folder, 85, False).place()
+        fs, root = S.located(folder)
         for b in batches:
             for p in b["path"].to_pylist():
                 with fs.open_output_stream(f"{root}/{p}") as out:

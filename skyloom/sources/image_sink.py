@@ -49,6 +49,13 @@ def file_of(path: str, a: np.ndarray, quality: int) -> bytes:
     raise ValueError(f"can't write {path}: only .jpg, .jpeg and .png")
 
 
+def located(folder: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a folder's URI or path, and the folder in it."""
+    if folder.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + folder[5:].lstrip("/")
+    return pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), folder)
+
+
 @dataclass
 class Written(WriterCommitMessage):
     """The staging folder of a task that has ended."""
@@ -60,14 +67,8 @@ class ImageFilesWriter(DataSourceWriter):
     def __init__(self, folder: str, quality: int, overwrite: bool):
         self.folder, self.quality, self.overwrite, self.job = folder, quality, overwrite, uuid.uuid4().hex
 
-    def place(self) -> tuple[pafs.FileSystem, str]:
-        """The file system and the folder in it."""
-        if self.folder.startswith("file:"):
-            return pafs.LocalFileSystem(), "/" + self.folder[5:].lstrip("/")
-        return pafs.FileSystem.from_uri(self.folder) if "://" in self.folder else (pafs.LocalFileSystem(), self.folder)
-
     def write(self, iterator: Iterator[Row]) -> Written:
-        fs, root = self.place()
+        fs, root = located(self.folder)
         mine = f"{root}/{STAGING}/{self.job}/{uuid.uuid4().hex}"
         fs.create_dir(mine)
         made = set()
@@ -89,7 +90,7 @@ class ImageFilesWriter(DataSourceWriter):
 
     def commit(self, messages: list[Written | None]) -> None:
         """One rename a file; running it again after a crash of the driver starts from new staging folders."""
-        fs, root = self.place()
+        fs, root = located(self.folder)
         new = set()
         for m in messages:
             for f in self._files(fs, m.folder) if m else []:
@@ -104,7 +105,7 @@ class ImageFilesWriter(DataSourceWriter):
         self._clear(fs, root)
 
     def abort(self, messages: list[Written | None]) -> None:
-        self._clear(*self.place())
+        self._clear(*located(self.folder))
 
     def _clear(self, fs: pafs.FileSystem, root: str) -> None:
         fs.delete_dir(f"{root}/{STAGING}/{self.job}")
