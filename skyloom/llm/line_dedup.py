@@ -126,10 +126,16 @@ def buckets(n_shared: int, n_shards: int = N_SHARDS) -> int:
 
 
 def build_filters(shared: DataFrame, n_shared: int, n_shards: int = N_SHARDS) -> tuple[DataFrame, int]:
-    """(shard, data) for the keys of ``shared``, and the number of buckets of each."""
+    """(shard, data) for the keys of ``shared``, and the number of buckets of each.
+
+    Keys are counted by shard first: those of a shard that can't hold them go nowhere.  So a task gets no more keys
+    than a shard of the budget has slots, whatever their number.
+    """
     n_buckets = buckets(n_shared, n_shards)
     rows = shared.select("key", _shard(n_shards).alias("shard"))
-    return rows.groupBy("shard").applyInArrow(_build(n_buckets), "shard int, data binary"), n_buckets
+    full = rows.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > n_buckets * SLOTS * LOAD).select("shard")  # n_shards rows at most
+    built = rows.join(F.broadcast(full), "shard", "left_anti").groupBy("shard").applyInArrow(_build(n_buckets), "shard int, data binary")
+    return built.unionByName(full.select("shard", F.lit(b"").alias("data"))), n_buckets
 
 
 def _revise(n_buckets: int):
@@ -165,7 +171,8 @@ def revise_filters(
     # an empty shard needs no row
     filters = filters.join(F.broadcast(fits.where("not again")), "shard", "left_anti")
     crossed = both.join(F.broadcast(fits), "shard", "left").withColumn("again", F.coalesce(F.col("again") & F.col("up"), F.lit(False)))
-    crossed = crossed.where("was != up or again").select("key", "up", "again", "shard")
+    still_full = full.join(fits, "shard", "left_anti")  # its keys aren't needed
+    crossed = crossed.where("was != up or again").join(F.broadcast(still_full), "shard", "left_anti").select("key", "up", "again", "shard")
     return filters.groupBy("shard").cogroup(crossed.groupBy("shard")).applyInArrow(_revise(n_buckets), "shard int, data binary")
 
 
