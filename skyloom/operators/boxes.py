@@ -20,6 +20,14 @@ def clipped(boxes: DataFrame, w: int, h: int, rounding: bool) -> DataFrame:
     return boxes.select(*rest, *_clip(*corners, w, h)).where("x2 > x1 AND y2 > y1")
 
 
+def confident(boxes: DataFrame, least: dict[str, float]) -> DataFrame:
+    """Boxes whose confidence reaches the least of their kind (typ); kinds without one go."""
+    bound = F.when(F.lit(False), F.lit(None).cast("double"))
+    for typ, v in least.items():
+        bound = bound.when(F.col("typ") == typ, F.lit(v))
+    return boxes.where(F.col("conf") >= bound)
+
+
 def per_image(boxes: DataFrame) -> DataFrame:
     return boxes.groupBy("image").agg(
         F.count_if(F.col("typ") == "F").alias("face_boxes"), F.count_if(F.col("typ") == "LP").alias("lp_boxes"),

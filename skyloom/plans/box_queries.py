@@ -65,10 +65,13 @@ def box_clip_lp(spark, sf):
     return plates(spark, sf)
 
 
-@query("box_conf_filter", f"WITH {_DET} SELECT image, l_linenumber, typ, conf FROM d WHERE conf >= CASE typ WHEN 'F' THEN 0.4 ELSE 0.5 END")
+#: Least confidence by the kind of box.
+LEAST_CONF = {"F": 0.4, "LP": 0.4}
+
+
+@query("box_conf_filter", f"WITH {_DET} SELECT image, l_linenumber, typ, conf FROM d WHERE conf >= CASE typ WHEN 'F' THEN {LEAST_CONF['F']} ELSE {LEAST_CONF['LP']} END")
 def box_conf_filter(spark, sf):
-    least = F.when(F.col("typ") == "F", 0.4).otherwise(0.5)
-    return detections(spark, sf).where(F.col("conf") >= least).select("image", "l_linenumber", "typ", "conf")
+    return B.confident(detections(spark, sf), LEAST_CONF).select("image", "l_linenumber", "typ", "conf")
 
 
 @query("detections_union", f"WITH {_ALL} SELECT {_COLS} FROM u")

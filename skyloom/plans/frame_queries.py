@@ -305,6 +305,18 @@ def _resized(spark, sf, how):
     return shown(FR.mapped(frames(spark, sf), kernel))
 
 
+@query("image_to_mask", f"WITH {_FR} SELECT img, y, x, round(v, {DIGITS}) + 0.0 AS v FROM px WHERE c = 1")
+def image_to_mask(spark, sf):
+    """The green channel of each frame, as the node of a workflow gives it."""
+    return shown(FR.mapped(frames(spark, sf), lambda a: W.KERNELS["ImageToMask"](image=a, channel="green"))).drop("c")
+
+
+@query("mask_to_image", f"WITH {_FR}, m AS (SELECT img, y, x, avg(v) AS v FROM px GROUP BY ALL) SELECT img, y, x, CAST(c AS INT) AS c, round(1 - v, {DIGITS}) + 0.0 AS v FROM m, range(3) t(c)")
+def mask_to_image(spark, sf):
+    """The reverse of each frame's mean of channels, as a mask in three channels."""
+    return shown(FR.mapped(frames(spark, sf), lambda a: W.KERNELS["MaskToImage"](mask=W.KERNELS["InvertMask"](mask=a.mean(axis=2)))))
+
+
 @query("resize_area", _resize_sql("area"))
 def resize_area(spark, sf):
     """In their shapes within 7 x 11, down to multiples of 3: 3 x 9 of both sizes, by the overlap of pixels."""

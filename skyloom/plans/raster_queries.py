@@ -482,19 +482,6 @@ def resize_lanczos(spark, sf):
     return shown(whole(spark, sf, lambda a: [K.lanczos(a, 12, 12)]))
 
 
-@query("image_to_mask", f"WITH {_PX} SELECT img, y, CAST(x // 4 AS INT) AS x, round(v, 6) + 0.0 AS v FROM px WHERE x % 4 = 1")
-def image_to_mask(spark, sf):
-    """One channel of an image of four: every fourth column stands for it."""
-    return shown(whole(spark, sf, lambda a: [a[:, 1::4]]))
-
-
-@query("mask_to_image", f"WITH {_PX} SELECT img, CAST(c AS INT) AS c, y, x, round(v, 6) + 0.0 AS v FROM px, range(3) t(c)")
-def mask_to_image(spark, sf):
-    """A mask in three equal channels."""
-    out = whole(spark, sf, lambda a: [a, a, a])
-    return out.select("img", F.col("level").alias("c"), "y", "x", (F.round("v", DIGITS) + 0.0).alias("v"))
-
-
 @query("empty_image", "SELECT p_partkey AS img, CAST(c AS INT) AS c, CAST((p_size * 5127 >> (16 - 8 * c)) & 255 AS INT) AS u8, p_size * (p_size + 2) AS n FROM part, range(3) t(c)")
 def empty_image(spark, sf):
     """Images of one colour (0xRRGGBB), size x (size + 2): a value and a number of pixels for each channel."""
