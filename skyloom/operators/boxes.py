@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scaling import PREFERRED
+
 
 def _clip(x1: Column, y1: Column, x2: Column, y2: Column, w: int, h: int) -> list[Column]:
     low = lambda v, n: F.greatest(F.lit(0), F.least(v, F.lit(n - 1)))
@@ -71,6 +73,18 @@ def tile_windows(dims: DataFrame, rows: int, cols: int, ratio: float, px: int) -
     return grid.select(*rest, (F.col("r") * cols + F.col("c")).alias("i"), x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
 
 
+def preferred_crop(dims: DataFrame) -> DataFrame:
+    """(id, x0, y0, cw, ch, tw, th) of images (id, w, h): the middle that is resized to the preferred size of the nearest shape."""
+    sizes = F.array(*[F.struct(F.lit(w).alias("tw"), F.lit(h).alias("th")) for w, h in PREFERRED])
+    shape = F.col("w") / F.col("h")
+    near = F.array_min(F.transform(sizes, lambda s: F.struct(F.abs(shape - s["tw"] / s["th"]).alias("d"), s["tw"].alias("tw"), s["th"].alias("th"))))
+    d = dims.withColumn("s", near).select("*", "s.tw", "s.th")
+    wide = F.col("w") * F.col("th") > F.col("tw") * F.col("h")
+    x0 = F.when(wide, F.bround((F.col("w") - F.col("h") * F.col("tw") / F.col("th")) / 2)).otherwise(0).cast("int")
+    y0 = F.when(wide, 0).otherwise(F.bround((F.col("h") - F.col("w") * F.col("th") / F.col("tw")) / 2)).cast("int")
+    return d.select("id", x0.alias("x0"), y0.alias("y0"), (F.col("w") - 2 * x0).cast("int").alias("cw"), (F.col("h") - 2 * y0).cast("int").alias("ch"), "tw", "th")
+
+
 def labels(boxes: DataFrame) -> DataFrame:
     """With the text that an annotation shows."""
     return boxes.withColumn("label", F.format_string("%s %.2f", "typ", "conf"))

@@ -82,6 +82,7 @@ KERNELS: dict[str, Callable[..., Any]] = {
     "EmptyImage": _empty, "ImageCrop": _crop, "ImageResize+": _resize, "ResizeAndPadImage": _boxed, "ImageCompositeMasked": _composite,
     "ImageToMask": lambda image, channel="red": image[..., min(_CHANNELS.index(channel), image.shape[2] - 1)],
     "MaskToImage": lambda mask: np.repeat(_mask(mask)[..., None], 3, axis=2), "InvertMask": lambda mask: 1 - mask,
+    "FluxKontextImageScale": lambda image: scaling.scaled_to_preferred(image),
     "ImageTile": lambda image, columns, rows: np.tile(image, (rows, columns, 1)), "Equirectangular to Perspective": _view,
     "Perspective to Equirectangular": lambda perspective, equi_base, fov_w, fov_h, u_deg, v_deg, feather: sphere.patched(
         equi_base, perspective, (fov_w, fov_h), u_deg, v_deg, feather),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions.scaling import PREFERRED
 from ..operators import boxes as B
 from .base import query, table
 
@@ -176,6 +177,16 @@ def aspect_crop_box(spark, sf):
     return B.aspect_crop(d)
 
 
+@query("preferred_crop", f"""WITH d AS (SELECT p_partkey AS id, 400 + p_size * 37 AS w, 300 + CAST(p_partkey % 900 AS INT) AS h FROM part),
+    s(tw, th) AS (VALUES {", ".join(map(str, PREFERRED))}),
+    n AS (SELECT id, w, h, tw, th FROM d, s QUALIFY row_number() OVER (PARTITION BY id ORDER BY abs(w::DOUBLE / h - tw::DOUBLE / th), tw) = 1),
+    c AS (SELECT *, CASE WHEN w * th > tw * h THEN CAST(round_even((w - h * tw::DOUBLE / th) / 2, 0) AS INT) ELSE 0 END AS x0, CASE WHEN w * th > tw * h THEN 0 ELSE CAST(round_even((h - w * th::DOUBLE / tw) / 2, 0) AS INT) END AS y0 FROM n)
+    SELECT id, x0, y0, CAST(w - 2 * x0 AS INT) AS cw, CAST(h - 2 * y0 AS INT) AS ch, tw, th FROM c""")
+def preferred_crop(spark, sf):
+    """The middle of each image that is resized to the size that an editing model prefers for its shape."""
+    return B.preferred_crop(table(spark, sf, "part").selectExpr("p_partkey AS id", "400 + p_size * 37 AS w", "int(300 + p_partkey % 900) AS h"))
+
+
 @query("top1_component", f"""WITH {_ALL}, r AS (SELECT *, row_number() OVER (PARTITION BY image ORDER BY (x2 - x1) * (y2 - y1) DESC, l_linenumber) AS n FROM u)
     SELECT image, l_linenumber, (x2 - x1) * (y2 - y1) AS area FROM r WHERE n = 1""")
 def top1_component(spark, sf):

@@ -154,6 +154,18 @@ def test_size_rules():
             size(1, 1, 1, 1, **bad)
 
 
+def test_preferred_sizes():
+    assert scaling.preferred_size(100, 100) == (1024, 1024) and scaling.preferred_size(100, 1000) == (672, 1568) and scaling.preferred_size(1000, 10) == (1568, 672)
+    for h, w in ((100, 200), (200, 100), (333, 333), (90, 101)):
+        th, tw = scaling.preferred_size(h, w)
+        assert all(abs(w / h - tw / th) <= abs(w / h - a / b) for a, b in scaling.PREFERRED)
+        y, x = scaling.middle(h, w, th, tw)
+        assert min(x, y) == 0 and abs((w - 2 * x) / (h - 2 * y) - tw / th) < 0.03
+    out = scaling.scaled_to_preferred(smooth(60, 120))
+    assert out.shape == (752, 1392, 3) or out.shape[:2] == scaling.preferred_size(60, 120)
+    assert W.KERNELS["FluxKontextImageScale"](image=np.full((8, 8, 3), 0.5)).shape == (1024, 1024, 3)
+
+
 def test_padding_and_back():
     a = RNG(5).random((5, 8, 3))
     for mode, other in (("edge", "edge"), ("reflect", "reflect"), ("zero", "constant")):
