@@ -131,11 +131,11 @@ def negatives_of(anchors: np.ndarray, alive: np.ndarray, x: list, ids: np.ndarra
 
 
 def _matrix(column, d: int) -> np.ndarray:
-    """Vectors (array<bigint>) as a matrix whose products fit 64 bits and are exact in doubles."""
-    x = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+    """Vectors of whole numbers as a matrix whose products fit 64 bits and are exact in doubles."""
+    x = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, d).astype(np.int64)
     if len(x) and d * int(np.abs(x).max()) ** 2 >= 1 << 61 or len(x) and d * int(np.abs(x).max()) >= 1 << 52:
         raise ValueError("components are too large for exact 64-bit scores")
-    return x.astype(np.int64)
+    return x
 
 
 def _sorted_block(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -232,10 +232,13 @@ def hard_negatives(
     base = base.where("id is not null and label is not null and x is not null")
     base = base.groupBy("id").agg(F.min(F.struct("label", "x")).alias("row")).select("id", "row.label", "row.x")
     base = C.stored(base)
-    anchors = base.where(anchor(F.col("id")))
-    n, shortest, longest = base.agg(F.count("*"), F.min(F.size("x")), F.max(F.size("x"))).first()
+    largest = F.max(F.greatest(F.array_max("x"), -F.array_min("x")))
+    n, shortest, longest, largest = base.agg(F.count("*"), F.min(F.size("x")), F.max(F.size("x")), largest).first()
     if shortest != longest:
         raise ValueError(f"vectors have {shortest} to {longest} entries")
+    if n and largest < 1 << 15:  # a quarter of the bytes for all exchanges
+        base = base.withColumn("x", F.col("x").cast("array<smallint>"))
+    anchors = base.where(anchor(F.col("id")))
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     nr = max(-(-n // block_rows), min(tasks, n // LEAST_ROWS), 1)
     na = max(-(-anchors.count() // block_anchors), 1)
