@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import contours, sky, sphere
+from ..functions import contours, scaling, sky, sphere
 from ..functions import kernels as K
 from . import boxes as B
 from . import frames as FR
@@ -198,3 +198,79 @@ def _some(b: pa.RecordBatch, suffix: str) -> list[np.ndarray | None]:
     """Frames of a batch, None where there is none."""
     shapes = zip(*[b[f"{c}{suffix}"].to_pylist() for c in ("h", "w", "c")], strict=True)
     return [None if d.as_py() is None else np.array(d.as_py()).reshape(s) for d, s in zip(b[f"data{suffix}"], shapes, strict=True)]
+
+
+@dataclass(frozen=True)
+class Tiles:
+    """How panoramas are cut for a segmentation model: see ``tiled_masks``."""
+
+    height: int = 1000
+    width: int = 2000
+    rows: int = 1
+    cols: int = 2
+    ratio: float = 0.0
+    more_x: int = 30
+    more_y: int = 0
+    pad: int = 20
+    dilation: int = 3
+    square: bool = True
+
+
+def tiled_masks(frames: DataFrame, whole: M.Slot, spots: M.Slot, how: Tiles = Tiles()) -> DataFrame:
+    """(img, h, w, c, data, error): the mask of each panorama, from two models that see its tiles.
+
+    Panoramas are resized (sides of 0 keep them), their edges repeated up to whole tiles, and cut into tiles that overlap; each is a
+    row, with ``pad`` black pixels around it, so the tiles of an image may be in several tasks.  A tile's mask
+    is the larger of the two models', that of ``spots`` grown by ``dilation``; where tiles overlap the
+    larger counts.  The rows * cols masks of an image meet again.  With ``square`` the mask lies in the middle of
+    a square.  An image with a tile on which a model fails has an error and no mask.
+    """
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, out, more = [], [], []
+            for img, a in zip(b["img"].to_pylist(), FR.arrays(b), strict=True):
+                if how.height > 0 and how.width > 0:
+                    a = np.clip(scaling.resized(a, how.height, how.width, "lanczos"), 0, 1)
+                h, w = a.shape[:2]
+                a = scaling.padded(a, 0, -h % how.rows, 0, -w % how.cols, "edge")
+                for y1, y2 in scaling.windows(a.shape[0], how.rows, how.ratio, how.more_y):
+                    for x1, x2 in scaling.windows(a.shape[1], how.cols, how.ratio, how.more_x):
+                        ids.append(img)
+                        out.append(scaling.padded(a[y1:y2, x1:x2], how.pad, how.pad, how.pad, how.pad, "zero"))
+                        more.append((y1, x1, h, w))
+            names = ("top", "left", "height", "width")
+            yield FR.batch_of(ids, out, {n: pa.array([m[k] for m in more], pa.int32()) for k, n in enumerate(names)})
+
+    def model(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            tiles = FR.arrays(b)
+            out, errors = [], []
+            for (sky_, e1), (spot, e2) in zip(whole.results(tiles), spots.results(tiles), strict=True):
+                errors.append(e1 or e2)
+                if errors[-1]:
+                    out.append(np.empty((0, 0)))
+                    continue
+                mask = np.maximum(sky_, K.extreme(spot, how.dilation) if how.dilation else spot)
+                out.append(scaling.unpadded(mask, how.pad, how.pad, how.pad, how.pad))
+            yield FR.batch_of(b["img"].to_pylist(), out, {**{n: b[n] for n in ("top", "left", "height", "width")}, "error": pa.array(errors, pa.string())})
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for row in b.select(["tiles", "error"]).to_pylist():
+                if row["error"] is not None:
+                    out.append(np.empty((0, 0)))
+                    continue
+                h, w = row["tiles"][0]["height"], row["tiles"][0]["width"]
+                mask = np.zeros((h + -h % how.rows, w + -w % how.cols))
+                for t in row["tiles"]:
+                    part = mask[t["top"] : t["top"] + t["h"], t["left"] : t["left"] + t["w"]]
+                    np.maximum(part, np.array(t["data"]).reshape(t["h"], t["w"]), out=part)
+                mask = np.clip(mask[:h, :w], 0, 1)
+                out.append(scaling.padded(mask, *scaling.to_square(h, w), "zero") if how.square else mask)
+            yield FR.batch_of(b["img"].to_pylist(), out, {"error": b["error"]})
+
+    place = "top int, left int, height int, width int"
+    tiles = frames.select(*FR.COLUMNS).mapInArrow(cut, f"{FR.FRAME}, {place}").mapInArrow(model, f"{FR.FRAME}, {place}, error string")
+    by_image = tiles.groupBy("img").agg(F.sort_array(F.collect_list(F.struct("top", "left", "h", "w", "height", "width", "data"))).alias("tiles"), F.min("error").alias("error"))
+    return by_image.mapInArrow(join, f"{FR.FRAME}, error string")

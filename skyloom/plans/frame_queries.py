@@ -548,6 +548,25 @@ def blur_stage(spark, sf):
     return shown(out.where("error is null").select(*FR.COLUMNS))
 
 
+TILES = G.Tiles(height=0, width=0, rows=1, cols=3, ratio=0.1, more_x=1, more_y=0, pad=1, dilation=1)
+
+
+@query("tiled_masks", f"""WITH {_FR}, sm AS MATERIALIZED (SELECT img, par, y, x, avg(v) AS s FROM px GROUP BY ALL),
+    gw AS (SELECT par, h, w, w + (3 - w % 3) % 3 AS pw FROM dims), ts AS (SELECT *, pw // 3 AS size, least(pw // 3 // 2, CAST(floor(pw // 3 * 0.1{_D}) AS INT) + 1) AS over FROM gw),
+    tw AS (SELECT par, h, w, k, least(pw, k * size - CASE WHEN k > 0 THEN over ELSE 0 END + size + over) AS x2, size + over AS len FROM ts, range(3) t(k)),
+    tp AS MATERIALIZED (SELECT s.img, t.par, t.k, t.h, t.w, s.y, x2 - len + i AS x, s.s FROM tw t JOIN range(64) o(i) ON i < len JOIN sm s ON s.par = t.par AND s.x = least(x2 - len + i, t.w - 1)),
+    tm AS (SELECT a.img, a.par, a.h, a.w, a.k, a.y, a.x, greatest(max(b.s), max(CASE WHEN b.s >= 0.6 THEN 1.0{_D} ELSE 0 END)) AS v FROM tp a JOIN tp b ON b.img = a.img AND b.k = a.k AND abs(b.y - a.y) <= 1 AND abs(b.x - a.x) <= 1 GROUP BY ALL),
+    o AS (SELECT img, h, w, y, x, max(v) AS v FROM tm WHERE x < w GROUP BY ALL)
+    SELECT i.img, CAST(a.y AS INT) AS y, CAST(b.x AS INT) AS x, CAST(floor(round(coalesce(o.v, 0), 6) * 255) AS INT) AS u8 FROM (SELECT DISTINCT img, h, w FROM o) i, range(64) a(y), range(64) b(x)
+    LEFT JOIN o ON o.img = i.img AND o.y = a.y - (greatest(i.h, i.w) - i.h) // 2 AND o.x = b.x - (greatest(i.h, i.w) - i.w) // 2 WHERE a.y < greatest(i.h, i.w) AND b.x < greatest(i.h, i.w)""")
+def tiled_masks(spark, sf):
+    """Masks of whole panoramas from two stand-in models over three overlapping tiles each, in the middle of a square."""
+    whole = M.Slot("spread", M.spread_brightness, (("reach", 1),))
+    spots = M.Slot("brightness", M.brightness_mask, (("sensitivity", 0.6), ("least_rows", 1)))
+    out = G.tiled_masks(frames(spark, sf), whole, spots, TILES)
+    return shown(out.where("error is null").select(*FR.COLUMNS)).select("img", "y", "x", F.floor(F.col("v") * 255).cast("int").alias("u8"))
+
+
 @query("view_perspective", f"""WITH {_FR}, {_view_sql("vk", (90.0, 60.0), 40.0, -15.0)}
     SELECT p.img, k.i AS y, k.j AS x, p.c, round(sum(k.w * p.v), {DIGITS}) + 0.0 AS v FROM vk k JOIN px p ON p.par = k.par AND p.y = k.qy AND p.x = k.qx GROUP BY ALL""")
 def view_perspective(spark, sf):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from skyloom.functions import kernels as K
 from skyloom.functions import scalars as S
-from skyloom.functions import sphere
+from skyloom.functions import scaling, sphere
 from skyloom.operators import boxes as B
 from skyloom.operators import frames as FR
 from skyloom.operators import models as M
@@ -108,6 +108,42 @@ def test_images_with_errors_are_not_given_out(spark):
     assert r.error == "RuntimeError: no weights" and not r.data
 
 
+def test_windows_cover_the_side():
+    assert scaling.windows(2000, 2, 0.0, 30) == [(0, 1030), (970, 2000)] and scaling.windows(1000, 1, 0.5, 10) == [(0, 1000)]
+    for n, parts, ratio, more in ((9, 3, 0.1, 1), (33, 3, 0.4, 0), (8, 4, 0.0, 9), (5, 5, 0.9, 2)):
+        w = scaling.windows(n, parts, ratio, more)
+        assert len({b - a for a, b in w}) == 1 and w[0][0] == 0 and w[-1][1] == n and {i for a, b in w for i in range(a, b)} == set(range(n))
+
+
+def test_tiled_masks(spark):
+    """Against one loop over tiles; a tile on which a model fails leaves its image without a mask."""
+    a = {1: RNG(1).random((7, 17, 3)), 2: RNG(2).random((5, 8, 3))}
+    whole, spots = M.Slot("t-spread", M.spread_brightness, (("reach", 1),)), M.Slot("t-spots", M.brightness_mask, (("sensitivity", 0.7),))
+    for how in (G.Tiles(0, 0, 2, 3, 0.2, 1, 1, 2, 1), G.Tiles(6, 12, 1, 2, 0.0, 2, 0, 0, 0, square=False)):
+        got = {r.img: np.array(r.data).reshape(r.h, r.w) for r in G.tiled_masks(frame_rows(spark, a), whole, spots, how).collect()}
+        for i, v in a.items():
+            if how.height:
+                v = np.clip(scaling.resized(v, 6, 12, "lanczos"), 0, 1)
+            h, w = v.shape[:2]
+            grid = np.pad(v, ((0, -h % how.rows), (0, -w % how.cols), (0, 0)), "edge").mean(axis=2)
+            mask = np.zeros(grid.shape)
+            for y1, y2 in scaling.windows(grid.shape[0], how.rows, how.ratio, how.more_y):
+                for x1, x2 in scaling.windows(grid.shape[1], how.cols, how.ratio, how.more_x):
+                    for y in range(y1, y2):
+                        for x in range(x1, x2):
+                            near = grid[max(y1, y - 1) : min(y2, y + 2), max(x1, x - 1) : min(x2, x + 2)]
+                            hot = near if how.dilation else grid[y : y + 1, x : x + 1]
+                            mask[y, x] = max(mask[y, x], near.max(), float((hot >= 0.7).any()))
+            mask = mask[:h, :w]
+            side = max(h, w)
+            want = np.zeros((side, side)) if how.square else mask
+            if how.square:
+                want[(side - h) // 2 : (side - h) // 2 + h, (side - w) // 2 : (side - w) // 2 + w] = mask
+            assert np.allclose(got[i], want)
+    rows = G.tiled_masks(frame_rows(spark, a), whole, M.Slot("t-refuse2", _refusing), G.Tiles(0, 0)).collect()
+    assert {(r.img, r.error, r.h) for r in rows} == {(i, "RuntimeError: no weights", 0) for i in a}
+
+
 def test_finished(spark):
     a = {i: RNG(i).random((12, 24, 3)) for i in range(4)}
     hole = np.zeros((6, 6), bool)
