@@ -274,3 +274,43 @@ def tiled_masks(frames: DataFrame, whole: M.Slot, spots: M.Slot, how: Tiles = Ti
     tiles = frames.select(*FR.COLUMNS).mapInArrow(cut, f"{FR.FRAME}, {place}").mapInArrow(model, f"{FR.FRAME}, {place}, error string")
     by_image = tiles.groupBy("img").agg(F.sort_array(F.collect_list(F.struct("top", "left", "h", "w", "height", "width", "data"))).alias("tiles"), F.min("error").alias("error"))
     return by_image.mapInArrow(join, f"{FR.FRAME}, error string")
+
+
+def anonymized_frame(a: np.ndarray, boxes: list[tuple[int, int, int, int]], mode: str, strength: float = 0.5, factor: int = 10) -> np.ndarray:
+    """A frame with its boxes (x1, y1, x2, y2) made unreadable, one after the other, each on what is there so far.
+
+    soft: a blur as wide as ``strength`` of the box's shorter side.  pixelate: cells of about ``factor`` pixels, each
+    its mean; boxes of a single row or column stay.
+    """
+    if mode not in ("soft", "pixelate"):
+        raise ValueError(f"unknown mode: {mode}")
+    out = a.copy()
+    for x1, y1, x2, y2 in boxes:
+        part = out[y1:y2, x1:x2]
+        h, w = part.shape[:2]
+        if not h or not w:
+            continue
+        if mode == "soft":
+            part[:] = K.convolve(part.copy(), K.soft_kernel(h, w, strength))
+        elif h > 1 and w > 1:
+            small = scaling.resized(part, max(1, h // factor), max(1, w // factor), "area")
+            part[:] = small[np.arange(h) * small.shape[0] // h][:, np.arange(w) * small.shape[1] // w]
+    return out
+
+
+def anonymized(frames: DataFrame, boxes: DataFrame, mode: str, strength: float = 0.5, factor: int = 10) -> DataFrame:
+    """Frames with their boxes (image, x1, y1, x2, y2 within the frame, conf, typ) made unreadable: faces first, then better ones first.
+
+    A frame without boxes stays as it is.
+    """
+    order = F.struct(F.when(F.col("typ") == "F", 0).otherwise(1).alias("o"), (-F.col("conf")).alias("c"), "x1", "y1", "x2", "y2")
+    by_image = boxes.groupBy("image").agg(F.sort_array(F.collect_list(order)).alias("boxes"))
+    joined = frames.select(*FR.COLUMNS).join(by_image, frames["img"] == by_image["image"], "left").drop("image")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = [anonymized_frame(a, [(r["x1"], r["y1"], r["x2"], r["y2"]) for r in found or ()], mode, strength, factor)
+                   for a, found in zip(FR.arrays(b), b["boxes"].to_pylist(), strict=True)]
+            yield FR.batch_of(b["img"].to_pylist(), out)
+
+    return joined.mapInArrow(run, FR.FRAME)

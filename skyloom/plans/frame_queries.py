@@ -548,6 +548,44 @@ def blur_stage(spark, sf):
     return shown(out.where("error is null").select(*FR.COLUMNS))
 
 
+def _two_boxes(df):
+    """A face in the left and a plate in the right half of each frame, of sizes that follow its number."""
+    i, h = F.col("img"), F.col("h")
+    box = lambda typ, x1, y1, x2, y2: F.struct(F.lit(typ).alias("typ"), *[c.cast("int").alias(n) for c, n in ((x1, "x1"), (y1, "y1"), (x2, "x2"), (y2, "y2"))])
+    both = F.array(box("F", i % 3, i % 2, 5 + i % 4, h - i % 3), box("LP", 9 + i % 4, F.lit(0), 14 + i % 3, 2 + i % 3))
+    return df.select(i.alias("image"), F.explode(both).alias("b")).select("image", "b.*", F.lit(0.5).alias("conf"))
+
+
+_TWO_BOXES = """bx AS (SELECT img, par, typ, CAST(x1 AS INT) AS x1, CAST(y1 AS INT) AS y1, CAST(x2 AS INT) AS x2, CAST(y2 AS INT) AS y2, CAST(x2 - x1 AS INT) AS w, CAST(y2 - y1 AS INT) AS h FROM (
+      SELECT img, par, 'F' AS typ, img % 3 AS x1, img % 2 AS y1, 5 + img % 4 AS x2, h - img % 3 AS y2 FROM (SELECT DISTINCT img, par FROM px) JOIN dims USING (par)
+      UNION ALL SELECT img, par, 'LP', 9 + img % 4, 0, 14 + img % 3, 2 + img % 3 FROM (SELECT DISTINCT img, par FROM px))),
+    bp AS MATERIALIZED (SELECT b.img, b.typ, b.h, b.w, CAST(p.y - y1 AS INT) AS y, CAST(p.x - x1 AS INT) AS x, p.c, p.v, y1, x1 FROM bx b JOIN px p ON p.img = b.img AND p.y >= y1 AND p.y < y2 AND p.x >= x1 AND p.x < x2)"""
+_BOXED_OUT = f"SELECT p.img, p.y, p.x, p.c, round(coalesce(o.v, p.v), {DIGITS}) + 0.0 AS v FROM px p LEFT JOIN o ON o.img = p.img AND o.y = p.y AND o.x = p.x AND o.c = p.c"
+
+
+@query("anonymize_soft", f"""WITH {_FR}, {_TWO_BOXES}, kw AS (SELECT DISTINCT h, w, greatest(3, CAST(floor(least(h, w) * 0.8{_D}) AS INT)) AS k FROM bp),
+    kr AS (SELECT h, w, (CASE k % 2 WHEN 0 THEN k + 1 ELSE k END) // 2 AS r FROM kw), kt AS (SELECT h, w, o, exp(-(o * o) / (2 * power(0.3{_D} * (r - 1) + 0.8{_D}, 2))) AS e FROM kr, range(-20, 21) t(o) WHERE abs(o) <= r),
+    kn AS MATERIALIZED (SELECT h, w, CAST(o AS INT) AS o, e / sum(e) OVER (PARTITION BY h, w) AS e FROM kt),
+    ox AS MATERIALIZED (SELECT a.img, a.typ, a.h, a.w, a.y, a.x, a.c, a.y1, a.x1, sum(k.e * q.v) AS v FROM bp a JOIN kn k ON k.h = a.h AND k.w = a.w JOIN bp q ON q.img = a.img AND q.typ = a.typ AND q.c = a.c AND q.y = a.y AND q.x = {_mirror("a.x + k.o", "a.w")} GROUP BY ALL),
+    o AS (SELECT a.img, a.y + a.y1 AS y, a.x + a.x1 AS x, a.c, sum(k.e * q.v) AS v FROM ox a JOIN kn k ON k.h = a.h AND k.w = a.w JOIN ox q ON q.img = a.img AND q.typ = a.typ AND q.c = a.c AND q.x = a.x AND q.y = {_mirror("a.y + k.o", "a.h")} GROUP BY ALL)
+    {_BOXED_OUT}""")
+def anonymize_soft(spark, sf):
+    """Two boxes of each frame blurred by a share of their sizes."""
+    df = frames(spark, sf)
+    return shown(G.anonymized(df, _two_boxes(df), "soft", strength=0.8))
+
+
+@query("anonymize_pixelate", f"""WITH {_FR}, {_TWO_BOXES}, d AS (SELECT *, greatest(1, h // 2) AS sh, greatest(1, w // 2) AS sw FROM bp),
+    sm AS MATERIALIZED (SELECT img, typ, c, j, i, sum(v * greatest(0, least((j + 1) * h{_D} / sh, y + 1) - greatest(j * h{_D} / sh, y)) * greatest(0, least((i + 1) * w{_D} / sw, x + 1) - greatest(i * w{_D} / sw, x))) * sh * sw / (h * w) AS v
+      FROM d, range(16) a(j), range(16) b(i) WHERE j < sh AND i < sw GROUP BY img, typ, c, j, i, h, w, sh, sw),
+    o AS (SELECT d.img, d.y + y1 AS y, d.x + x1 AS x, d.c, CASE WHEN d.h > 1 AND d.w > 1 THEN s.v ELSE d.v END AS v FROM d JOIN sm s ON s.img = d.img AND s.typ = d.typ AND s.c = d.c AND s.j = d.y * sh // d.h AND s.i = d.x * sw // d.w)
+    {_BOXED_OUT}""")
+def anonymize_pixelate(spark, sf):
+    """Two boxes of each frame in cells of about two pixels."""
+    df = frames(spark, sf)
+    return shown(G.anonymized(df, _two_boxes(df), "pixelate", factor=2))
+
+
 TILES = G.Tiles(height=0, width=0, rows=1, cols=3, ratio=0.1, more_x=1, more_y=0, pad=1, dilation=1)
 
 

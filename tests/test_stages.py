@@ -108,6 +108,24 @@ def test_images_with_errors_are_not_given_out(spark):
     assert r.error == "RuntimeError: no weights" and not r.data
 
 
+def test_anonymized(spark):
+    a = {1: RNG(1).random((9, 12, 3)), 2: RNG(2).random((9, 12, 3))}
+    boxes = spark.createDataFrame([(1, 2, 1, 8, 7, 0.9, "LP"), (1, 4, 3, 12, 9, 0.5, "F"), (1, 0, 0, 1, 5, 0.4, "LP"), (1, 3, 3, 3, 9, 0.3, "LP")], "image long, x1 int, y1 int, x2 int, y2 int, conf double, typ string")
+    got = {r.img: np.array(r.data).reshape(9, 12, 3) for r in G.anonymized(frame_rows(spark, a), boxes, "pixelate", factor=3).collect()}
+    want = a[1].copy()
+    for x1, y1, x2, y2 in ((4, 3, 12, 9), (2, 1, 8, 7)):  # faces first, each on what is there so far
+        part = want[y1:y2, x1:x2]
+        small = scaling.resized(part, (y2 - y1) // 3, (x2 - x1) // 3, "area")
+        for y in range(y2 - y1):
+            for x in range(x2 - x1):
+                want[y1 + y, x1 + x] = small[y * small.shape[0] // (y2 - y1), x * small.shape[1] // (x2 - x1)]
+    assert np.allclose(got[1], want) and np.array_equal(got[2], a[2])
+    soft = G.anonymized_frame(a[1], [(2, 1, 8, 7)], "soft", 0.5)
+    assert np.allclose(soft[1:7, 2:8], K.convolve(a[1][1:7, 2:8], K.soft_kernel(6, 6, 0.5))) and np.array_equal(soft[7:], a[1][7:])
+    with pytest.raises(ValueError, match="unknown mode"):
+        G.anonymized_frame(a[1], [], "x")
+
+
 def test_windows_cover_the_side():
     assert scaling.windows(2000, 2, 0.0, 30) == [(0, 1030), (970, 2000)] and scaling.windows(1000, 1, 0.5, 10) == [(0, 1000)]
     for n, parts, ratio, more in ((9, 3, 0.1, 1), (33, 3, 0.4, 0), (8, 4, 0.0, 9), (5, 5, 0.9, 2)):
