@@ -9,8 +9,11 @@ from ..functions import paths as P
 from ..functions import scalars as S
 from ..operators import assets as A
 from ..operators import frames as FR
+from ..operators import jobs as J
+from ..operators import models as M
 from ..sources import copies, image_sink, work
 from ..streaming import tail
+from . import frame_queries as Q
 from .base import query, table
 from .frame_queries import _FR, frames
 
@@ -74,6 +77,26 @@ def stage_files(spark, sf):
         .select("src", "dst", (F.col("n_src") == F.col("n_dst")).alias("same"), (F.col("how") == "kept").alias("kept_before"), (F.col("again") == "kept").alias("kept_after")))
 
 
+#: Frames as they are read from files: their values are bytes.
+_FRQ = f"{_FR.replace('px AS', 'pz AS', 1)}, px AS MATERIALIZED (SELECT * REPLACE (floor(v * 255 + 1e-9) / 255.0::DOUBLE AS v) FROM pz)"
+
+
+@query("blur_folder", f"""WITH {_FRQ}, {Q._CUBE}, {Q._boxes_sql("bx")}, n AS (SELECT img, count(*) FILTER (typ = 'F') AS f, count(*) FILTER (typ = 'LP') AS p FROM bx GROUP BY img),
+    i AS (SELECT DISTINCT img, 'in' || img % 4 || '/f' || lpad(img::VARCHAR, 6, '0') AS name FROM px)
+    SELECT name || '.png' AS image, coalesce(f, 0) AS face_boxes, coalesce(p, 0) AS lp_boxes, coalesce(f, 0) + coalesce(p, 0) AS total_boxes, name || '_blur.jpg' AS blur_output, name || '_annot.jpg' AS annot_output,
+      NULL::VARCHAR AS error, 2::BIGINT AS n_files, 0::BIGINT AS again FROM i LEFT JOIN n USING (img)""")
+def blur_folder(spark, sf):
+    """A folder of images blurred and annotated into another one, and once more: then nothing is left to do."""
+    source, target = work.shared_path(spark), work.shared_path(spark)
+    image_sink.write_images(FR.as_bytes(frames(spark, sf), F.concat(F.lit("in"), F.col("img") % 4, F.lit("/f"), F.lpad(F.col("img").cast("string"), 6, "0"), F.lit(".png"))), source)
+    slots = {"F": M.Slot("bright", M.box_finder, Q.FIND_F), "LP": M.Slot("dark", M.box_finder, Q.FIND_LP)}
+    run = lambda: J.blur_folder(spark, source, target, slots, Q.FACE, Q.LEAST_CONF, Q.BLUR)
+    rows = run()
+    again = run().count()
+    made = J.listed(spark, target).groupBy(F.regexp_replace("rel_path", "_[a-z]+\\.jpg$", ".png").alias("image")).agg(F.count("*").alias("n_files"))
+    return rows.join(made, "image").withColumn("again", F.lit(again).cast("long"))
+
+
 @query("shell_words", r"""SELECT doc_id, CASE WHEN text = '' THEN '''''' WHEN regexp_matches(text, '[\x01-\x1f]') THEN
       '$''' || replace(replace(replace(regexp_replace(text, '([\\''])', '\\\1', 'g'), chr(10), '\n'), chr(9), '\t'), chr(13), '\r') || ''''
     ELSE regexp_replace(text, '([^A-Za-z0-9_@%+=:,./\x{80}-\x{10FFFF}-])', '\\\1', 'g') END AS word FROM documents""")
