@@ -22,6 +22,15 @@ from . import models as M
 from .raster import kernel_of_sigma
 
 SIDES = "FRBL"
+
+
+def checked(what: str, **rules: bool) -> None:
+    """Raises a ValueError that names the parameters whose rules don't hold."""
+    bad = [name for name, holds in rules.items() if not holds]
+    if bad:
+        raise ValueError(f"{what}: out of range: {', '.join(bad)}")
+
+
 #: Fixed colours of the annotations: red, green, blue of faces and of plates.
 COLOURS = {"F": (24 / 255, 180 / 255, 24 / 255), "LP": (1.0, 0.0, 0.0)}
 _BOX = "face string, x1 double, y1 double, x2 double, y2 double, conf double"
@@ -78,6 +87,10 @@ class Blur:
     roi_threshold: float = 0.1
     least_contour: float = 12.0
 
+    def __post_init__(self):
+        checked("blur", mask_threshold=0 <= self.mask_threshold <= 1, mask_feather=self.mask_feather >= 0, sigma=self.sigma > 0, scope=self.scope in ("roi", "full"),
+                pad=self.pad >= 0, min_area=self.min_area >= 0, roi_threshold=0 < self.roi_threshold <= 1, least_contour=self.least_contour >= 0)
+
 
 def region_mask(found: list[tuple[str, int, int, int, int]], n: int, h: int, w: int) -> np.ndarray:
     """(boxes, h, w): boxes of cube faces as soft masks in the panorama."""
@@ -100,8 +113,6 @@ def blurred_frame(a: np.ndarray, masks: np.ndarray, how: Blur) -> np.ndarray:
         mask = np.clip(K.convolve(mask, kernel_of_sigma(how.mask_feather)), 0, 1)
     if how.scope == "roi":
         return K.soft_region_blur(a, mask, kernel_of_sigma(how.sigma), how.pad, how.min_area, how.roi_threshold)
-    if how.scope != "full":
-        raise ValueError(f"unknown scope: {how.scope}")
     m = mask[..., None]
     return a * (1 - m) + K.convolve(a, kernel_of_sigma(how.sigma)) * m
 
@@ -156,6 +167,10 @@ class Finish:
     blur_radius: float = 10.0
     levels: int = 7
 
+    def __post_init__(self):
+        checked("finish", fov=all(0 < f < 180 for f in self.fov), pitch=-90 <= self.pitch <= 90, top_feather=self.top_feather >= 0, seam=self.seam > 0, seam_pad=self.seam_pad >= 0,
+                seam_ramp=self.seam_ramp >= 0, seam_sigma=self.seam_sigma >= 0, dilation=self.dilation >= 0, blur_radius=self.blur_radius >= 0, levels=self.levels >= 0)
+
 
 def finished_frame(a: np.ndarray, new_sky: np.ndarray | None, mask: np.ndarray | None, inpaint: Callable, hole: np.ndarray, how: Finish) -> np.ndarray:
     """Sky replaced where there are a sky and its mask, the view to the top repaired, then the seam."""
@@ -215,6 +230,9 @@ class Tiles:
     dilation: int = 3
     square: bool = True
 
+    def __post_init__(self):
+        checked("tiles", rows=self.rows > 0, cols=self.cols > 0, ratio=0 <= self.ratio < 1, more_x=self.more_x >= 0, more_y=self.more_y >= 0, pad=self.pad >= 0, dilation=self.dilation >= 0)
+
 
 def tiled_masks(frames: DataFrame, whole: M.Slot, spots: M.Slot, how: Tiles = Tiles()) -> DataFrame:
     """(img, h, w, c, data, error): the mask of each panorama, from two models that see its tiles.

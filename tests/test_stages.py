@@ -78,8 +78,14 @@ def test_detect_and_blur(spark):
         assert rows[0].data == a[0].ravel().tolist() and rows[2].drawn == a[2].ravel().tolist()
         drawn = np.array(rows[1].drawn).reshape(32, 64, 3)
         assert (np.abs(drawn - np.array(G.COLOURS["F"])).max(axis=2) < 1e-9).sum() > 10
-    with pytest.raises(ValueError, match="unknown scope"):
-        G.blurred_frame(a[1], np.ones((1, 32, 64)), G.Blur(scope="x"))
+
+
+@pytest.mark.parametrize("make, what", [
+    (lambda: G.Blur(scope="x", sigma=0), "blur: out of range: sigma, scope"), (lambda: G.Blur(roi_threshold=0), "roi_threshold"), (lambda: G.Finish(fov=(70, 180)), "finish: out of range: fov"),
+    (lambda: G.Finish(dilation=-1, levels=-1), "dilation, levels"), (lambda: G.Tiles(rows=0), "tiles: out of range: rows"), (lambda: G.Tiles(ratio=1.0, pad=-1), "ratio, pad")])
+def test_parameters_are_checked(make, what):
+    with pytest.raises(ValueError, match=what):
+        make()
 
 
 def test_region_masks_are_unions():
