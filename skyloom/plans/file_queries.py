@@ -12,7 +12,7 @@ from ..operators import frames as FR
 from ..operators import jobs as J
 from ..operators import models as M
 from ..sources import copies, image_sink, work
-from ..streaming import tail
+from ..streaming import states, tail
 from . import frame_queries as Q
 from .base import query, table
 from .frame_queries import _FR, frames
@@ -56,6 +56,27 @@ def tail_windows(spark, sf):
         F.count("*").alias("n"), F.count_if(F.col("status") == "failure").alias("n_failures")).select(F.col("w.start").alias("start"), "stage", "n", "n_failures")
 
 
+@query("stream_run_states", """WITH r AS (SELECT user_id AS run_id, count(*) AS n_events, count(*) FILTER (event_type = 'error') AS n_failures, bool_or(event_type = 'purchase' AND event_id % 50 = 7) AS ended, max(ts) AS last FROM events GROUP BY 1)
+    SELECT run_id::VARCHAR AS run_id, CASE WHEN ended THEN 'success' WHEN epoch_ms(last) + 1800000 < (SELECT max(epoch_ms(ts)) FROM events) - 600000 THEN 'lost' ELSE 'open' END AS status, n_events, n_failures FROM r""")
+def stream_run_states(spark, sf):
+    """The last state of each run, followed as a stream with timeouts: some purchases end a run, half an hour of silence loses it."""
+    kind = F.col("event_type")
+    rows = table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("run_id"), F.when((kind == "purchase") & (F.col("event_id") % 50 == 7), states.END).otherwise(kind).alias("event"),
+        F.when(kind == "error", "failure").otherwise("success").alias("status"), F.col("ts").cast("timestamp").alias("at"))
+    folder, out, checkpoint = (work.shared_path(spark) for _ in range(3))
+    rows.write.parquet(folder)
+
+    def put(batch, number):
+        batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(out)
+
+    stream = states.run_states(spark.readStream.schema(rows.schema).parquet(folder))
+    stream.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    seen = spark.read.schema(f"{states.OUT}, batch long").parquet(out)
+    last = seen.groupBy("run_id").agg(F.max_by(F.struct("status", "n_events", "n_failures"), "batch").alias("s"))
+    return last.select("run_id", "s.status", "s.n_events", "s.n_failures")
+
+
 @query("stage_files", f"""WITH {_FR}, f AS (SELECT DISTINCT img FROM px), r AS (SELECT img, row_number() OVER (ORDER BY 'in' || img % 4, img) - 1 AS k, count(*) OVER () AS total FROM f),
     s AS (SELECT img, CAST(CASE WHEN k < total % {N_SHARDS} * (total // {N_SHARDS} + 1) THEN k // (total // {N_SHARDS} + 1)
       ELSE total % {N_SHARDS} + (k - total % {N_SHARDS} * (total // {N_SHARDS} + 1)) // (total // {N_SHARDS}) END AS INT) AS shard FROM r)
