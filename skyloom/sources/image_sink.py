@@ -1,14 +1,18 @@
 """A sink of image files, one a row, as a Python data source: ``df.write.format("image_files")``.
 
 Tasks write below a staging folder of the job; the commit of the job moves their files
-to their places, so a failed task or job leaves none.  Files are reached through
+to their places, so a failed task or job leaves none.  Only the driver makes the job's folder: once
+an abort has deleted it, a task that still runs can't write any more.  Files are reached through
 ``pyarrow.fs``, so a path may be of any file system that it knows and all executors share.
 """
 
 from __future__ import annotations
 
+import contextlib
+import os
 import posixpath
 import struct
+import time
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -70,17 +74,18 @@ class ImageFilesWriter(DataSourceWriter):
     def write(self, iterator: Iterator[Row]) -> Written:
         fs, root = located(self.folder)
         mine = f"{root}/{STAGING}/{self.job}/{uuid.uuid4().hex}"
-        fs.create_dir(mine)
+        fs.create_dir(mine, recursive=False)
         made = set()
         for r in iterator:
             parts = (r.path or "").split("/")
             if not r.path or {"", ".", ".."} & set(parts) or parts[0] == STAGING:
                 raise ValueError(f"not a path below the folder: {r.path}")
             a = np.frombuffer(r.data, np.uint8).reshape(r.height, r.width, r.channels)
-            at = posixpath.dirname(f"{mine}/{r.path}")
-            if at not in made:
-                fs.create_dir(at)
-                made.add(at)
+            for k in range(1, len(parts)):
+                at = "/".join(parts[:k])
+                if at not in made:
+                    fs.create_dir(f"{mine}/{at}", recursive=False)
+                    made.add(at)
             with fs.open_output_stream(f"{mine}/{r.path}") as out:
                 out.write(file_of(r.path, a, self.quality))
         return Written(mine)
@@ -107,10 +112,23 @@ class ImageFilesWriter(DataSourceWriter):
     def abort(self, messages: list[Written | None]) -> None:
         self._clear(*located(self.folder))
 
+    def begin(self) -> None:
+        """On the driver, before any task."""
+        fs, root = located(self.folder)
+        fs.create_dir(f"{root}/{STAGING}/{self.job}")
+
     def _clear(self, fs: pafs.FileSystem, root: str) -> None:
-        fs.delete_dir(f"{root}/{STAGING}/{self.job}")
-        if not fs.get_file_info(pafs.FileSelector(f"{root}/{STAGING}", allow_not_found=True)):
-            fs.delete_dir(f"{root}/{STAGING}")
+        mine = f"{root}/{STAGING}/{self.job}"
+        for _ in range(100):  # a task that still runs may put a file into a folder that is being deleted
+            if fs.get_file_info(mine).type == pafs.FileType.NotFound:
+                break
+            try:
+                fs.delete_dir(mine)
+            except OSError:
+                time.sleep(0.1)
+        if isinstance(fs, pafs.LocalFileSystem):
+            with contextlib.suppress(OSError):  # another job is at work
+                os.rmdir(f"{root}/{STAGING}")
 
 
 class ImageFiles(DataSource):
@@ -123,7 +141,9 @@ class ImageFiles(DataSource):
     def writer(self, schema: StructType, overwrite: bool) -> ImageFilesWriter:
         if [(f.name, f.dataType.simpleString()) for f in schema] != [tuple(c.split(" ")) for c in SCHEMA.split(", ")]:
             raise ValueError(f"the columns must be {SCHEMA}")
-        return ImageFilesWriter(self.options["path"].rstrip("/"), int(self.options.get("quality", 85)), overwrite)
+        writer = ImageFilesWriter(self.options["path"].rstrip("/"), int(self.options.get("quality", 85)), overwrite)
+        writer.begin()
+        return writer
 
 
 def write_images(images: DataFrame, folder: str, quality: int = 85, overwrite: bool = False) -> None:
