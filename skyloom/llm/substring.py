@@ -96,6 +96,25 @@ def _held(values: np.ndarray, in_sorted: np.ndarray) -> np.ndarray:
     return in_sorted[np.minimum(np.searchsorted(in_sorted, values), len(in_sorted) - 1)] == values
 
 
+def _ranked(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct values in order, the order of ``flat``, and the place of each value in that order among the distinct ones.
+
+    By one sort: ``np.unique`` builds a hash table first, and searching unsorted values one by one misses the cache.
+    """
+    order = np.argsort(flat)
+    values = flat[order]
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new], order, np.cumsum(new) - 1
+
+
+def _distinct(flat: np.ndarray) -> np.ndarray:
+    values = np.sort(flat)
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new]
+
+
 def repeated(h: np.ndarray, checks: np.ndarray) -> np.ndarray:
     """Marks every pair (hash, second hash) that has an equal one before it."""
     by = np.lexsort((checks, h))  # stable: equal pairs keep their order
@@ -129,7 +148,7 @@ def _marks(n: int, slices: dict[int, slice], answers: pa.Table, name: str) -> np
 def _send(size: int, n_ranges: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         _, _, windows = _block(table, size)
-        h = np.unique(np.concatenate(windows)) if windows else np.empty(0, _U)
+        h = _distinct(np.concatenate(windows)) if windows else np.empty(0, _U)
         slices = _slices(h, n_ranges)
         return pa.table({
             "range": pa.array(list(slices), pa.int32()), "block": pa.array([key[0].as_py()] * len(slices), pa.int32()),
@@ -166,10 +185,13 @@ def _pairs(h: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[by], checks[by]
 
 
-def _shared(flat: np.ndarray, answers: pa.Table, n_ranges: int) -> np.ndarray:
-    """Sorted, the hashes of the block that other blocks sent too."""
-    h = np.unique(flat)
-    return h[_marks(len(h), _slices(h, n_ranges), answers, "shared")]
+def _shared(flat: np.ndarray, answers: pa.Table, n_ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """Marks the block's windows whose hashes other blocks sent too, and those whose hashes the block has more than once."""
+    h, order, rank = _ranked(flat)
+    elsewhere, here = np.zeros(len(flat), bool), np.zeros(len(flat), bool)
+    elsewhere[order] = _marks(len(h), _slices(h, n_ranges), answers, "shared")[rank]
+    here[order] = (np.bincount(rank, minlength=len(h)) > 1)[rank]
+    return elsewhere, here
 
 
 def _resend(size: int, n_ranges: int):
@@ -177,7 +199,7 @@ def _resend(size: int, n_ranges: int):
     def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
         _, words, windows = _block(docs, size)
         flat = np.concatenate(windows) if windows else np.empty(0, _U)
-        wanted = _held(flat, _shared(flat, answers, n_ranges))
+        wanted, _ = _shared(flat, answers, n_ranges)
         h, checks = _pairs(flat[wanted], _checks(words, windows, wanted, size))
         slices = _slices(h, n_ranges)
         sent = [slices[r] for r in answers["range"].to_pylist()]
@@ -209,9 +231,8 @@ def _remove(size: int, n_ranges: int):
     def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
         ids, words, windows = _block(docs, size)
         flat = np.concatenate(windows) if windows else np.empty(0, _U)
-        shared, ordered = _shared(flat, answers, n_ranges), np.sort(flat)
-        elsewhere = _held(flat, shared)
-        maybe = elsewhere | _held(flat, ordered[1:][ordered[1:] == ordered[:-1]])
+        elsewhere, here = _shared(flat, answers, n_ranges)
+        maybe = elsewhere | here
         mine, sent = _checks(words, windows, maybe, size), elsewhere[maybe]
         h, checks = _pairs(flat[maybe][sent], mine[sent])
         earlier = _marks(len(h), _slices(h, n_ranges), answers, "again")

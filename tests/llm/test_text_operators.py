@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -189,6 +190,24 @@ def test_window_hash_is_of_the_words():
     assert substring.window_hashes(h[50:], 20)[0] == w[50]
 
 
+def test_distinct_hashes_by_one_sort():
+    flat = np.random.default_rng(0).integers(0, 2**64, 1_000_000, np.uint64)
+    flat[::3] = flat[0]
+    h, order, rank = substring._ranked(flat)
+    assert (h[rank] == flat[order]).all() and (h[1:] > h[:-1]).all() and (h == substring._distinct(flat)).all()
+    assert [len(x) for x in substring._ranked(flat[:0])] == [0, 0, 0]
+
+    def seconds(f):
+        best = float("inf")
+        for _ in range(5):
+            at = time.process_time()
+            f(flat)
+            best = min(best, time.process_time() - at)
+        return best
+
+    assert seconds(substring._distinct) < seconds(np.unique) / 2
+
+
 def test_windows_of_equal_hashes_but_other_words_stay(monkeypatch):
     """With a first hash of five values only, the second one still tells windows apart, over blocks and within."""
     real = substring.window_hashes
