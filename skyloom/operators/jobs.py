@@ -35,8 +35,15 @@ def numbered(files: DataFrame) -> DataFrame:
 
 
 def read(spark: SparkSession, folder: str, files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(frames, unreadable) of the numbered files below a folder: frames by img, and the rows of those that can't be decoded."""
-    images = S.read_images(spark, folder).join(files.select(F.col("rel_path").alias("path"), "img"), "path")
+    """(frames, unreadable) of the numbered files below a folder: frames by img, and the rows of those that can't be decoded.
+
+    Files are decoded once, and kept as bytes in the shared folder; without any nothing is read.
+    """
+    wanted = files.select(F.col("rel_path").alias("path"), "img")
+    if files.isEmpty():
+        images = spark.createDataFrame([], f"{S.SCHEMA}, img long")
+    else:
+        images = work.cut(S.read_images(spark, folder).join(wanted, "path"))
     return FR.from_bytes(images.where("height > 0"), F.col("img")), images.where("height <= 0").select("path", "img")
 
 
@@ -61,14 +68,13 @@ def blur_folder(
     face_boxes, lp_boxes, total_boxes, blur_output, annot_output and error (unreadable files, failing models: no files).
     """
     endings = ["_blur.jpg", "_annot.jpg"] if annotate else ["_blur.jpg"]
-    files = listed(spark, source)
+    files = work.cut(listed(spark, source))
     if not overwrite:
         wanted = files.withColumn("out", F.explode(F.array(*[_output("parent", "stem", e) for e in endings])))
         have = listed(spark, target).select(F.col("rel_path").alias("out"))
         files = files.join(A.pending_all(wanted, have, "rel_path", "out"), "rel_path", "left_semi")
     files = numbered(files)
     frames, unreadable = read(spark, source, files)
-    frames = work.cut(frames)
     found = G.detections(G.cube_rows(frames, n), slots, n, least)
     done = work.cut(G.blurred(frames, found, n, how, annotate).join(files.select("img", "rel_path", "parent", "stem"), "img"))
     good = done.where("error IS NULL")
@@ -141,7 +147,7 @@ def finish_folder(
     named = plan.where("mask IS NOT NULL").select(F.col("mask").alias("rel_path")).distinct().withColumn("folder", F.lit(1))
     files = numbered(own.unionByName(named))
     parts = [read(spark, folder, files.where(F.col("folder") == k))[0] for k, folder in enumerate((source, masks)) if folder is not None]
-    frames = work.cut(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]))
+    frames = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     place = lambda k, column, as_: files.where(F.col("folder") == k).select(F.col("rel_path").alias(column), F.col("img").alias(as_))
     jobs = work.cut(plan.join(place(0, "rel_path", "img"), "rel_path").join(place(0, "sky", "sky_img"), "sky", "left").join(place(1, "mask", "mask_img"), "mask", "left"))
     done = G.finished(jobs.select("img", F.col("sky_img").alias("sky"), F.col("mask_img").alias("mask")), frames, hole, inpaint, how)

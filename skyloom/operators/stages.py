@@ -42,9 +42,8 @@ def cube_rows(frames: DataFrame, n: int, faces: str = SIDES) -> DataFrame:
         for b in batches:
             ids, out = [], []
             for img, a in zip(b["img"].to_pylist(), FR.arrays(b), strict=True):
-                cube = sphere.faces_of(a, n)
                 ids += [img] * len(faces)
-                out += [cube[sphere.FACES.index(f)] for f in faces]
+                out += list(sphere.faces_of(a, n, faces)) if faces else []
             yield FR.batch_of(ids, out, {"face": pa.array(list(faces) * (len(ids) // max(len(faces), 1)), pa.string())})
 
     return frames.select(*FR.COLUMNS).mapInArrow(run, f"{FR.FRAME}, face string")
@@ -56,22 +55,32 @@ def detections(faces: DataFrame, slots: dict[str, M.Slot], n: int, least: dict[s
     ``slots`` has a model for each type, which gives rows of five numbers (x1, y1, x2, y2, conf) for a face.
     Boxes below the type's ``least`` confidence go, and those that overlap a better one by more than
     ``most``; faces (F) are rounded half to even, others cut; empty ones go.  A face on which a
-    model fails gives one row with the error and no box.
+    model fails gives one row with the error and no box.  Faces are made and models called once: no branch reads them again.
     """
-    out = None
-    for typ, slot in slots.items():
-        rows = M.applied(faces, slot, ("face",)).select(F.col("img").alias("image"), "face", F.lit(typ).alias("typ"), "data", "error")
-        number = lambda k: F.get("data", F.col("i") * 5 + k)
-        found = rows.where("error is null").withColumn("i", F.explode(F.sequence(F.lit(0), (F.size("data") / 5).cast("int"))))
-        found = found.where(F.col("i") * 5 < F.size("data")).select(
-            "image", "face", "typ", *[number(k).alias(c) for k, c in enumerate(("x1", "y1", "x2", "y2", "conf"))]).where(F.col("conf") >= least[typ])
-        if most is not None:
-            found = B.suppressed(found, ["image", "face", "typ"], most, ["x1", "y1", "x2", "y2"])
-        found = B.clipped(found, n, n, rounding=typ == "F").withColumn("error", F.lit(None).cast("string"))
-        failed = rows.where("error is not null").select("image", "face", "typ", *[F.lit(None).cast("int").alias(c) for c in ("x1", "y1", "x2", "y2")], F.lit(None).cast("double").alias("conf"), "error")
-        both = found.unionByName(failed)
-        out = both if out is None else out.unionByName(both)
-    return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, names, inputs = b["img"].to_pylist(), b["face"].to_pylist(), FR.arrays(b)
+            rows = []
+            for typ, slot in slots.items():
+                for img, face, (result, error) in zip(ids, names, slot.results(inputs), strict=True):
+                    if error is not None:
+                        rows.append((img, face, typ, None, None, None, None, None, error))
+                    else:
+                        flat = np.asarray(result, np.float64).ravel()
+                        rows += [(img, face, typ, *r, None) for r in flat[: flat.size // 5 * 5].reshape(-1, 5).tolist()]
+            cols = list(zip(*rows, strict=True)) or [[]] * len(kinds)
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds.values(), strict=True)], names=list(kinds))
+
+    kinds = {"image": pa.int64(), **dict.fromkeys(("face", "typ"), pa.string()), **dict.fromkeys(("x1", "y1", "x2", "y2", "conf"), pa.float64()), "error": pa.string()}
+    schema = "image long, face string, typ string, x1 double, y1 double, x2 double, y2 double, conf double, error string"
+    failed = F.col("error").isNotNull()
+    found = faces.select(*FR.COLUMNS, "face").mapInArrow(run, schema)
+    bound = F.element_at(F.create_map(*[F.lit(x) for typ in slots for x in (typ, float(least[typ]))]), F.col("typ"))
+    found = found.where(failed | (F.col("conf") >= bound))
+    if most is not None:  # a row with an error is alone in its group
+        found = B.suppressed(found, ["image", "face", "typ"], most, ["x1", "y1", "x2", "y2"])
+    sides = [F.when(~failed, F.col(c)).alias(c) for c in ("x1", "y1", "x2", "y2")]
+    return B.clipped(found, n, n, rounding=F.col("typ") == "F", keep=failed).select("image", "face", "typ", *sides, "conf", "error")
 
 
 @dataclass(frozen=True)
@@ -94,12 +103,12 @@ class Blur:
 
 def region_mask(found: list[tuple[str, int, int, int, int]], n: int, h: int, w: int) -> np.ndarray:
     """(boxes, h, w): boxes of cube faces as soft masks in the panorama."""
-    out = np.zeros((len(found), h, w))
+    if not found:
+        return np.zeros((0, h, w))
+    cube = np.zeros((6, n, n, len(found)))  # a channel for each box: the way to the panorama is the same for all
     for k, (face, x1, y1, x2, y2) in enumerate(found):
-        cube = np.zeros((6, n, n))
-        cube[sphere.FACES.index(face), y1:y2, x1:x2] = 1
-        out[k] = sphere.panorama_of(cube, h, w)
-    return out
+        cube[sphere.FACES.index(face), y1:y2, x1:x2, k] = 1
+    return np.ascontiguousarray(np.moveaxis(sphere.panorama_of(cube, h, w), -1, 0))
 
 
 def blurred_frame(a: np.ndarray, masks: np.ndarray, how: Blur) -> np.ndarray:

@@ -26,6 +26,7 @@ from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMes
 from pyspark.sql.types import Row, StructType
 
 from ..functions import jpeg
+from .images import few_tasks
 
 #: Columns of the rows: a path below the folder, sides, channels (1, or 3: red, green, blue) and their bytes by row.
 SCHEMA = "path string, height int, width int, channels int, data binary"
@@ -96,11 +97,13 @@ class ImageFilesWriter(DataSourceWriter):
     def commit(self, messages: list[Written | None]) -> None:
         """One rename a file; running it again after a crash of the driver starts from new staging folders."""
         fs, root = located(self.folder)
-        new = set()
+        new, made = set(), set()
         for m in messages:
             for f in self._files(fs, m.folder) if m else []:
                 to = f"{root}/{f[len(m.folder) + 1 :]}"
-                fs.create_dir(posixpath.dirname(to))
+                if (at := posixpath.dirname(to)) not in made:
+                    fs.create_dir(at)
+                    made.add(at)
                 fs.move(f, to)
                 new.add(to)
         if self.overwrite:
@@ -162,7 +165,7 @@ def write_images(images: DataFrame, folder: str, quality: int = 85, overwrite: b
 
 def read_images(spark: SparkSession, folder: str) -> DataFrame:
     """(path, height, width, channels, data) of the files below a folder, by Spark's image reader; data as red, green, blue."""
-    rows = spark.read.format("image").option("recursiveFileLookup", True).load(folder).select("image.*")
+    rows = few_tasks(spark.read.format("image").option("recursiveFileLookup", True).load(folder).select("image.*"))
     root = folder.removeprefix("file:").replace("//", "/").rstrip("/")
     path = F.substring(F.regexp_replace("origin", "^file:/*", "/"), len(root) + 2, 1 << 30)
     flipped = rows.select(path.alias("path"), "height", "width", F.col("nChannels").alias("channels"), "data")

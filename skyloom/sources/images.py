@@ -20,7 +20,12 @@ def inventory(spark: SparkSession, folder: str, recursive: bool = True, pattern:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).option("pathGlobFilter", pattern).load(folder)
     root = F.regexp_replace(F.lit(folder.rstrip("/")), "^file:/*", "/")
     rel = F.substring(F.regexp_replace("path", "^file:/*", "/"), F.length(root) + 2, F.lit(1 << 30))
-    return files.select("path", rel.alias("rel_path"), "length", "modificationTime").where(P.is_image(F.col("path"), bmp))
+    return few_tasks(files.select("path", rel.alias("rel_path"), "length", "modificationTime").where(P.is_image(F.col("path"), bmp)))
+
+
+def few_tasks(files: DataFrame) -> DataFrame:
+    """Rows of many small files in a few tasks a core: Spark's readers give a handful of files to each."""
+    return files.coalesce(4 * files.sparkSession.sparkContext.defaultParallelism)
 
 
 def decode(spark: SparkSession, folder: str, on_error: str = "keep", recursive: bool = False) -> DataFrame:

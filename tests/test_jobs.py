@@ -55,6 +55,15 @@ def test_blur_folder(spark, tmp_path):
     assert set(run(annotate=False)) == {"d/broken.png"} and set(run(overwrite=True)) == {"a.png", "d/b.PNG", "d/broken.png"}
 
 
+def test_a_job_without_files_decodes_none(spark, tmp_path, monkeypatch):
+    src = tmp_path / "src"
+    monkeypatch.setattr(J.S, "read_images", lambda *a: pytest.fail("files are decoded"))
+    src.mkdir()
+    slots = {"F": M.Slot("j-bright", M.box_finder, (("limit", 0.6),))}
+    rows = J.blur_folder(spark, str(src), str(tmp_path / "out"), slots, 8, {"F": 0.1}, HOW)
+    assert rows.collect() == [] and rows.columns[0] == "image"
+
+
 def test_blur_folder_with_a_failing_model(spark, tmp_path):
     src, out = tmp_path / "in", tmp_path / "out"
     put(src, {"a.png": spot()})

@@ -99,6 +99,22 @@ def test_region_masks_are_unions():
     assert np.allclose(G.blurred_frame(a, masks, how), a * (1 - m) + K.convolve(a, kernel_of_sigma(1.0)) * m)
 
 
+def _counting(path):
+    def run(frames):
+        with open(path, "a") as f:
+            f.write("\n" * len(frames))
+        return [np.array([[0.0, 0.0, 2.0, 2.0, 0.9]])] * len(frames)
+
+    return run
+
+
+def test_detectors_see_each_face_once(spark, tmp_path):
+    frames = frame_rows(spark, {i: np.full((8, 16, 3), 0.5) for i in range(3)})
+    slots = {typ: M.Slot(f"t-count-{typ}", _counting, (("path", str(tmp_path / typ)),)) for typ in ("F", "LP")}
+    assert len(G.detections(G.cube_rows(frames, 4), slots, 4, {"F": 0.1, "LP": 0.1}).collect()) == 24
+    assert [(tmp_path / typ).stat().st_size for typ in ("F", "LP")] == [12, 12]
+
+
 def _refusing():
     def run(frames):
         raise RuntimeError("no weights")
