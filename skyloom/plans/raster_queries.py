@@ -337,7 +337,7 @@ def centroid(spark, sf):
 
 
 def _contours(batches):
-    for b in batches:
+    for b in K.pieces(batches):
         values = (b["e"].flatten().to_numpy(zero_copy_only=False).astype(np.float64) + 1) / 2
         rows = [
             (img, name - 1, x, y)

@@ -26,6 +26,7 @@ from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMes
 from pyspark.sql.types import Row, StructType
 
 from ..functions import jpeg
+from ..functions.kernels import pieces
 from .images import few_tasks
 
 #: Columns of the rows: a path below the folder, sides, channels (1, or 3: red, green, blue) and their bytes by row.
@@ -175,7 +176,7 @@ def read_images(spark: SparkSession, folder: str) -> DataFrame:
 def _flipped(batches):
     import pyarrow as pa
 
-    for b in batches:
+    for b in pieces(batches):
         data = []
         for d, n in zip(b["data"], b["channels"].to_pylist(), strict=True):
             a = np.frombuffer(d.as_py(), np.uint8).reshape(-1, max(n, 1))

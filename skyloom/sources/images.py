@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import paths as P
+from ..functions.kernels import pieces
 from .work import shared_path
 
 
@@ -43,7 +44,7 @@ def decode(spark: SparkSession, folder: str, on_error: str = "keep", recursive:
 def gray(rasters: DataFrame) -> DataFrame:
     """(origin, height, width, data): 8-bit luma of BGR or gray rasters."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches):
             out = []
             for d, n in zip(b["data"], b["nChannels"].to_pylist(), strict=True):
                 a = np.frombuffer(d.as_py(), np.uint8).reshape(-1, n).astype(float)
@@ -67,7 +68,7 @@ def png(data: bytes, h: int, w: int) -> bytes:
 def as_png(rasters: DataFrame) -> DataFrame:
     """(img, png) of gray rasters (img, h, w, data); a table, which Spark's writers commit."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches):
             files = [png(d.as_py(), h, w) for d, h, w in zip(b["data"], b["h"].to_pylist(), b["w"].to_pylist(), strict=True)]
             yield pa.record_batch([b["img"], pa.array(files, pa.binary())], names=["img", "png"])
 
@@ -143,7 +144,7 @@ def gray_of_png(data: bytes) -> np.ndarray:
 def decoded(files: DataFrame) -> DataFrame:
     """(img, h, w, data, ok) of (img, png); what can't be read has ok = false and no data."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches):
             out = []
             for d in b["png"]:
                 try:

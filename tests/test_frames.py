@@ -5,6 +5,7 @@ import math
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -365,6 +366,18 @@ def test_model_slot(spark):
     assert [len(b) for b in M._by_bytes([np.zeros(4)] * 5, 64)] == [2, 2, 1] and [len(b) for b in M._by_bytes([np.zeros(400)] * 2, 64)] == [1, 1]
 
 
+def test_tasks_work_in_small_pieces():
+    """What a large Arrow batch becomes is given away piece by piece."""
+    n = 3000
+    e = pa.record_batch({"img": pa.array(range(n), pa.int64()), "e": pa.array(RNG(0).random((n, 64)).astype(np.float32).tolist(), pa.list_(pa.float32()))})
+    out = list(K.each_embedding(8, lambda a: [a[:2, :2]])(iter([e])))
+    assert max(b.num_rows for b in out) <= 4 * K.PIECE_ROWS and sum(b.num_rows for b in out) == 4 * n
+    assert np.array_equal(np.concatenate([b["img"].to_numpy() for b in out]), np.repeat(np.arange(n), 4))
+    want = (np.array(e["e"].to_pylist()).reshape(n, 8, 8)[:, :2, :2].ravel() + 1) / 2
+    assert np.allclose(np.concatenate([b["v"].to_numpy() for b in out]), want)
+    assert [b.num_rows for b in K.pieces(iter([e]), n, e.nbytes // 3)][0] <= n // 3 and [b.num_rows for b in K.pieces(iter([e.slice(0, 2)]), n, 1)] == [1, 1]
+
+
 def test_cube_masks(spark):
     a = {1: smooth(16, 32), 2: smooth(8, 16)}
     slot = M.Slot("spread", M.spread_brightness, (("reach", 1),))
