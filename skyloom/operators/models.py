@@ -22,6 +22,8 @@ from . import frames as FR
 
 #: What a slot calls: frames in, one result for each.
 Model = Callable[[list[np.ndarray]], list[np.ndarray]]
+#: Frames that a task hands to a slot at once, at most; their bytes are the slot's.
+MODEL_ROWS = 4096
 #: Models of this worker process by (name, settings), and how often each was loaded.
 _held: dict[tuple, Any] = {}
 _loads: dict[tuple, int] = {}
@@ -87,7 +89,7 @@ def applied(frames: DataFrame, slot: Slot, keep: tuple[str, ...] = ()) -> DataFr
     kept = [f for f in frames.schema if f.name in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in FR.pieces(batches, MODEL_ROWS, slot.batch_bytes):
             found = slot.results(FR.arrays(b))
             _, loads = slot.model()
             n, failed = b.num_rows, pa.array([r is None for r, _ in found], pa.bool_())
@@ -129,7 +131,7 @@ def cube_masks(frames: DataFrame, slot: Slot, n: int, predict: str = "FRBLU", pa
     index = scaling.mirrored(n, pad)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in FR.pieces(batches):
             ids, faces, of, sides = [], [], [], []
             for img, a in zip(b["img"].to_pylist(), FR.arrays(b), strict=True):
                 cube = sphere.faces_of(a, n)
@@ -142,7 +144,7 @@ def cube_masks(frames: DataFrame, slot: Slot, n: int, predict: str = "FRBLU", pa
                 "face": pa.array(of, pa.string()), "height": pa.array([s[0] for s in sides], pa.int32()), "width": pa.array([s[1] for s in sides], pa.int32())})
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in FR.pieces(batches):
             masks = []
             for row in b.select(["faces", "height", "width"]).to_pylist():
                 cube = np.zeros((6, n, n))

@@ -39,7 +39,7 @@ _BOX = "face string, x1 double, y1 double, x2 double, y2 double, conf double"
 def cube_rows(frames: DataFrame, n: int, faces: str = SIDES) -> DataFrame:
     """A frame's columns and face: one row for each cube face of each panorama."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in FR.pieces(batches):
             ids, out = [], []
             for img, a in zip(b["img"].to_pylist(), FR.arrays(b), strict=True):
                 ids += [img] * len(faces)
@@ -58,7 +58,7 @@ def detections(faces: DataFrame, slots: dict[str, M.Slot], n: int, least: dict[s
     model fails gives one row with the error and no box.  Faces are made and models called once: no branch reads them again.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in FR.pieces(batches, M.MODEL_ROWS, max(s.batch_bytes for s in slots.values())):
             ids, names, inputs = b["img"].to_pylist(), b["face"].to_pylist(), FR.arrays(b)
             rows = []
             for typ, slot in slots.items():
@@ -140,7 +140,7 @@ def blurred(frames: DataFrame, found: DataFrame, n: int, how: Blur = Blur(), ann
     joined = joined.select(*FR.COLUMNS, F.coalesce("boxes", empty).alias("boxes"), F.coalesce("face_boxes", F.lit(0)).alias("face_boxes"), F.coalesce("lp_boxes", F.lit(0)).alias("lp_boxes"), "error")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in FR.pieces(batches):
             out, drawn = [], []
             for a, boxes, error in zip(FR.arrays(b), b["boxes"].to_pylist(), b["error"].to_pylist(), strict=True):
                 if error is not None:
@@ -208,7 +208,7 @@ def finished(jobs: DataFrame, frames: DataFrame, hole: np.ndarray, inpaint: Call
             raise ValueError("\n".join([r.e for r in bad[:20]] + ["... and more"] * (len(bad) > 20)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in FR.pieces(batches):
             sides = [_some(b, f"_{x}") for x in ("base", "sky", "mask")]
             out = [np.empty((0, 0, 0)) if e is not None else finished_frame(a, s, None if m is None else m[..., 0], inpaint, hole, how)
                    for a, s, m, e in zip(*sides, b["error"].to_pylist(), strict=True)]
@@ -253,7 +253,7 @@ def tiled_masks(frames: DataFrame, whole: M.Slot, spots: M.Slot, how: Tiles = Ti
     a square.  An image with a tile on which a model fails has an error and no mask.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in FR.pieces(batches):
             ids, out, more = [], [], []
             for img, a in zip(b["img"].to_pylist(), FR.arrays(b), strict=True):
                 if how.height > 0 and how.width > 0:
@@ -269,7 +269,7 @@ def tiled_masks(frames: DataFrame, whole: M.Slot, spots: M.Slot, how: Tiles = Ti
             yield FR.batch_of(ids, out, {n: pa.array([m[k] for m in more], pa.int32()) for k, n in enumerate(names)})
 
     def model(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in FR.pieces(batches, M.MODEL_ROWS, max(whole.batch_bytes, spots.batch_bytes)):
             tiles = FR.arrays(b)
             out, errors = [], []
             for (sky_, e1), (spot, e2) in zip(whole.results(tiles), spots.results(tiles), strict=True):
@@ -282,7 +282,7 @@ def tiled_masks(frames: DataFrame, whole: M.Slot, spots: M.Slot, how: Tiles = Ti
             yield FR.batch_of(b["img"].to_pylist(), out, {**{n: b[n] for n in ("top", "left", "height", "width")}, "error": pa.array(errors, pa.string())})
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in FR.pieces(batches):
             out = []
             for row in b.select(["tiles", "error"]).to_pylist():
                 if row["error"] is not None:
@@ -335,7 +335,7 @@ def anonymized(frames: DataFrame, boxes: DataFrame, mode: str, strength: float =
     joined = frames.select(*FR.COLUMNS).join(by_image, frames["img"] == by_image["image"], "left").drop("image")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in FR.pieces(batches):
             out = [anonymized_frame(a, [(r["x1"], r["y1"], r["x2"], r["y2"]) for r in found or ()], mode, strength, factor)
                    for a, found in zip(FR.arrays(b), b["boxes"].to_pylist(), strict=True)]
             yield FR.batch_of(b["img"].to_pylist(), out)

@@ -234,7 +234,7 @@ def perspective_patch(spark, sf):
     base = frames(spark, sf)
 
     def run(batches):
-        for b in batches:
+        for b in FR.pieces(batches):
             made = [[] for _ in range(3)]
             for a, p in zip(FR.arrays(b, "_0"), FR.arrays(b, "_1"), strict=True):
                 for out, part in zip(made, sphere.patched(a, p, PATCH["fov"], PATCH["yaw"], PATCH["pitch"], PATCH["feather"]), strict=True):
@@ -642,7 +642,7 @@ _TRACED = f"""{_FR}, sm AS MATERIALIZED (SELECT img, par, y, x, avg(v) AS s FROM
 def trace_contours(spark, sf):
     """The outer contours' points in order, and at which of them they turn."""
     def run(batches):
-        for b in batches:
+        for b in FR.pieces(batches):
             rows = []
             for img, a in zip(b["img"].to_pylist(), FR.arrays(b), strict=True):
                 for name, points in C.outer_contours(a.mean(axis=2) >= ON):
@@ -725,7 +725,7 @@ def _broken(paths, folder):
     """Files that aren't images, in place of broken ones."""
     def run(batches):
         fs, root = S.located(folder)
-        for b in batches:
+        for b in FR.pieces(batches):
             for p in b["path"].to_pylist():
                 with fs.open_output_stream(f"{root}/{p}") as out:
                     out.write(b"\x89PNG\r\n\x1a\n" + p.encode())

@@ -378,6 +378,37 @@ def test_tasks_work_in_small_pieces():
     assert [b.num_rows for b in K.pieces(iter([e]), n, e.nbytes // 3)][0] <= n // 3 and [b.num_rows for b in K.pieces(iter([e.slice(0, 2)]), n, 1)] == [1, 1]
 
 
+class _Noted:
+    """Stands for a table: notes the functions that its batches go through."""
+
+    schema = ()
+
+    def __init__(self):
+        self.runs = []
+
+    def mapInArrow(self, run, schema):
+        self.runs.append(run)
+        return self
+
+    def __getattr__(self, name):
+        return lambda *a, **k: self
+
+
+def test_cube_masks_in_small_pieces(spark):
+    """Neither faces nor masks of a whole Arrow batch are held at once."""
+    table, n = _Noted(), 600
+    M.cube_masks(table, M.Slot("t-spread", M.spread_brightness), 4)
+    split, applied, join = table.runs
+    frames = FR.batch_of(list(range(n)), list(RNG(1).random((n, 8, 16, 3))))
+    faces = list(split(iter([frames])))
+    assert max(b.num_rows for b in faces) <= 5 * K.PIECE_ROWS and sum(b.num_rows for b in faces) == 5 * n
+    assert sum(b.num_rows for b in applied(iter(faces))) == 5 * n
+    one = [{"face": f, "h": 4, "w": 4, "data": [0.5] * 16} for f in "FRBLU"]
+    rows = pa.RecordBatch.from_pylist([{"img": i, "faces": one, "height": 8, "width": 16} for i in range(n)])
+    masks = list(join(iter([rows])))
+    assert max(b.num_rows for b in masks) <= K.PIECE_ROWS and [i for b in masks for i in b["img"].to_pylist()] == list(range(n))
+
+
 def test_cube_masks(spark):
     a = {1: smooth(16, 32), 2: smooth(8, 16)}
     slot = M.Slot("spread", M.spread_brightness, (("reach", 1),))
